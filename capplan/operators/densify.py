@@ -22,7 +22,7 @@ from capplan.plans.areas import KEYS
 
 
 def label_list(labels: Sequence[str]) -> Column:
-    return F.array(*[F.lit(name) for name in labels])
+    return F.expr("array(" + ", ".join(f"'{name}'" for name in labels) + ")")
 
 
 def run_site_universe(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:

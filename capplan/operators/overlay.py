@@ -42,19 +42,9 @@ def simulated(df: DataFrame) -> DataFrame:
     )
 
 
-def _attach(
-    base: DataFrame, results: DataFrame, keys: list[str], null_run: NullRun, broadcast: bool
-) -> DataFrame:
-    """Inner join plus, on request, the baseline rows no result refers to.
-
-    An inner join can build on the baseline side, and adaptive execution can split a
-    skewed results partition; a left join from the baseline allows neither.
-    """
-    matched = results.join(F.broadcast(base) if broadcast else base, keys)
-    if null_run == "drop":
-        return matched
-    unmatched = base.join(results.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+def _runs(results: DataFrame, columns: list[str], null_run: NullRun) -> DataFrame:
+    runs = simulated(results.select(*columns))
+    return runs.where(F.col(RUN).isNotNull()) if null_run == "drop" else runs
 
 
 def _check(null_run: str) -> None:
@@ -75,16 +65,22 @@ def overlay(
 
     One row per result row of a known record. ``by`` names further key columns both
     sides share, such as a scenario id.
+
+    An inner join can build on the baseline side, and adaptive execution can split a
+    skewed partition of results; a left join from the baseline allows neither, so the
+    baseline rows no result refers to are added by an anti join on distinct keys.
     """
     _check(null_run)
     keys = [*by, RECORD]
     fixed = base.drop(RUN, *replaced)
-    varying = simulated(results.select(*keys, RUN, *replaced))
-    if null_run == "drop":
-        varying = varying.where(F.col(RUN).isNotNull())
+    runs = _runs(results, [*keys, RUN, *replaced], null_run)
     if broadcast is None:
         broadcast = fits_broadcast(fixed)
-    return _attach(fixed, varying, keys, null_run, broadcast)
+    matched = runs.join(F.broadcast(fixed) if broadcast else fixed, keys)
+    if null_run == "drop":
+        return matched
+    unmatched = fixed.join(runs.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def replay(
@@ -97,20 +93,37 @@ def replay(
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """Overlay for later aggregation: rows that agree in all ``classes`` may be merged.
+    """Baseline and all its runs as rows to be aggregated.
 
-    ``classes`` are the run-varying columns that labels depend on and must have few
-    values; ``sums`` are additive. What is returned is a set of rows whose sums of
-    ``sums`` over any grouping of the other columns are those of the plain overlay.
+    ``base`` holds its own ``model_run``, ``classes`` and ``sums``, which runs replace.
+    ``classes`` decide labels and must have few values; ``sums`` are additive. Rows of
+    one record and run that agree in all classes may come merged: sums of ``sums`` over
+    any grouping of the other columns are those of the plain overlay and the baseline.
     """
     _check(null_run)
     keys = [*by, RECORD]
-    varying = simulated(results.select(*keys, RUN, *classes, *sums))
-    if null_run == "drop":
-        varying = varying.where(F.col(RUN).isNotNull())
+    varying = [RUN, *classes, *sums]
+    fixed = base.drop(*varying)
+    runs = _runs(results, [*keys, *varying], null_run)
     if broadcast is None:
-        broadcast = fits_broadcast(base)
-    if broadcast:
-        return _attach(base, varying, keys, null_run, broadcast=True)
-    merged = varying.groupBy(*keys, RUN, *classes).agg(*[F.sum(name).alias(name) for name in sums])
-    return base.join(merged, keys, "left" if null_run == "keep" else "inner")
+        broadcast = fits_broadcast(fixed)
+    if not broadcast:
+        merged = runs.groupBy(*keys, RUN, *classes).agg(
+            *[F.sum(name).alias(name) for name in sums]
+        )
+        how = "left" if null_run == "keep" else "inner"
+        return fixed.join(merged, keys, how).unionByName(base.select(*fixed.columns, *varying))
+    matched = runs.join(F.broadcast(fixed), keys)
+    if null_run == "drop":
+        return matched.unionByName(base)
+    # one read of the baseline gives both its own row and, if no run has the record,
+    # the row without a run
+    seen = runs.select(*keys).distinct().withColumn("_seen", F.lit(True))
+    own = F.struct(*varying)
+    none = F.struct(
+        *[F.lit(None).cast(base.schema[name].dataType).alias(name) for name in varying]
+    )
+    rest = base.join(seen, keys, "left").select(
+        *fixed.columns, F.inline(F.array_compact(F.array(own, F.when(F.col("_seen").isNull(), none))))
+    )
+    return matched.unionByName(rest)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 
-from capplan.functions.labelling import Rule, label, product_rules
+from capplan.functions.labelling import Rule, atoms_of, label, label_of_facts, product_rules
 
 KEYS = ("model_run", "sitetret")
 
@@ -32,9 +32,19 @@ class Area:
         rest = () if self.otherwise is None else (self.otherwise,)
         return tuple(name for name, _ in self.rules) + rest
 
+    @property
+    def atoms(self) -> tuple[str, ...]:
+        """The atoms the rules depend on."""
+        return atoms_of(needed for _, needed in self.rules)
+
     def label(self) -> Column:
+        """Label of a record, from its columns."""
         return label(self.rules, self.otherwise)
 
+    def label_of(self, word: str) -> Column:
+        """Label of a record, from the word of facts in column ``word``."""
+        return label_of_facts(word, self.rules, self.otherwise)
+
 
 # Label names below are fixed values of the output tables.
 
@@ -69,10 +79,11 @@ _DAYCASE_RULES: tuple[Rule, ...] = (
     ("daycase_renal_spells", ("renal_daycase",)),
     ("daycase_haem_onc_spells", ("haem_onc_daycase",)),
     ("daycase_endoscopy_spells", ("endoscopy_daycase",)),
-    ("daycase_adult_medical_spells", ("adult_medical_daycase",)),
-    ("daycase_adult_surgical_spells", ("adult_surgical_daycase",)),
-    ("daycase_child_medical_spells", ("child_medical_daycase",)),
-    ("daycase_child_surgical_spells", ("child_surgical_daycase",)),
+    # the remainder: no specialty day case gets this far
+    ("daycase_adult_medical_spells", ("daycase", "adult", "medical")),
+    ("daycase_adult_surgical_spells", ("daycase", "adult", "surgical")),
+    ("daycase_child_medical_spells", ("daycase", "child", "medical")),
+    ("daycase_child_surgical_spells", ("daycase", "child", "surgical")),
 )
 
 DAYCASE = Area(

@@ -31,23 +31,14 @@ def emergency_areas(
     labelled = baseline.select(
         *by, "rn", *KEYS, "arrivals", EMERGENCY.label().alias(EMERGENCY.label_column)
     )
-    runs = replay(
-        labelled.drop("model_run", "arrivals"),
-        results,
-        sums=["arrivals"],
-        by=by,
-        null_run=null_run,
-        broadcast=broadcast,
+    attendances = replay(
+        labelled, results, sums=["arrivals"], by=by, null_run=null_run, broadcast=broadcast
     )
     converted = converted_rows(
         conversion, "arrivals", by=by, fill_site=fill_conversion_site
     ).withColumn(EMERGENCY.label_column, F.lit(SDEC_LABEL))
     columns = [*by, *KEYS, EMERGENCY.label_column, F.col("arrivals").alias("total")]
-    rows = (
-        runs.select(columns)
-        .unionByName(converted.select(columns))
-        .unionByName(labelled.select(columns))
-    )
+    rows = attendances.select(columns).unionByName(converted.select(columns))
     return dense_totals(
         rows, label_list(EMERGENCY.required), EMERGENCY.measures, EMERGENCY.label_column, by=by
     )

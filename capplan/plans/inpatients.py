@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capplan.functions import codes
-from capplan.functions.vocabulary import predicate
+from capplan.functions.labelling import atoms_of, facts, holds
+from capplan.functions.vocabulary import RUN_ATOMS
 from capplan.operators.densify import dense_totals, label_list
 from capplan.operators.lookups import add_theatre_total
 from capplan.operators.overlay import NullRun, replay
@@ -30,47 +30,27 @@ from capplan.plans.areas import (
     Area,
 )
 
-_DRIVERS = (
-    "age",
-    "admimeth",
-    "tretspef",
-    "tretspef_type",
-    "group",
-    "primary_procedure",
-    "has_procedure",
-    "maternity_delivery_in_spell",
-)
-_MATERNITY_DRIVERS = ("group", "primary_procedure", "maternity_delivery_in_spell")
-_WARD_DRIVERS = ("age", "admimeth", "group", "tretspef_type")
-_NEEDED: dict[str, tuple[str, ...]] = {
-    DAYCASE.name: (
-        "age", "admimeth", "tretspef", "tretspef_type", "primary_procedure", "has_procedure",
-    ),
-    MATERNITY.name: _MATERNITY_DRIVERS,
-    WARDS.name: _WARD_DRIVERS,
-    PROCEDURES.name: (
-        "age", "admimeth", "tretspef", "tretspef_type", "group", "primary_procedure",
-        "has_procedure",
-    ),
-}
-
-_PATIENT_CLASSES = (codes.ORDINARY, codes.DAY_CASE, *codes.REGULAR_ATTENDER)
 _SUMS = ("spells", "beddays")
+_SCOPE = "in_theatre_scope"
+
+
+def _atoms(areas: Sequence[Area]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Atoms the areas need, those fixed by the baseline and those that vary by run."""
+    needed = atoms_of(rule for area in areas for _, rule in area.rules)
+    if PROCEDURES in areas:
+        needed = atoms_of([(atom,) for atom in needed] + [(_SCOPE,)])
+    fixed = tuple(atom for atom in needed if atom not in RUN_ATOMS)
+    return fixed, tuple(atom for atom in needed if atom in RUN_ATOMS)
 
 
-def _run_classes() -> list[Column]:
-    """Patient class and length of stay reduced to what the predicates tell apart.
+def _varying(run_atoms: Sequence[str]) -> list[Column]:
+    """What a run, or the baseline itself, says about one spell.
 
-    A class no predicate names becomes empty text and a length of stay its sign, which
-    bounds the distinct combinations a record can have in one run. The true length of
-    stay is carried on as ``beddays``.
+    The facts of a run tell apart a dozen combinations of patient class and length of
+    stay at most, which bounds what one record can hold per run after merging.
     """
-    patient_class = F.when(
-        F.col("classpat").isin(*_PATIENT_CLASSES) | F.col("classpat").isNull(), F.col("classpat")
-    ).otherwise("")
     return [
-        patient_class.alias("classpat"),
-        F.signum("speldur").cast("int").alias("speldur"),
+        facts(run_atoms).alias("run_facts"),
         F.lit(1).cast("bigint").alias("spells"),
         F.col("speldur").alias("beddays"),
     ]
@@ -85,10 +65,10 @@ def _spell_rows(
     null_run: NullRun,
     broadcast: bool | None,
 ) -> DataFrame:
-    """Weighted spell rows of the baseline and of every run, with all label inputs."""
-    needed = [name for name in _DRIVERS if any(name in _NEEDED[area.name] for area in areas)]
-    fixed = [*by, "rn", "sitetret", *needed]
-    spells = baseline.select(*fixed, "model_run", "classpat", "speldur")
+    """Weighted spell rows of the baseline and of every run, each with its facts."""
+    fixed_atoms, run_atoms = _atoms(areas)
+    fixed = [*by, "rn", "sitetret", facts(fixed_atoms).alias("facts")]
+    spells = baseline
     if areas == [PROCEDURES]:
         spells = theatre_scope(spells)
     if PROCEDURES in areas:
@@ -96,10 +76,10 @@ def _spell_rows(
             raise ValueError("procedures and theatres need theatre_times")
         spells = add_theatre_total(spells, theatre_times)
         fixed += ["theatre_rows", "theatre_time"]
-    runs = replay(
-        spells.select(*fixed),
-        results.select(*by, "rn", "model_run", *_run_classes()),
-        classes=["classpat", "speldur"],
+    rows = replay(
+        spells.select(*fixed, "model_run", *_varying(run_atoms)),
+        results.select(*by, "rn", "model_run", *_varying(run_atoms)),
+        classes=["run_facts"],
         sums=_SUMS,
         by=by,
         null_run=null_run,
@@ -107,9 +87,20 @@ def _spell_rows(
     )
     # a baseline record in no run is one spell of unknown class and stay
     weight = F.when(F.col("rn").isNull(), 0).otherwise(F.coalesce("spells", F.lit(1)))
-    return runs.unionByName(spells.select(*fixed, "model_run", *_run_classes())).withColumn(
-        "spells", weight.cast("bigint")
+    rows = rows.withColumns(
+        {
+            "spells": weight.cast("bigint"),
+            "facts": F.col("facts").bitwiseOR(F.coalesce("run_facts", F.lit(0).cast("bigint"))),
+        }
     )
+    if PROCEDURES in areas:
+        rows = rows.withColumns(
+            {
+                "theatre_spells": F.col("spells") * F.col("theatre_rows"),
+                "theatre_time": F.col("spells") * F.col("theatre_time"),
+            }
+        )
+    return rows
 
 
 def _values(area: Area) -> dict[str, Column]:
@@ -121,15 +112,6 @@ def _values(area: Area) -> dict[str, Column]:
     return {"spells": F.col("spells"), "beddays": F.col("beddays")}
 
 
-def _weigh_theatre(rows: DataFrame) -> DataFrame:
-    return rows.withColumns(
-        {
-            "theatre_spells": F.col("spells") * F.col("theatre_rows"),
-            "theatre_time": F.col("spells") * F.col("theatre_time"),
-        }
-    )
-
-
 def _single_area(
     area: Area,
     baseline: DataFrame,
@@ -142,9 +124,7 @@ def _single_area(
     broadcast: bool | None = None,
 ) -> DataFrame:
     rows = _spell_rows(baseline, results, theatre_times, [area], by, null_run, broadcast)
-    labelled = rows.withColumn(area.label_column, area.label())
-    if area is PROCEDURES:
-        labelled = _weigh_theatre(labelled)
+    labelled = rows.withColumn(area.label_column, area.label_of("facts"))
     values = [value.alias(name) for name, value in _values(area).items()]
     return dense_totals(
         labelled.select(*by, *KEYS, area.label_column, *values),
@@ -211,16 +191,12 @@ def inpatient_areas(
     """
     chosen = [INPATIENT_AREAS[name] for name in areas]
     rows = _spell_rows(baseline, results, theatre_times, chosen, by, null_run, broadcast)
-    labelled = rows.withColumns({area.name: area.label() for area in chosen})
+    labels = {area.name: area.label_of("facts") for area in chosen}
     measures = list(_SUMS)
-    combination = [area.name for area in chosen]
     if PROCEDURES in chosen:
-        labelled = _weigh_theatre(labelled).withColumn(
-            "in_theatre_scope", F.coalesce(predicate("in_theatre_scope"), F.lit(False))
-        )
+        labels[_SCOPE] = holds("facts", _SCOPE)
         measures += ["theatre_spells", "theatre_time"]
-        combination.append("in_theatre_scope")
-    combined = labelled.groupBy(*by, *KEYS, *combination).agg(
+    combined = rows.withColumns(labels).groupBy(*by, *KEYS, *labels).agg(
         *[F.sum(name).alias(name) for name in measures]
     )
 
@@ -236,7 +212,7 @@ def inpatient_areas(
 
     beddays_type = combined.schema["beddays"].dataType
     entries = [
-        F.when(F.col("in_theatre_scope"), entry(area)) if area is PROCEDURES else entry(area)
+        F.when(F.col(_SCOPE), entry(area)) if area is PROCEDURES else entry(area)
         for area in chosen
     ]
     long = combined.select(*by, *KEYS, F.inline(F.array_compact(F.array(*entries))))

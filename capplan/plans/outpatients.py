@@ -31,22 +31,12 @@ def outpatient_areas(
     keys = [*by, *KEYS]
     counted = ["attendances", "tele_attendances"]
     records = baseline.select(*by, "rn", *KEYS, "has_procedures", "is_first", *counted)
-    runs = replay(
-        records.drop("model_run", *counted),
-        results,
-        sums=counted,
-        by=by,
-        null_run=null_run,
-        broadcast=broadcast,
+    visits = replay(
+        records, results, sums=counted, by=by, null_run=null_run, broadcast=broadcast
     )
     converted = converted_rows(conversion, "attendances", by=by, fill_site=fill_conversion_site)
-    rows = (
-        runs.select(*keys, *outpatient_values())
-        .unionByName(records.select(*keys, *outpatient_values()))
-        .unionByName(
-            converted.withColumnRenamed("attendances", OP_CONVERTED_LABEL),
-            allowMissingColumns=True,
-        )
+    rows = visits.select(*keys, *outpatient_values()).unionByName(
+        converted.withColumnRenamed("attendances", OP_CONVERTED_LABEL), allowMissingColumns=True
     )
     # a NULL run or site equals no key of the dense output: zero there
     keyed = F.col("model_run").isNotNull() & F.col("sitetret").isNotNull()

@@ -284,6 +284,12 @@ OUTPATIENT_TRUTH = {
 INPATIENT_TRUTH = {
     "adult": "age >= 18",
     "child": "age < 18",
+    "elective_route": "admimeth LIKE '1%'",
+    "planned_route": "admimeth IN ('11','12','13')",
+    "emergency_route": "admimeth LIKE '2%' AND grp <> 'maternity'",
+    "ordinary": "classpat = '1'",
+    "day_patient": "classpat = '2'",
+    "not_maternity": "grp <> 'maternity'",
     "non_elective": NON_ELECTIVE,
     "elective": ELECTIVE,
     "daycase": DAYCASE,

@@ -28,7 +28,7 @@ INPATIENT_PREDICATES = tuple(
     name
     for name in PREDICATES
     if name not in (*EMERGENCY_PREDICATES[2:], *OUTPATIENT_PREDICATES)
-)
+)  # adult and child are in both lists
 
 
 class Inputs:
