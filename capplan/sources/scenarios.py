@@ -48,8 +48,10 @@ def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str])
     """
     root = results_root.rstrip("/")
     files = [f"{root}/{aggregated_path(path).rstrip('/')}/{PARAMS_FILE}" for path in paths]
+    # file paths are percent-encoded, but a plus sign in them is one
+    location = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     relative = F.regexp_extract(
-        F.url_decode("_metadata.file_path"), rf"({AGGREGATED_PREFIX}[^/]+(/[^/]+){{4}}/){PARAMS_FILE}$", 1
+        location, rf"({AGGREGATED_PREFIX}[^/]+(/[^/]+){{4}}/){PARAMS_FILE}$", 1
     )
     return spark.read.text(files, wholetext=True).select(
         F.regexp_replace(relative, f"^{AGGREGATED_PREFIX}", FULL_PREFIX).alias("path"),
