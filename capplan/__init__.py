@@ -15,6 +15,7 @@ from capplan.operators.totals import (
 )
 from capplan.operators.versions import resolve_versions
 from capplan.plans.areas import DAYCASE, EMERGENCY, MATERNITY, PROCEDURES, WARDS, Area
+from capplan.plans.batch import batch_tables
 from capplan.plans.emergency import emergency_areas
 from capplan.plans.inpatients import (
     area_table,
@@ -29,7 +30,7 @@ from capplan.plans.scenario import Roots, run_scenario, scenario_tables
 
 __all__ = [
     "DAYCASE", "EMERGENCY", "MATERNITY", "PREDICATES", "PROCEDURES", "WARDS", "Area", "Roots",
-    "add_specialty_type", "add_theatre_time", "area_table", "converted_totals",
+    "add_specialty_type", "add_theatre_time", "area_table", "batch_tables", "converted_totals",
     "daycase_areas", "dense_totals", "emergency_areas", "fill_missing_labels",
     "inpatient_areas", "label", "label_rows", "label_totals", "maternity_areas",
     "outpatient_areas", "outpatient_totals", "overlay", "predicate", "procedure_areas",

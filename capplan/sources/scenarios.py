@@ -41,6 +41,14 @@ def scenario_keys(scenarios: DataFrame) -> DataFrame:
     )
 
 
+def file_location() -> Column:
+    """Path of the file a row was read from, as it was given.
+
+    File paths in the metadata are percent-encoded, but a plus sign in them is one.
+    """
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str]) -> DataFrame:
     """``(path, params)`` of the given results paths, one row per scenario.
 
@@ -48,10 +56,8 @@ def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str])
     """
     root = results_root.rstrip("/")
     files = [f"{root}/{aggregated_path(path).rstrip('/')}/{PARAMS_FILE}" for path in paths]
-    # file paths are percent-encoded, but a plus sign in them is one
-    location = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     relative = F.regexp_extract(
-        location, rf"({AGGREGATED_PREFIX}[^/]+(/[^/]+){{4}}/){PARAMS_FILE}$", 1
+        file_location(), rf"({AGGREGATED_PREFIX}[^/]+(/[^/]+){{4}}/){PARAMS_FILE}$", 1
     )
     return spark.read.text(files, wholetext=True).select(
         F.regexp_replace(relative, f"^{AGGREGATED_PREFIX}", FULL_PREFIX).alias("path"),

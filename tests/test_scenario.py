@@ -93,3 +93,40 @@ def test_no_fitting_version_is_an_error(spark, inputs, roots):
     late = spark.createDataFrame([("v9.0.0",)], "name string")
     with pytest.raises(ValueError, match="no data version"):
         cp.scenario_tables(spark, PATH, roots, late, inputs.specialties, inputs.theatre_times)
+
+
+def test_a_batch_gives_each_scenario_its_tables(spark, inputs, tmp_path):
+    """Two scenarios on one baseline, one of them with a third of the results."""
+    roots = cp.Roots(f"{tmp_path}/data", f"{tmp_path}/results", f"{tmp_path}/output")
+    paths = [f"full-model-results/v4.0/R01/full plan+{n}/2025/" for n in (1, 2)]
+    for kind in ("aae", "op", "ip"):
+        raw = inputs[f"{kind}_baseline"].drop("model_run").withColumnRenamed("rn", "index")
+        raw.write.parquet(f"{roots.model_data}/v4.0.2/{kind}/fyear=2023/dataset=R01")
+    sources = {
+        "aae": "aae_results",
+        "op": "op_results",
+        "ip": "ip_results",
+        "sdec_conversion": "sdec_conversion",
+        "op_conversion": "op_conversion",
+    }
+    for path, share in zip(paths, ("true", "model_run = 1")):
+        for folder, name in sources.items():
+            rows = inputs[name].where(share)
+            writer = rows.write.partitionBy("model_run") if "conversion" not in name else rows.write
+            writer.parquet(f"{roots.results}/{path}{folder}")
+        params = tmp_path / "results" / aggregated_path(path)
+        params.mkdir(parents=True)
+        (params / "params.json").write_text('{"start_year": 2023}')
+    lookups = (versions(spark), inputs.specialties, inputs.theatre_times)
+    batch = cp.batch_tables(spark, paths, roots, *lookups)
+    assert set(batch) == {"aae", "op", "ip"}
+    for path in paths:
+        alone, _ = cp.scenario_tables(spark, path, roots, *lookups)
+        mine = {name: table.where(table["path"] == path).drop("path") for name, table in batch.items()}
+        assert bag(mine["aae"]) == bag(alone["aae"])
+        assert bag(mine["op"]) == bag(alone["op"])
+        for name in ("ip_daycase", "ip_maternity", "ip_wards", "ip_procedures_and_theatres"):
+            assert bag(cp.area_table(mine["ip"], name)) == bag(alone[name]), name
+    with pytest.raises(ValueError, match="no data version"):
+        late = spark.createDataFrame([("v9.0.0",)], "name string")
+        cp.batch_tables(spark, paths, roots, late, inputs.specialties, inputs.theatre_times)
