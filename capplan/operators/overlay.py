@@ -14,7 +14,9 @@ to move results as little as possible:
   baseline records without any run;
 * otherwise: results are first reduced per record, run and run-varying class, with
   map-side combine, so that a record holding any share of all rows shrinks to a
-  handful before its key decides a partition; then one left join.
+  handful before its key decides a partition; then one left join. It hashes the
+  baseline's share of a partition, which is smaller than that of the results by the
+  number of runs, so that results are not sorted.
 """
 
 from __future__ import annotations
@@ -76,7 +78,7 @@ def overlay(
     runs = _runs(results, [*keys, RUN, *replaced], null_run)
     if broadcast is None:
         broadcast = fits_broadcast(fixed)
-    matched = runs.join(F.broadcast(fixed) if broadcast else fixed, keys)
+    matched = runs.join(fixed.hint("broadcast" if broadcast else "shuffle_hash"), keys)
     if null_run == "drop":
         return matched
     unmatched = fixed.join(runs.select(*keys).distinct(), keys, "left_anti")
@@ -112,7 +114,7 @@ def replay(
             *[F.sum(name).alias(name) for name in sums]
         )
         how = "left" if null_run == "keep" else "inner"
-        return fixed.join(merged, keys, how).unionByName(base.select(*fixed.columns, *varying))
+        return fixed.hint("shuffle_hash").join(merged, keys, how).unionByName(base.select(*fixed.columns, *varying))
     matched = runs.join(F.broadcast(fixed), keys)
     if null_run == "drop":
         return matched.unionByName(base)

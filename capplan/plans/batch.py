@@ -1,8 +1,9 @@
 """Many scenarios in one job: the area tables with the scenario's path as a leading key.
 
 Scenarios differ in size, so running them one after the other leaves a cluster idle at
-the end of each. Here all of them are one set of files, and the path, taken from the
-file a row was read from, is one more key of every join and grouping.
+the end of each. Here all of them are one set of files. The folder a row was read from
+is turned into the number of its scenario by a hash lookup, and that number is one more
+key of every join and grouping; the path itself is put back on the small results.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from capplan.plans.scenario import OUTPATIENT_NAME, Roots
 from capplan.sources import scenarios
 from capplan.sources.activity import as_baseline
 
-SCENARIO = "path"
+SCENARIO = "scenario"
 INPATIENT_NAME = "ip"
+_DATASET = ["data_version", "fyear", "provider"]
 
 
 def _read_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
@@ -34,39 +36,65 @@ def _read_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     single root.
     """
     rows = spark.read.option("recursiveFileLookup", "true").parquet(*folders)
-    return rows.withColumn("_location", scenarios.file_location())
+    return rows.withColumn("_location", F.col("_metadata.file_path"))
 
 
 def _part(name: str) -> Column:
-    return F.regexp_extract("_location", f"/{name}=([^/]+)/", 1)
+    """Value of a ``name=value`` folder in the location."""
+    return F.substring_index(F.substring_index("_location", f"/{name}=", -1), "/", 1)
 
 
-def _runs(spark: SparkSession, roots: Roots, paths: Sequence[str], folder: str) -> DataFrame:
+def _folder_above(folder: str) -> Column:
+    """Location up to the last ``/folder/`` in it."""
+    below = F.length(F.substring_index("_location", f"/{folder}/", -1))
+    return F.left("_location", F.length("_location") - below - F.lit(len(folder) + 2))
+
+
+def _runs(
+    spark: SparkSession, roots: Roots, keys: DataFrame, paths: Sequence[str], folder: str, schema
+) -> DataFrame:
     root = roots.results.rstrip("/")
     rows = _read_files(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths])
     if "model_run" not in rows.columns:
         rows = rows.withColumn("model_run", _part("model_run").cast("int"))
-    path = F.regexp_extract("_location", rf"({scenarios.FULL_PREFIX}[^/]+(/[^/]+){{4}}/){folder}/", 1)
-    return rows.withColumn(SCENARIO, path).drop("_location")
+    # one row per path the caller listed
+    numbers = F.broadcast(keys.select(SCENARIO, F.col("location").alias("_folder")))
+    numbered = rows.withColumn("_folder", _folder_above(folder)).join(numbers, "_folder")
+    return schemas.require(numbered, schema, folder).select(SCENARIO, *schema.names)
 
 
 def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) -> DataFrame:
     """The baseline of every scenario, repeated where scenarios share one."""
     root = roots.model_data.rstrip("/")
-    dataset = ["data_version", "fyear", "provider"]
     folders = [
         f"{root}/{row['data_version']}/{kind}/fyear={row['fyear']}/dataset={row['provider']}"
-        for row in keys.select(*dataset).distinct().collect()
+        for row in keys.select(*_DATASET).distinct().collect()
     ]
     rows = as_baseline(_read_files(spark, folders)).withColumns(
         {
             "data_version": F.regexp_extract("_location", rf"/([^/]+)/{kind}/fyear=", 1),
             "fyear": _part("fyear").cast("int"),
-            "provider": _part("dataset"),
+            "provider": F.url_decode(_part("dataset")),
         }
     )
-    repeated = rows.join(keys.select(SCENARIO, *dataset), dataset)
-    return schemas.require(repeated.drop(*dataset, "_location"), schemas.BASELINES[kind], kind)
+    repeated = rows.join(F.broadcast(keys.select(SCENARIO, *_DATASET)), _DATASET)
+    return schemas.require(repeated.drop(*_DATASET, "_location"), schemas.BASELINES[kind], kind)
+
+
+def _scenario_keys(
+    spark: SparkSession, paths: Sequence[str], roots: Roots, data_versions: DataFrame
+) -> DataFrame:
+    """Number, path, dataset and encoded results folder of every given path."""
+    given = scenarios.read_scenarios(spark, roots.results, paths)
+    found = resolve_versions(scenarios.scenario_keys(given, "location"), data_versions).collect()
+    unresolved = [row["path"] for row in found if row["data_version"] == NO_VERSION]
+    if unresolved:
+        raise ValueError(f"no data version fits the model version of {unresolved}")
+    columns = ["path", "location", *_DATASET]
+    return spark.createDataFrame(
+        [(number, *(row[name] for name in columns)) for number, row in enumerate(found)],
+        "scenario int, path string, location string, data_version string, fyear int, provider string",
+    )
 
 
 def batch_tables(
@@ -82,36 +110,36 @@ def batch_tables(
     ``ip`` is the table of ``inpatient_areas``; ``area_table(ip, name, by=["path"])``
     gives a single area of it. All three are lazy.
     """
-    found = resolve_versions(
-        scenarios.scenario_keys(scenarios.read_scenarios(spark, roots.results, paths)),
-        data_versions,
-    ).collect()
-    unresolved = [row[SCENARIO] for row in found if row["data_version"] == NO_VERSION]
-    if unresolved:
-        raise ValueError(f"no data version fits the model version of {unresolved}")
-    keys = spark.createDataFrame(found)  # one row per given path
+    keys = _scenario_keys(spark, paths, roots, data_versions)
+
+    def runs(folder: str, schema) -> DataFrame:
+        return _runs(spark, roots, keys, paths, folder, schema)
+
     by = [SCENARIO]
-    return {
+    tables = {
         EMERGENCY.name: emergency_areas(
             _baselines(spark, roots, keys, "aae"),
-            schemas.require(_runs(spark, roots, paths, "aae"), schemas.EMERGENCY_RESULTS),
-            schemas.require(
-                _runs(spark, roots, paths, "sdec_conversion"), schemas.SDEC_CONVERSION
-            ),
+            runs("aae", schemas.EMERGENCY_RESULTS),
+            runs("sdec_conversion", schemas.SDEC_CONVERSION),
             by=by,
         ),
         OUTPATIENT_NAME: outpatient_areas(
             _baselines(spark, roots, keys, "op"),
-            schemas.require(_runs(spark, roots, paths, "op"), schemas.OUTPATIENT_RESULTS),
-            schemas.require(
-                _runs(spark, roots, paths, "op_conversion"), schemas.OUTPATIENT_CONVERSION
-            ),
+            runs("op", schemas.OUTPATIENT_RESULTS),
+            runs("op_conversion", schemas.OUTPATIENT_CONVERSION),
             by=by,
         ),
         INPATIENT_NAME: inpatient_areas(
             add_specialty_type(_baselines(spark, roots, keys, "ip"), specialties),
-            schemas.require(_runs(spark, roots, paths, "ip"), schemas.INPATIENT_RESULTS),
+            runs("ip", schemas.INPATIENT_RESULTS),
             theatre_times,
             by=by,
         ),
     }
+    names = F.broadcast(keys.select(SCENARIO, "path"))
+    return {
+        name: table.join(names, SCENARIO).select(
+            "path", *[column for column in table.columns if column != SCENARIO]
+        )
+        for name, table in tables.items()
+    }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed format: full-<folder>/<model version>/<provider>/<scenario>/<run time>/, with
@@ -22,44 +22,38 @@ def aggregated_path(path: str) -> str:
     return AGGREGATED_PREFIX + path.removeprefix(FULL_PREFIX)
 
 
-def _aggregated(path: Column) -> Column:
-    return F.regexp_replace(path, f"^{FULL_PREFIX}", AGGREGATED_PREFIX)
-
-
-def scenario_keys(scenarios: DataFrame) -> DataFrame:
+def scenario_keys(scenarios: DataFrame, *kept: str) -> DataFrame:
     """Identity columns of ``(path, params)`` rows, ``params`` being the JSON text.
 
     Adds model version, provider, scenario name and run time from the path, the start
-    year as ``fyear`` (text or number in the file) and ``aggregated_path``.
+    year as ``fyear`` (text or number in the file) and ``aggregated_path``; ``kept``
+    columns are passed on.
     """
     parts = F.split("path", "/")
     return scenarios.select(
         "path",
+        *kept,
         *[F.get(parts, index).alias(name) for index, name in enumerate(_PARTS, start=1)],
         F.get_json_object("params", "$.start_year").cast("int").alias("fyear"),
-        _aggregated(F.col("path")).alias("aggregated_path"),
+        F.regexp_replace("path", f"^{FULL_PREFIX}", AGGREGATED_PREFIX).alias("aggregated_path"),
     )
 
 
-def file_location() -> Column:
-    """Path of the file a row was read from, as it was given.
-
-    File paths in the metadata are percent-encoded, but a plus sign in them is one.
-    """
-    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-
-
 def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str]) -> DataFrame:
-    """``(path, params)`` of the given results paths, one row per scenario.
+    """``(path, params, location)`` of the given results paths, one row per scenario.
 
-    Spark lists and reads the files; a path that does not exist fails the read.
+    ``location`` is the results folder as file metadata spell it, percent-encoded. Spark
+    lists and reads the parameter files; a path that does not exist fails the read.
     """
     root = results_root.rstrip("/")
     files = [f"{root}/{aggregated_path(path).rstrip('/')}/{PARAMS_FILE}" for path in paths]
-    relative = F.regexp_extract(
-        file_location(), rf"({AGGREGATED_PREFIX}[^/]+(/[^/]+){{4}}/){PARAMS_FILE}$", 1
-    )
+    pattern = rf"^(.*/){AGGREGATED_PREFIX}([^/]+(?:/[^/]+){{4}})/{PARAMS_FILE}$"
+    file = F.col("_metadata.file_path")
+    relative = F.concat(F.lit(FULL_PREFIX), F.regexp_extract(file, pattern, 2))
+    # file metadata are percent-encoded, but a plus sign in them is one
+    decoded = F.url_decode(F.replace(relative, F.lit("+"), F.lit("%2B")))
     return spark.read.text(files, wholetext=True).select(
-        F.regexp_replace(relative, f"^{AGGREGATED_PREFIX}", FULL_PREFIX).alias("path"),
+        F.concat(decoded, F.lit("/")).alias("path"),
         F.col("value").alias("params"),
+        F.concat(F.regexp_extract(file, pattern, 1), relative).alias("location"),
     )

@@ -65,7 +65,8 @@ def test_large_baseline_merges_results_before_the_join(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert scans(plan, "results") == 1
     assert re.search(r"partial_sum\(spells", plan)
-    assert "LeftOuter" in plan and "BroadcastHashJoin" not in plan
+    assert re.search(r"ShuffledHashJoin \[rn#\d+L\], \[rn#\d+L\], LeftOuter, BuildLeft", plan)
+    assert "Sort [rn" not in plan
 
 
 def test_only_needed_columns_are_read(tables):
@@ -120,3 +121,21 @@ def test_result_does_not_depend_on_partitioning(spark, tables):
         tables["base"].coalesce(1), tables["results"].coalesce(1), broadcast=True
     ).select(spread.columns)
     assert spread.exceptAll(single).count() == 0 and single.exceptAll(spread).count() == 0
+
+
+def test_results_bucketed_by_record_are_not_shuffled(spark, tables):
+    """Stored by record number, a large baseline and its results meet where they lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("base", "results"):
+            writer = tables[name].write.mode("overwrite").bucketBy(4, "rn").format("parquet")
+            writer.saveAsTable(f"bucketed_{name}")
+        base, results = spark.table("bucketed_base"), spark.table("bucketed_results")
+        df = cp.ward_areas(base, results, broadcast=False)
+        assert not re.search(r"Exchange hashpartitioning\(rn#", physical(df))
+        expected = cp.ward_areas(tables["base"], tables["results"], broadcast=True)
+        assert sorted(map(str, df.collect())) == sorted(map(str, expected.select(df.columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bucketed_base")
+        spark.sql("DROP TABLE IF EXISTS bucketed_results")
