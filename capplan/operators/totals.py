@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capplan.functions.vocabulary import predicate
-from capplan.operators.overlay import simulated
+from capplan.operators.overlay import NullRun, simulated
 from capplan.plans.areas import EMERGENCY, KEYS, OUTPATIENT_SUMS, Area
 
 
@@ -70,6 +70,7 @@ def converted_rows(
     *,
     by: Sequence[str] = (),
     fill_site: str | None = None,
+    null_run: NullRun = "keep",
 ) -> DataFrame:
     """Run, site and ``measure`` of activity moved out of inpatient care.
 
@@ -77,6 +78,8 @@ def converted_rows(
     labels, unless ``fill_site`` names a site for it.
     """
     rows = simulated(conversion.select(*by, *KEYS, measure))
+    if null_run == "drop":
+        rows = rows.where(F.col("model_run").isNotNull())
     return rows if fill_site is None else rows.fillna({"sitetret": fill_site})
 
 

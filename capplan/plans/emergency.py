@@ -35,7 +35,7 @@ def emergency_areas(
         labelled, results, sums=["arrivals"], by=by, null_run=null_run, broadcast=broadcast
     )
     converted = converted_rows(
-        conversion, "arrivals", by=by, fill_site=fill_conversion_site
+        conversion, "arrivals", by=by, fill_site=fill_conversion_site, null_run=null_run
     ).withColumn(EMERGENCY.label_column, F.lit(SDEC_LABEL))
     columns = [*by, *KEYS, EMERGENCY.label_column, F.col("arrivals").alias("total")]
     rows = attendances.select(columns).unionByName(converted.select(columns))

@@ -34,7 +34,9 @@ def outpatient_areas(
     visits = replay(
         records, results, sums=counted, by=by, null_run=null_run, broadcast=broadcast
     )
-    converted = converted_rows(conversion, "attendances", by=by, fill_site=fill_conversion_site)
+    converted = converted_rows(
+        conversion, "attendances", by=by, fill_site=fill_conversion_site, null_run=null_run
+    )
     rows = visits.select(*keys, *outpatient_values()).unionByName(
         converted.withColumnRenamed("attendances", OP_CONVERTED_LABEL), allowMissingColumns=True
     )

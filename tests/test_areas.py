@@ -152,6 +152,23 @@ def test_records_in_no_run_can_be_dropped(inpatient_inputs, name, broadcast):
     assert bag(dropped) == bag(kept.where("model_run IS NOT NULL"))
 
 
+@pytest.mark.parametrize("broadcast", PLANS)
+def test_dropping_covers_results_and_conversions_without_a_run(
+    spark, emergency_inputs, outpatient_inputs, broadcast
+):
+    for plan, (base, results, conversion) in (
+        (cp.emergency_areas, emergency_inputs),
+        (cp.outpatient_areas, outpatient_inputs),
+    ):
+        runless = [
+            df.unionByName(df.limit(3).withColumn("model_run", F.lit(None).cast("int")))
+            for df in (results, conversion)
+        ]
+        dropped = plan(base, *runless, null_run="drop", broadcast=broadcast)
+        kept = plan(base, results, conversion, broadcast=broadcast)
+        assert bag(dropped) == bag(kept.where("model_run IS NOT NULL"))
+
+
 def test_sites_of_conversions_can_be_filled(emergency_inputs):
     base, results, conversion = emergency_inputs
     filled = cp.emergency_areas(

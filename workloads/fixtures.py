@@ -38,6 +38,10 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "ip_results": """
 SELECT l_orderkey AS rn, l_linenumber AS model_run, cast(l_quantity AS int) % 4 AS speldur,
   CASE l_returnflag WHEN 'A' THEN '1' WHEN 'R' THEN '2' ELSE cast(1 + l_suppkey % 4 AS string) END AS classpat
+FROM {lineitem}""",
+    "scenario_results": """
+SELECT cast(l_suppkey % 3 AS int) AS scenario, l_orderkey AS rn, l_linenumber AS model_run, cast(l_quantity AS int) % 4 AS speldur,
+  CASE l_returnflag WHEN 'A' THEN '1' WHEN 'R' THEN '2' ELSE cast(1 + l_suppkey % 4 AS string) END AS classpat
 FROM {lineitem}""",
     "tretspef_lookup_raw": """
 SELECT CASE p_partkey WHEN 1 THEN 100 WHEN 2 THEN 110 WHEN 3 THEN 120 WHEN 4 THEN 811 WHEN 5 THEN 300 WHEN 6 THEN 303

@@ -178,11 +178,19 @@ def inpatient_steps(area: str, keep: str = "LEFT") -> dict[str, str]:
     }
 
 
-def inpatient(area: str, required: tuple[str, ...] | None = None, keep: str = "LEFT") -> str:
+def inpatient(
+    area: str,
+    required: tuple[str, ...] | None = None,
+    keep: str = "LEFT",
+    scenario: int | None = None,
+) -> str:
     _, usual, measures, source, column = INPATIENT[area]
-    return over(source, "ip_results", **inpatient_steps(area, keep)) + dense(
-        required or usual, tuple(measures), column
-    )
+    completed = dense(required or usual, tuple(measures), column)
+    if scenario is None:
+        return over(source, "ip_results", **inpatient_steps(area, keep)) + completed
+    results = f"SELECT * FROM scenario_results WHERE scenario = {scenario}"
+    steps = over(source, "scenario_results", ip_results=results, **inpatient_steps(area, keep))
+    return f"SELECT {scenario} AS scenario, * FROM ({steps}{completed})"
 
 
 def inpatient_totals(area: str) -> str:
@@ -442,6 +450,9 @@ ORACLES: dict[str, str] = {
     "aae_areas_site_filled": emergency("coalesce(sitetret, 'unknown')"),
     "ip_wards_matched_only": inpatient("ip_wards", keep="INNER"),
     "ip_procedures_dense_all": inpatient("ip_procedures_and_theatres", required=PROCEDURE_ALL),
+    "ip_wards_by_scenario": "\nUNION ALL ".join(
+        inpatient("ip_wards", scenario=number) for number in range(3)
+    ),
     "sorted_by_run": inpatient("ip_wards"),
     "manifest_append_check": over("manifest", "manifest_entries")
     + """SELECT e.*, NOT EXISTS (SELECT 1 FROM manifest m WHERE m.capacity_version = e.capacity_version

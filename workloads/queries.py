@@ -107,6 +107,15 @@ def _default_comparison(i: Inputs) -> DataFrame:
     )
 
 
+def _wards_by_scenario(i: Inputs) -> DataFrame:
+    """Three scenarios on one baseline, told apart by a further key."""
+    return cp.ward_areas(
+        i.spells.withColumn("scenario", F.explode(F.array(*map(F.lit, range(3))))),
+        i["scenario_results"],
+        by=["scenario"],
+    )
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources
     "baseline_load": lambda i: as_baseline(i["ip_raw"], index="record_index"),
@@ -187,6 +196,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ip_procedures_dense_all": lambda i: cp.procedure_areas(
         *i.inpatients, i.theatre_times, dense_all=True
     ),
+    "ip_wards_by_scenario": _wards_by_scenario,
     # output and checks
     "sorted_by_run": lambda i: by_run(cp.ward_areas(*i.inpatients)),
     "manifest_append_check": lambda i: check_entries(i["manifest_entries"], i["manifest"]),
