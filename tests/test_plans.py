@@ -139,3 +139,30 @@ def test_results_bucketed_by_record_are_not_shuffled(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS bucketed_base")
         spark.sql("DROP TABLE IF EXISTS bucketed_results")
+
+
+def test_a_hot_record_is_split_in_the_row_level_overlay(spark, tmp_path):
+    """Rows cannot be merged there, so adaptive execution splits the skewed partition."""
+    base = spark.range(20_000).selectExpr("id AS rn", "0 AS model_run", "0 AS n", "'A' AS sitetret")
+    spark.range(0, 300_000, 1, 12).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 20000 END AS rn", "1 AS model_run", "cast(id AS int) AS n"
+    ).write.parquet(f"{tmp_path}/results")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        results = spark.read.parquet(f"{tmp_path}/results")
+        df = cp.overlay(base, results, ["n"], broadcast=False, null_run="drop")
+        rows = df.collect()
+        assert len(rows) == 300_000
+        assert "ShuffledHashJoin(skew=true)" in physical(df)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
