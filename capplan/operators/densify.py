@@ -93,8 +93,9 @@ def dense_totals(
         )
 
     def passed(entry: Column) -> Column:
+        value = entry["value"]
         return F.struct(
-            entry["key"].alias(label_column), *[entry["value"][name].alias(name) for name in measures]
+            entry["key"].alias(label_column), *[value[name].alias(name) for name in measures]
         )
 
     others = F.map_filter("_found", lambda name, _: ~F.array_contains("_required", name))

@@ -24,9 +24,7 @@ def add_specialty_type(spells: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def add_theatre_time(spells: DataFrame, theatre_times: DataFrame) -> DataFrame:
     """Add the lookup's columns by the full procedure code; one row per lookup match."""
-    return spells.join(
-        theatre_times, F.col("primary_procedure") == F.col("opcs_code"), "left"
-    )
+    return spells.join(theatre_times, F.col("primary_procedure") == F.col("opcs_code"), "left")
 
 
 def add_theatre_total(spells: DataFrame, theatre_times: DataFrame) -> DataFrame:

@@ -114,18 +114,16 @@ def replay(
             *[F.sum(name).alias(name) for name in sums]
         )
         how = "left" if null_run == "keep" else "inner"
-        return fixed.hint("shuffle_hash").join(merged, keys, how).unionByName(base.select(*fixed.columns, *varying))
+        return fixed.hint("shuffle_hash").join(merged, keys, how).unionByName(base)
     matched = runs.join(F.broadcast(fixed), keys)
     if null_run == "drop":
         return matched.unionByName(base)
     # one read of the baseline gives both its own row and, if no run has the record,
     # the row without a run
     seen = runs.select(*keys).distinct().withColumn("_seen", F.lit(True))
+    types = {field.name: field.dataType for field in base.schema.fields}
     own = F.struct(*varying)
-    none = F.struct(
-        *[F.lit(None).cast(base.schema[name].dataType).alias(name) for name in varying]
-    )
-    rest = base.join(seen, keys, "left").select(
-        *fixed.columns, F.inline(F.array_compact(F.array(own, F.when(F.col("_seen").isNull(), none))))
-    )
+    none = F.struct(*[F.lit(None).cast(types[name]).alias(name) for name in varying])
+    rows = F.array(own, F.when(F.col("_seen").isNull(), none))
+    rest = base.join(seen, keys, "left").select(*fixed.columns, F.inline(F.array_compact(rows)))
     return matched.unionByName(rest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,14 +13,12 @@ _ROW_OVERHEAD = 24
 _COLUMN_BYTES = 8
 
 
-def row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame) -> Column:
     """Column with the in-memory width of a row: a word per column plus string bytes."""
     fixed = F.lit(_ROW_OVERHEAD + _COLUMN_BYTES * len(df.columns)).cast("bigint")
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return sum(
-        (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + _COLUMN_BYTES for name in strings),
-        fixed,
-    )
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) for name in strings]
+    return sum((length + _COLUMN_BYTES for length in lengths), fixed)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

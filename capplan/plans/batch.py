@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from capplan import schemas
 from capplan.operators.lookups import add_specialty_type
@@ -51,7 +52,12 @@ def _folder_above(folder: str) -> Column:
 
 
 def _runs(
-    spark: SparkSession, roots: Roots, keys: DataFrame, paths: Sequence[str], folder: str, schema
+    spark: SparkSession,
+    roots: Roots,
+    keys: DataFrame,
+    paths: Sequence[str],
+    folder: str,
+    schema: T.StructType,
 ) -> DataFrame:
     root = roots.results.rstrip("/")
     rows = _read_files(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths])
@@ -112,7 +118,7 @@ def batch_tables(
     """
     keys = _scenario_keys(spark, paths, roots, data_versions)
 
-    def runs(folder: str, schema) -> DataFrame:
+    def runs(folder: str, schema: T.StructType) -> DataFrame:
         return _runs(spark, roots, keys, paths, folder, schema)
 
     by = [SCENARIO]

@@ -169,9 +169,7 @@ def procedure_areas(
     every run and site.
     """
     required = PROCEDURES.labels if dense_all else PROCEDURES.required
-    return _single_area(
-        PROCEDURES, baseline, results, theatre_times, required=required, **options
-    )
+    return _single_area(PROCEDURES, baseline, results, theatre_times, required=required, **options)
 
 
 def inpatient_areas(
@@ -200,17 +198,20 @@ def inpatient_areas(
         *[F.sum(name).alias(name) for name in measures]
     )
 
+    days = combined.schema["beddays"].dataType
+    nothing = F.lit(None)
+
     def entry(area: Area) -> Column:
         values = _values(area)
+        time = values.get("total_theatre_time", nothing).cast("double")
         return F.struct(
             F.lit(area.name).alias("area"),
             F.col(area.name).alias("grouping"),
             values.get("spells", values.get("total")).alias("spells"),
-            values.get("beddays", F.lit(None)).cast(beddays_type).alias("beddays"),
-            values.get("total_theatre_time", F.lit(None)).cast("double").alias("total_theatre_time"),
+            values.get("beddays", nothing).cast(days).alias("beddays"),
+            time.alias("total_theatre_time"),
         )
 
-    beddays_type = combined.schema["beddays"].dataType
     entries = [
         F.when(F.col(_SCOPE), entry(area)) if area is PROCEDURES else entry(area)
         for area in chosen
@@ -223,6 +224,7 @@ def inpatient_areas(
         long, required, ["spells", "beddays", "total_theatre_time"], by=[*by, "area"]
     )
     has_days = F.col("area").isin(*[a.name for a in chosen if "beddays" in a.measures])
+    has_time = F.col("area") == PROCEDURES.name
     return dense.select(
         *by,
         "area",
@@ -230,9 +232,7 @@ def inpatient_areas(
         "grouping",
         "spells",
         F.when(has_days, F.col("beddays")).alias("beddays"),
-        F.when(F.col("area") == PROCEDURES.name, F.col("total_theatre_time")).alias(
-            "total_theatre_time"
-        ),
+        F.when(has_time, F.col("total_theatre_time")).alias("total_theatre_time"),
     )
 
 
