@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import decontaminate, quality
+from capplan.llm import decontaminate, packing, quality
 from capplan.llm.common import OWN, only, table
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Where a vocabulary of the public tokenizers lies; it is read in place, on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 2048 tokens."""
+    documents = only(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.pack(packing.token_pieces(documents, tokenizer_file(), ids=False)).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words inside occurrences of benchmark windows, and the items they come from."""
     found = decontaminate.find_benchmark_words(
@@ -36,6 +51,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
