@@ -25,6 +25,21 @@ SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM dw LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
+OP6 = rf"""
+WITH RECURSIVE
+     w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_BLANK}') AS w FROM documents),
+     sh AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+                     WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+     size AS (SELECT doc_id, len(s)::BIGINT AS n FROM sh),
+     token AS (SELECT doc_id, unnest(s) AS t FROM sh),
+     pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM token a JOIN token b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+     link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+     edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+     reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+SELECT doc_id, n AS n_shingles, min(reach.b) AS component_id FROM size JOIN reach ON reach.a = doc_id GROUP BY 1, 2
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
      w AS (SELECT doc_id, regexp_extract_all(text, '{_BLANK}') AS w FROM d),
@@ -55,4 +70,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": OP5, "op9_quality_rules": OP9}
+ORACLES: dict[str, str] = {"op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op9_quality_rules": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import decontaminate, packing, quality
+from capplan.llm import decontaminate, ngram_join, packing, quality
 from capplan.llm.common import OWN, only, table
 
 
@@ -42,6 +42,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: size of its set of three-word shingles, and the smallest id it is linked with."""
+    return ngram_join.link_documents(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: base measures, and whether it passes them and keeps enough beside boilerplate lines."""
     judged = quality.judge(only(table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
@@ -53,5 +58,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
 }
