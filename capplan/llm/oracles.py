@@ -5,6 +5,28 @@ from __future__ import annotations
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = r"[^\x20\x09-\x0D]+"
 
+OP2 = rf"""
+WITH raw AS (SELECT doc_id, string_split(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), chr(10)) AS ls FROM documents),
+     line AS (SELECT doc_id, i - 1 AS i, list_sort(list_distinct(regexp_extract_all(ls[i], '{_BLANK}'))) AS s
+              FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw)),
+     l AS (SELECT doc_id, i, s FROM line WHERE len(s) > 0),
+     sets AS (SELECT s, len(s) AS n, min((doc_id, i)) AS first, row_number() OVER () AS k FROM l GROUP BY s),
+     word AS (SELECT k, n, unnest(s) AS t FROM sets),
+     freq AS (SELECT t, count(*) AS f FROM word GROUP BY t),
+     ranked AS (SELECT k, n, t, row_number() OVER (PARTITION BY k ORDER BY f, t) AS r FROM word JOIN freq USING (t)),
+     prefix AS (SELECT k, n, t FROM ranked WHERE r <= n - ceil(0.8 * n - 1e-9) + 1),
+     cand AS (SELECT DISTINCT a.k AS a, b.k AS b FROM prefix a JOIN prefix b ON a.t = b.t AND a.k <> b.k
+              AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+     late AS (SELECT DISTINCT b FROM (SELECT b, x.n AS xn, y.n AS yn, len(list_intersect(x.s, y.s)) AS c
+              FROM cand JOIN sets x ON x.k = a JOIN sets y ON y.k = b WHERE x.first < y.first) WHERE 100 * c >= 80 * (xn + yn - c)),
+     gone AS (SELECT l.doc_id, l.i FROM l JOIN sets USING (s) LEFT JOIN late ON late.b = sets.k
+              WHERE late.b IS NOT NULL OR (l.doc_id, l.i) <> sets.first),
+     per AS (SELECT doc_id, count(*) AS c, string_agg(i::VARCHAR, ',' ORDER BY i) AS r FROM gone GROUP BY 1),
+     n AS (SELECT doc_id, count(*) AS c FROM l GROUP BY 1)
+SELECT documents.doc_id, coalesce(n.c, 0)::BIGINT AS n_lines, coalesce(per.c, 0)::BIGINT AS n_removed, coalesce(r, '') AS removed
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN per USING (doc_id)
+"""
+
 OP5 = rf"""
 WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
@@ -70,4 +92,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op9_quality_rules": OP9}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op9_quality_rules": OP9}

@@ -194,13 +194,20 @@ def clean_documents(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFra
         f"{OWN}gone",
         F.coalesce(f"{OWN}lost", F.lit(0)).alias(f"{OWN}lost"),
     )
-    judged = base_rules(packed, *names, "text", f"{OWN}gone", f"{OWN}lost").where(
+    judged = base_rules(packed, *names, f"{OWN}gone", f"{OWN}lost").where(
         ~F.col("base_failed") & (F.col("n_words") - F.col(f"{OWN}lost") >= min_left * F.col("n_words"))
     )
-    left = F.when(F.col(f"{OWN}gone").isNull(), F.col("text")).otherwise(
+    text = F.col(names[columns.index("text")])
+    left = F.when(F.col(f"{OWN}gone").isNull(), text).otherwise(
         F.array_join(
-            F.filter(F.split("text", "\n"), lambda line: ~F.array_contains(F.col(f"{OWN}gone"), _hash(line))), "\n"
+            F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(F.col(f"{OWN}gone"), _hash(line))), "\n"
         )
     )
     fresh = {"text": left, "n_chars": F.length(left).cast("long")}
-    return judged.select(*[fresh.get(c, F.col(n)).alias(c) for c, n in zip(columns, names, strict=True)])
+    changed = F.col(f"{OWN}gone").isNotNull()
+    return judged.select(
+        *[
+            (F.when(changed, fresh[c]).otherwise(F.col(n)) if c in fresh else F.col(n)).alias(c)
+            for c, n in zip(columns, names, strict=True)
+        ]
+    )

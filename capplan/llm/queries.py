@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import decontaminate, ngram_join, packing, quality
+from capplan.llm import decontaminate, line_dedup, ngram_join, packing, quality
 from capplan.llm.common import OWN, only, table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines with a word, and which lines repeat an earlier line of the table."""
+    found = line_dedup.report(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Where a vocabulary of the public tokenizers lies; it is read in place, on every executor."""
     import public_tokenizers
@@ -56,6 +62,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
