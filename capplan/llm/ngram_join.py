@@ -138,8 +138,8 @@ def _sets(n: int):
             right = (k1 == block.column("k1").to_numpy()) & (k2 == block.column("k2").to_numpy())
             raw = [tokens[s:e].tobytes() for s, e in zip(starts[:-1], starts[1:], strict=True)]
             block = pa.RecordBatch.from_arrays(
-                [block.column("family"), block.column("id"), block.column("members"), pa.array(raw, pa.binary())],
-                names=["family", "id", "members", "tokens"],
+                [block.column("family"), block.column("id"), pa.array(raw, pa.binary()), block.column("tasks")],
+                names=["family", "id", "tokens", "tasks"],
             )
             out.append(block.filter(pa.array(right)))
         return pa.concat_batches(out)
@@ -162,28 +162,24 @@ def _edges(ids: np.ndarray, roots: np.ndarray) -> pa.Table:
 
 
 def _link(rows: pa.Table, share: int) -> pa.Table:
-    """Links within the families of one task."""
-    family = rows.column("family").combine_chunks().dictionary_encode()
-    codes = family.indices.to_numpy()
-    out = []
-    order = np.argsort(codes, kind="stable")
-    cuts = np.flatnonzero(np.diff(codes[order])) + 1
-    for part in np.split(order, cuts):
-        if len(part) > 1:
-            tree, ids = _tree(rows.take(pa.array(part)))
-            out.append(_edges(ids, tree.join(share).roots(0, len(ids))))
-    return pa.concat_tables(out) if out else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-
-
-def _link_blocks(rows: pa.Table, share: int) -> pa.Table:
-    """Links between two blocks of a large family, or within one."""
-    alone = rows.column("one")[0].as_py() == rows.column("two")[0].as_py()
-    tree, ids = _tree(rows)
-    border = None
-    if not alone:
-        first = dict(zip(rows.column("id").to_pylist(), rows.column("second").to_pylist(), strict=True))
-        border = np.array([first[i] for i in ids.tolist()])
-    return _edges(ids, tree.join(share, border=border).roots(0, len(ids)))
+    """Links within the families of one task, or between the two blocks of a large one."""
+    codes = rows.column("family").combine_chunks().dictionary_encode().indices.to_numpy()
+    order = np.lexsort((rows.column("id").to_numpy(), codes))
+    rows, codes = rows.take(pa.array(order)), codes[order]
+    ids = rows.column("id").to_numpy()
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (codes[1:] != codes[:-1])  # repeated rows
+    rows, codes = rows.filter(pa.array(new)), codes[new]
+    out = [pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})]
+    cuts = np.flatnonzero(np.diff(codes)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(codes)], strict=True):
+        if end - start > 1:
+            part = rows.slice(start, end - start)
+            tree, ids = _tree(part)
+            second = dict(zip(part.column("id").to_pylist(), part.column("second").to_pylist(), strict=True))
+            border = None if None in second.values() else np.array([second[i] for i in ids.tolist()])
+            out.append(_edges(ids, tree.join(share, border=border).roots(0, len(ids))))
+    return pa.concat_tables(out)
 
 
 def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, block: int = BLOCK) -> DataFrame:
@@ -201,24 +197,25 @@ def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, b
     counted = survey.where("slice is not null").select("slice", "counts")
     steps = rarity.levels(rarity.summed(counted))
     light = survey.where("slice is null").select("doc_id", "size", "k1", "k2")
-    nodes = light.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
+    nodes = light.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"))
 
     rows = map_arrow(texts, partial(_prefixes, n, share, steps), "s long, k1 long, k2 long, size int")
     families = components(_candidates(rows, share)).select(
         F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), F.col("component").alias("family")
     )
     members = cut(families.join(nodes.where("id is not null"), ["k1", "k2"]))
-    counts = members.groupBy("family").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    wanted = members.join(counts, "family").select(
-        F.xxhash64("family").alias("family"), "id", "members", "k1", "k2"
-    )
-    asked = texts.join(wanted, texts["doc_id"] == wanted["id"]).select("text", "family", "id", "members", "k1", "k2")
-    kind = "family long, id long, members long, tokens binary"
-    sets = cut(map_arrow(asked, partial(_sets, n), kind).dropDuplicates(["id"]))
-    links = cut(_links(sets, share, block))
+    asked = _asked(members, share, block)
+    of = texts.join(asked, texts["doc_id"] == asked["id"]).select("text", "family", "id", "k1", "k2", "tasks")
+    kind = "family long, id long, tokens binary, tasks array<struct<task:long,second:boolean>>"
+    dealt = map_arrow(of, partial(_sets, n), kind).select("family", "id", "tokens", F.inline("tasks"))
+    links = cut(dealt.groupBy("task").applyInArrow(lambda rows: _link(rows, share), "a long, b long"))
     found = components(links).select(F.col("node").alias("id"), F.col("component").alias("component_id"))
-    named = cut(nodes.join(found, "id", "left").withColumn("component_id", F.coalesce("component_id", "id")))
-    out = light.join(named.withColumnsRenamed({"k1": "c1", "k2": "c2"}), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("size") > 0), "left")
+    named = cut(
+        nodes.join(found, "id", "left").select(
+            F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component_id", "id").alias("component_id")
+        )
+    )
+    out = light.join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("size") > 0), "left")
     return out.select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
@@ -233,53 +230,61 @@ def _candidates(rows: DataFrame, share: int) -> DataFrame:
     """
     node = F.struct("k1", "k2")
     deals = F.greatest(F.lit(1), F.expr(f"cast(pow(2, (shiftrightunsigned(s, 56)) / 8.0) / {HOT} as int) + 1"))
-    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("k1", "k2"), deals)).withColumn("deals", deals)
+    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("k1", "k2"), deals))
 
     def stars(table: DataFrame, *keys: str) -> DataFrame:
         order = Window.partitionBy(*keys).orderBy("size", "k1", "k2")
         gap = F.coalesce(100 * F.lag("size").over(order) < share * F.col("size"), F.lit(False)).cast("int")
         runs = table.withColumn("gap", gap).withColumn("run", F.sum("gap").over(order))
         within = Window.partitionBy(*keys, "run")
-        return runs.withColumn("first", F.min(F.struct("size", "k1", "k2")).over(within))
-
-    first = stars(dealt, "s", "deal")
-    edges = first.select(node.alias("a"), F.struct("first.k1", "first.k2").alias("b"))
-    # only for dealt shingles: one node of each size, of each deal
-    firsts = dealt.where("deals > 1").groupBy("s", "size").agg(F.min(node).alias("m")).select("s", "size", "m.k1", "m.k2")
-    second = stars(firsts, "s").select(node.alias("a"), F.struct("first.k1", "first.k2").alias("b"))
-    sizes = dealt.where("deals > 1").groupBy("s", "size", "deal").agg(F.min(node).alias("a"))
-    least = firsts.select(F.col("s"), F.col("size"), node.alias("b"))
-    across = sizes.join(least, ["s", "size"]).select("a", "b")
-    return edges.union(second).union(across).where("a != b")
-
-
-def _links(sets: DataFrame, share: int, block: int) -> DataFrame:
-    """Links among the sets of each family."""
-    small, large = sets.where(F.col("members") <= block), sets.where(F.col("members") > block)
-    total = small.count()
-    tasks = F.pmod(F.col("family"), F.lit(max(1, -(-total * 4 // block))))
-    within = small.groupBy(tasks.alias("task")).applyInArrow(lambda rows: _link(rows, share), "a long, b long")
-    # a large family: blocks by size and chance, then every pair of blocks whose sizes allow a link
-    band = F.floor(F.log(F.octet_length("tokens") / 8) / F.log(F.lit(100 / share)) + 1e-9).cast("long")
+        first = F.min(F.struct("size", "k1", "k2")).over(within)
+        return runs.withColumn("first", first).withColumn("b", F.struct("first.k1", "first.k2")).withColumn("a", node)
+
+    within = stars(dealt, "s", "deal").where((deals > 1) | (F.col("a") != F.col("b")))
+    edges = cut(within.select("a", "b", "s", "size", "k1", "k2", "deal", (deals > 1).alias("hot")))
+    # only for dealt shingles: the first node of each size, over all deals
+    hot = edges.where("hot")
+    firsts = hot.groupBy("s", "size").agg(F.min("a").alias("m"))
+    second = stars(firsts.select("s", "size", "m.k1", "m.k2"), "s").select("a", "b")
+    per_deal = hot.groupBy("s", "size", "deal").agg(F.min("a").alias("a"))
+    across = per_deal.join(firsts, ["s", "size"]).select("a", F.col("m").alias("b"))
+    return edges.select("a", "b").union(second).union(across).where("a != b")
+
+
+def _asked(members: DataFrame, share: int, block: int) -> DataFrame:
+    """``family, id, k1, k2, tasks`` for the nodes of families of two or more: which tasks compare them.
+
+    Small families go whole to a task, several to one. A large family is dealt into blocks by size and
+    chance; a node goes to every pair of its block with one whose sizes allow a link.
+    """
+    counts = members.groupBy("family").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    found = cut(members.join(counts, "family").withColumn("family", F.xxhash64("family")))
+    small, large = found.where(F.col("members") <= block), found.where(F.col("members") > block)
+    tasks = max(1, -(-small.count() * 4 // block))
+    alone = F.struct(F.pmod("family", F.lit(tasks)).alias("task"), F.lit(None).cast("boolean").alias("second"))
+    columns = ["family", "id", "k1", "k2", "tasks"]
+    whole = small.withColumn("tasks", F.array(alone)).select(*columns)
+
+    band = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / share)) + 1e-9).cast("long")
     banded = large.withColumn("band", band)
-    per_band = banded.groupBy("family", "band").agg(F.count(F.lit(1)).alias("n"))
-    parts = per_band.withColumn("parts", F.ceil(2 * F.col("n") / block)).select("family", "band", "parts")
-    dealt = banded.join(parts, ["family", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    parts = (
+        banded.groupBy("family", "band")
+        .agg(F.ceil(2 * F.count(F.lit(1)) / block).alias("parts"))
+        .select("family", "band", "parts")
+    )
     near = parts.select("family", F.col("band").alias("other"), F.col("parts").alias("others"))
     pairs = (
-        dealt.join(near, "family")
+        banded.join(parts, ["family", "band"])
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        .join(near, "family")
         .where(F.abs(F.col("band") - F.col("other")) <= 1)
-        .withColumn("against", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+        .withColumn("against", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
     )
     own, far = F.struct("band", "part"), F.struct(F.col("other").alias("band"), F.col("against").alias("part"))
-    both = pairs.select(
-        "family", "id", "tokens", F.least(own, far).alias("one"), F.greatest(own, far).alias("two"), (own > far).alias("second")
-    )
-    kept = both.select(
-        "family", "id", "tokens", F.xxhash64("one").alias("one"), F.xxhash64("two").alias("two"), "second"
-    )
-    across = kept.groupBy("family", "one", "two").applyInArrow(lambda rows: _link_blocks(rows, share), "a long, b long")
-    return within.union(across)
+    task = F.xxhash64("family", F.least(own, far), F.greatest(own, far)).alias("task")
+    second = F.when(own != far, own > far).alias("second")
+    blocks_ = pairs.groupBy("family", "id", "k1", "k2").agg(F.collect_list(F.struct(task, second)).alias("tasks"))
+    return whole.union(blocks_.select(*columns))
 
 
 def keep_one(documents: DataFrame, n: int = SHINGLE, share: int = SHARE) -> DataFrame:
