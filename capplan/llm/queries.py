@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from capplan.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality
 from capplan.llm.common import OWN, only, table
 
 
@@ -53,6 +53,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts of personal data by kind, a hash of the base spans, and all spans."""
+    return pii.digest(pii.find_personal_data(only(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: base measures, and whether it passes them and keeps enough beside boilerplate lines."""
     judged = quality.judge(only(table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
@@ -66,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_personal_data": op7_personal_data,
     "op9_quality_rules": op9_quality_rules,
 }
