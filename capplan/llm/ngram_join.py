@@ -3,8 +3,9 @@
 Exact, in four steps. (1) Every document becomes its set of distinct three-word shingles; documents with
 equal sets are one node from there on. (2) Two sets that are similar enough share one of their rarest
 shingles, so nodes are brought together by those, in order of size; where sizes allow a link, they go into
-one candidate family. (3) Every node's set goes once to its family, where a signature tree's dual traversal
-finds the links; a family too large for one task is dealt into blocks, and pairs of blocks are traversed.
+one candidate family. (3) Every node's signature goes to its family, where the dual traversal of a
+signature tree leaves the nodes that may be linked; then whole sets of those go the same way, and the
+traversal verifies. A family too large for one task is dealt into blocks, and pairs of blocks are traversed.
 (4) Components of the links found give the smallest reachable id.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 from capplan.llm import rarity
 from capplan.llm.common import OWN, Words, blocks, cut, map_arrow, mix, scramble, ship
 from capplan.llm.graph import components
-from capplan.llm.sigtree import Tree
+from capplan.llm.sigtree import Tree, signatures
 
 #: Words of a shingle, and hundredths of similarity that link two sets.
 SHINGLE, SHARE = 3, 90
@@ -73,15 +74,11 @@ def set_keys(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
-def _nullable(values: np.ndarray, kind=None) -> pa.Array:
-    return pa.array(values, kind or pa.int64())
-
-
-_SURVEY = f"doc_id long, size long, k1 long, k2 long, {rarity.COUNTS}"
+_SURVEY = f"doc_id long, size long, k1 long, k2 long, signature binary, {rarity.COUNTS}"
 
 
 def _survey(batches, n: int):
-    """Per document its set's size and key; at the end of the task, the counts of its shingles."""
+    """Per document its set's size, key and signature; at the end of the task, the counts of its shingles."""
     counter = rarity.Counter()
     names = [c.split()[0] for c in _SURVEY.split(", ")]
     for batch in batches:
@@ -90,10 +87,11 @@ def _survey(batches, n: int):
             counter.add(tokens)
             k1, k2 = set_keys(tokens, starts)
             none = pa.nulls(len(k1), pa.int32()), pa.nulls(len(k1), pa.binary())
-            columns = [block.column("doc_id"), _nullable(np.diff(starts)), _nullable(k1), _nullable(k2), *none]
+            signed = pa.array([s.tobytes() for s in signatures(tokens, starts)], pa.binary())
+            columns = [block.column("doc_id"), *map(pa.array, (np.diff(starts), k1, k2)), signed, *none]
             yield pa.RecordBatch.from_arrays(columns, names=names)
     rows = counter.rows()
-    none = [pa.nulls(len(rows), pa.int64())] * 4
+    none = [pa.nulls(len(rows), pa.int64())] * 4 + [pa.nulls(len(rows), pa.binary())]
     numbers, raw = zip(*rows, strict=True)
     yield pa.RecordBatch.from_arrays([*none, pa.array(numbers, pa.int32()), pa.array(raw, pa.binary())], names=names)
 
@@ -147,13 +145,17 @@ def _sets(n: int):
     return step
 
 
-def _tree(rows: pa.Table) -> tuple[Tree, np.ndarray]:
-    raw = rows.column("tokens").to_pylist()
-    ids = rows.column("id").to_numpy()
-    order = sorted(range(len(raw)), key=lambda i: (len(raw[i]), raw[i][:8], ids[i]))
-    tokens = np.frombuffer(b"".join(raw[i] for i in order), dtype=np.uint64)
-    starts = np.concatenate([[0], np.cumsum([len(raw[i]) // 8 for i in order])])
-    return Tree(tokens, starts), ids[order]
+def _tree(rows: pa.Table, exact: bool) -> tuple[Tree, np.ndarray]:
+    """The tree of some rows, with whole sets or with signatures alone, and their ids in its order."""
+    ids, sizes = rows.column("id").to_numpy(), rows.column("size").to_numpy()
+    raw = rows.column("tokens" if exact else "signature").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (sizes[i], raw[i][:8], ids[i]))
+    sizes = sizes[order]
+    data = np.frombuffer(b"".join(raw[i] for i in order), dtype=np.uint64 if exact else np.uint8)
+    if not exact:
+        return Tree(data.reshape(len(raw), -1), sizes), ids[order]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    return Tree(signatures(data, starts), sizes, data, starts), ids[order]
 
 
 def _edges(ids: np.ndarray, roots: np.ndarray) -> pa.Table:
@@ -161,8 +163,8 @@ def _edges(ids: np.ndarray, roots: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array(ids[far]), "b": pa.array(ids[roots[far]])})
 
 
-def _link(rows: pa.Table, share: int) -> pa.Table:
-    """Links within the families of one task, or between the two blocks of a large one."""
+def _link(rows: pa.Table, share: int, exact: bool) -> pa.Table:
+    """Links (or, from signatures, possible links) within the families of one task, or between the two blocks of a large one."""
     codes = rows.column("family").combine_chunks().dictionary_encode().indices.to_numpy()
     order = np.lexsort((rows.column("id").to_numpy(), codes))
     rows, codes = rows.take(pa.array(order)), codes[order]
@@ -175,7 +177,7 @@ def _link(rows: pa.Table, share: int) -> pa.Table:
     for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(codes)], strict=True):
         if end - start > 1:
             part = rows.slice(start, end - start)
-            tree, ids = _tree(part)
+            tree, ids = _tree(part, exact)
             second = dict(zip(part.column("id").to_pylist(), part.column("second").to_pylist(), strict=True))
             border = None if None in second.values() else np.array([second[i] for i in ids.tolist()])
             out.append(_edges(ids, tree.join(share, border=border).roots(0, len(ids))))
@@ -197,18 +199,27 @@ def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, b
     counted = survey.where("slice is not null").select("slice", "counts")
     steps = rarity.levels(rarity.summed(counted))
     light = survey.where("slice is null").select("doc_id", "size", "k1", "k2")
-    nodes = light.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"))
+    nodes = cut(survey.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("signature").alias("signature")))
 
     rows = map_arrow(texts, partial(_prefixes, n, share, steps), "s long, k1 long, k2 long, size int")
     families = components(_candidates(rows, share)).select(
         F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), F.col("component").alias("family")
     )
-    members = cut(families.join(nodes.where("id is not null"), ["k1", "k2"]))
-    asked = _asked(members, share, block)
+    pairs = "a long, b long"
+    # possible links within families, from signatures: what they do not bring together needs no whole sets
+    members = families.join(nodes.where("id is not null"), ["k1", "k2"])
+    coarse = _asked(members, share, block).select("family", "id", "size", "signature", F.inline("tasks"))
+    near = components(coarse.groupBy("task").applyInArrow(lambda rows: _link(rows, share, False), pairs))
+    fine = near.select(F.col("node").alias("id"), F.col("component").alias("family")).join(
+        nodes.select("id", "k1", "k2", "size"), "id"
+    )
+    asked = _asked(fine, share, block)
     of = texts.join(asked, texts["doc_id"] == asked["id"]).select("text", "family", "id", "k1", "k2", "tasks")
     kind = "family long, id long, tokens binary, tasks array<struct<task:long,second:boolean>>"
-    dealt = map_arrow(of, partial(_sets, n), kind).select("family", "id", "tokens", F.inline("tasks"))
-    links = cut(dealt.groupBy("task").applyInArrow(lambda rows: _link(rows, share), "a long, b long"))
+    dealt = map_arrow(of, partial(_sets, n), kind).select(
+        "family", "id", (F.octet_length("tokens") / 8).cast("long").alias("size"), "tokens", F.inline("tasks")
+    )
+    links = dealt.groupBy("task").applyInArrow(lambda rows: _link(rows, share, True), pairs)
     found = components(links).select(F.col("node").alias("id"), F.col("component").alias("component_id"))
     named = cut(
         nodes.join(found, "id", "left").select(
@@ -252,7 +263,7 @@ def _candidates(rows: DataFrame, share: int) -> DataFrame:
 
 
 def _asked(members: DataFrame, share: int, block: int) -> DataFrame:
-    """``family, id, k1, k2, tasks`` for the nodes of families of two or more: which tasks compare them.
+    """The nodes of families of two or more with ``tasks``: which tasks compare them with which.
 
     Small families go whole to a task, several to one. A large family is dealt into blocks by size and
     chance; a node goes to every pair of its block with one whose sizes allow a link.
@@ -262,7 +273,7 @@ def _asked(members: DataFrame, share: int, block: int) -> DataFrame:
     small, large = found.where(F.col("members") <= block), found.where(F.col("members") > block)
     tasks = max(1, -(-small.count() * 4 // block))
     alone = F.struct(F.pmod("family", F.lit(tasks)).alias("task"), F.lit(None).cast("boolean").alias("second"))
-    columns = ["family", "id", "k1", "k2", "tasks"]
+    columns = [*members.columns, "tasks"]
     whole = small.withColumn("tasks", F.array(alone)).select(*columns)
 
     band = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / share)) + 1e-9).cast("long")
@@ -283,8 +294,8 @@ def _asked(members: DataFrame, share: int, block: int) -> DataFrame:
     own, far = F.struct("band", "part"), F.struct(F.col("other").alias("band"), F.col("against").alias("part"))
     task = F.xxhash64("family", F.least(own, far), F.greatest(own, far)).alias("task")
     second = F.when(own != far, own > far).alias("second")
-    blocks_ = pairs.groupBy("family", "id", "k1", "k2").agg(F.collect_list(F.struct(task, second)).alias("tasks"))
-    return whole.union(blocks_.select(*columns))
+    sent = pairs.groupBy("family", "id").agg(F.collect_list(F.struct(task, second)).alias("tasks"))
+    return whole.union(large.join(sent, ["family", "id"]).select(*columns))
 
 
 def keep_one(documents: DataFrame, n: int = SHINGLE, share: int = SHARE) -> DataFrame:

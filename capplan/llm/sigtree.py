@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
-BITMAP = 1024
+#: Bits of a bitmap, and buckets of the counts beside it.
+BITMAP, BUCKETS = 1024, 128
 LEAF, FAN = 32, 8
 
 
@@ -46,17 +47,32 @@ class Links:
         return bool((left == left[0]).all() and (right == left[0]).all())
 
 
+def signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per set a bitmap of its tokens and, per bucket of tokens, how many it has (255 stands for more)."""
+    sizes = np.diff(starts)
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    bits = np.zeros((n, BITMAP // 64), dtype=np.uint64)
+    place = (tokens & np.uint64(BITMAP - 1)).astype(np.int64)
+    flat = owner * (BITMAP // 64) + (place >> 6)
+    np.bitwise_or.at(bits.reshape(-1), flat, np.uint64(1) << (place & 63).astype(np.uint64))
+    bucket = (tokens >> np.uint64(40)).astype(np.int64) % BUCKETS
+    counts = np.bincount(owner * BUCKETS + bucket, minlength=n * BUCKETS)
+    return np.hstack([bits.view(np.uint8), np.minimum(counts, 255).astype(np.uint8).reshape(n, BUCKETS)])
+
+
 class Tree:
-    """Sets in order of size: ``tokens`` one after the other, ``starts`` where each begins and the last ends."""
+    """A signature tree of sets that come in order of size.
+
+    ``signed`` has their signatures. With ``tokens`` (one set after the other) and ``starts`` (where each
+    begins and the last ends) pairs are verified; without them, pairs are linked that may be similar.
+    """
 
-    def __init__(self, tokens: np.ndarray, starts: np.ndarray):
+    def __init__(self, signed: np.ndarray, sizes: np.ndarray, tokens=None, starts=None):
         self.tokens, self.starts = tokens, starts
-        sizes = np.diff(starts)
         n = len(sizes)
-        bits = np.zeros((n, BITMAP // 64), dtype=np.uint64)
-        place = (tokens & np.uint64(BITMAP - 1)).astype(np.int64)
-        owner = np.repeat(np.arange(n), sizes)
-        np.bitwise_or.at(bits.reshape(-1), owner * (BITMAP // 64) + (place >> 6), np.uint64(1) << (place & 63).astype(np.uint64))
+        bits = np.ascontiguousarray(signed[:, : BITMAP // 8]).view(np.uint64)
+        self.counts = signed[:, BITMAP // 8 :].astype(np.int16)
         excess = sizes - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
         self.bits, self.sizes, self.excess = bits, sizes, excess
         self.levels = []  # from leaves up: bitmaps, least and largest size, largest excess, first set and last
@@ -88,7 +104,7 @@ class Tree:
         """
         links = links or Links(len(self.sizes))
         stack = [(len(self.levels) - 1, 0, 0)]
-        numbers = None
+        numbers = mark = None
         while stack:
             level, i, j = stack.pop()
             first = self.levels[level][4]
@@ -103,7 +119,7 @@ class Tree:
                 # near pairs first: what they link need not be compared farther off
                 stack.extend(sorted(pairs, key=lambda p: p[1] - p[2]))
                 continue
-            if numbers is None:
+            if numbers is None and self.tokens is not None:
                 values, numbers = np.unique(self.tokens, return_inverse=True)
                 mark = np.zeros(len(values), dtype=bool)
             self._compare(a, b, share, links, border, numbers, mark)
@@ -111,7 +127,6 @@ class Tree:
 
     def _compare(self, a: slice, b: slice, share: int, links: Links, border, numbers, mark) -> None:
         for x in range(a.start, a.stop):
-            own = numbers[self.starts[x] : self.starts[x + 1]]
             from_ = max(b.start, x + 1)
             if from_ >= b.stop:
                 continue
@@ -124,8 +139,16 @@ class Tree:
             open_ &= (100 + share) * common >= share * (size + self.sizes[x])
             if border is not None:
                 open_ &= border[others] != border[x]
+            # sets differ by at least as many tokens as their bucket counts do
+            differ = np.abs(self.counts[others] - self.counts[x]).sum(axis=1, dtype=np.int64)
+            open_ &= (100 + share) * (size + self.sizes[x] - differ) >= 2 * share * (size + self.sizes[x])
             if not open_.any():
                 continue
+            if numbers is None:
+                for y in others[open_].tolist():
+                    links.join(x, y)
+                continue
+            own = numbers[self.starts[x] : self.starts[x + 1]]
             mark[own] = True
             for y in others[open_].tolist():
                 both = int(np.count_nonzero(mark[numbers[self.starts[y] : self.starts[y + 1]]]))
