@@ -62,6 +62,17 @@ WITH RECURSIVE
 SELECT doc_id, n AS n_shingles, min(reach.b) AS component_id FROM size JOIN reach ON reach.a = doc_id GROUP BY 1, 2
 """
 
+OP8 = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
      w AS (SELECT doc_id, regexp_extract_all(text, '{_BLANK}') AS w FROM d),
@@ -92,4 +103,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op9_quality_rules": OP9}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
