@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +81,33 @@ def map_arrow(
     return df.mapInArrow(task, schema)
 
 
+def squeezed(texts: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``text`` compressed, for texts that have to cross the network whole."""
+    fields = [texts.schema[c] for c in keep]
+
+    def build():
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            raw = pa.array([squeeze((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], raw], names=[*keep, "text"])
+
+        return step
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "text binary"])
+    return map_arrow(texts.select(*keep, "text"), build, schema)
+
+
+def expanded(batch: pa.RecordBatch, some: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of squeezed texts, with the texts whole again."""
+    expand = zstandard.ZstdDecompressor().decompress
+    at = batch.schema.get_field_index("text")
+    for start in range(0, batch.num_rows, some):
+        part = batch.slice(start, some)
+        texts = pa.array([expand(t).decode() for t in part.column(at).to_pylist()], pa.large_string())
+        yield part.set_column(at, "text", texts)
+
+
 def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``limit`` bytes together, a longer text alone."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)

@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capplan.llm import rarity
-from capplan.llm.common import OWN, Words, blocks, cut, map_arrow, scramble, shared_folder, ship
+from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, scramble, shared_folder, ship, squeezed
 
 #: Hundredths of similarity from which a line repeats an earlier one.
 SHARE = 80
 #: Earliest candidates of a line that one shared word sends on.
-EARLIEST = 2
+EARLIEST = 1
+#: Later lines of one comparison.
+HOT = 1 << 16
 #: Lines with a shared word up to which all pairs of places are compared at once.
 FLAT = 96
 
@@ -273,40 +275,57 @@ def _pair_batch(i, line, of_id, of_line, version, more) -> pa.RecordBatch:
     )
 
 
+_SETS = "g_id long, g_line int, deal long, late boolean, id long, line int, version long, words binary"
+
+
 def _asked():
-    """Word sets of the lines asked for."""
+    """Word sets of the lines asked for, one for each comparison that a line takes part in."""
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for block in blocks(batch):
+        for block in expanded(batch):
             lines = Lines(block.column("text"))
-            asked = block.column("lines")
+            asked = block.column("asked")
             owner = np.repeat(np.arange(block.num_rows), np.diff(np.asarray(asked.offsets)))
-            numbers = asked.flatten().to_numpy()
+            fields = asked.flatten()
+            numbers = fields.field("line").to_numpy()
             first = np.searchsorted(lines.text, np.arange(block.num_rows + 1))
-            there = numbers < np.diff(first)[owner]
+            there = np.flatnonzero(numbers < np.diff(first)[owner])
             owner, numbers = owner[there], numbers[there]
             at = first[owner] + numbers
-            size = lines.sizes[at]
-            take = np.repeat(lines.starts[at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(lines.tokens[take].view(np.int64)))
-            out.append(
-                pa.RecordBatch.from_arrays(
-                    [
-                        block.column("id").take(pa.array(owner)),
-                        pa.array(numbers.astype(np.int32)),
-                        block.column("version").take(pa.array(owner)),
-                        words,
-                    ],
-                    names=["id", "line", "version", "words"],
-                )
-            )
+            raw = [lines.tokens[s:e].tobytes() for s, e in zip(lines.starts[at], lines.starts[at + 1], strict=True)]
+            picked = {n: fields.field(n).take(pa.array(there)) for n in ("g_id", "g_line", "deal", "late")}
+            own = {n: block.column(n).take(pa.array(owner)) for n in ("id", "version")}
+            columns = {**picked, **own, "line": pa.array(numbers), "words": pa.array(raw, pa.binary())}
+            names = [c.split()[0] for c in _SETS.split(", ")]
+            out.append(pa.RecordBatch.from_arrays([columns[n] for n in names], names=names))
         return pa.concat_batches(out)
 
     return step
 
 
+def _alike(batches, share: int):
+    """Later lines that are similar to the earlier one of their comparison, which comes before them."""
+    key, early = None, []
+    for batch in batches:
+        found = []
+        for g_id, g_line, deal, late, i, line, version, words in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if key != (g_id, g_line, deal):
+                key, early = (g_id, g_line, deal), []
+            own = np.frombuffer(words, dtype=np.uint64)
+            if not late:
+                early.append(own)
+                continue
+            for other in early:
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                if 100 * both >= share * (len(own) + len(other) - both):
+                    found.append((i, line, version, g_id, g_line))
+                    break
+        if found:
+            columns = zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["id", "line", "version", "of_id", "of_line"])
+
+
 def _texts(documents: DataFrame) -> DataFrame:
     """``id`` (NULL last of all), ``version`` (tells rows of one id apart) and ``text``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -320,22 +339,24 @@ def _sorted(rows: DataFrame) -> DataFrame:
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
-    """The pairs whose sets are similar enough, with the version of the later line's document."""
-    needed = (
-        pairs.select("id", "line")
-        .union(pairs.select("of_id", "of_line"))
-        .groupBy("id")
-        .agg(F.collect_set("line").alias("lines"))
-    )
-    asked = texts.join(needed.withColumnRenamed("id", "n_id"), F.col("id") == F.col("n_id")).select(
-        "id", "version", "text", "lines"
+    """The pairs whose sets are similar enough, with the version of the later line's document.
+
+    Every line's set goes to the comparisons that it takes part in: the earlier line first, then all later
+    ones; an earlier line with very many later ones has several comparisons.
+    """
+    per = pairs.groupBy("of_id", "of_line").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("deals"))
+    dealt = pairs.join(per, ["of_id", "of_line"]).withColumn("deal", F.pmod(F.xxhash64("id", "line"), F.col("deals")))
+    group = [F.col("of_id").alias("g_id"), F.col("of_line").alias("g_line")]
+    late = dealt.select("id", F.struct("line", *group, "deal", F.lit(True).alias("late")).alias("one"))
+    early = per.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1))).select(
+        F.col("of_id").alias("id"),
+        F.struct(F.col("of_line").alias("line"), *group, "deal", F.lit(False).alias("late")).alias("one"),
     )
-    sets = cut(map_arrow(asked, _asked, "id long, line int, version long, words array<long>").distinct())
-    early = sets.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"), F.col("words").alias("early"))
-    both = pairs.select("id", "line", "of_id", "of_line").join(early, ["of_id", "of_line"]).join(sets, ["id", "line"])
-    common = F.size(F.array_intersect("early", "words"))
-    alike = 100 * common >= share * (F.size("early") + F.size("words") - common)
-    return both.where(alike).select("id", "line", "version", "of_id", "of_line")
+    asked = late.union(early).groupBy(F.col("id").alias("a_id")).agg(F.collect_list("one").alias("asked"))
+    whole = squeezed(texts, "id", "version").join(asked, F.col("id") == F.col("a_id"))
+    sets = map_arrow(whole.select("id", "version", "text", "asked"), _asked, _SETS)
+    ordered = sets.repartition("g_id", "g_line", "deal").sortWithinPartitions("g_id", "g_line", "deal", "late")
+    return ordered.mapInArrow(partial(_alike, share=share), "id long, line int, version long, of_id long, of_line int")
 
 
 def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
