@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from capplan.llm import rarity
-from capplan.llm.common import OWN, Words, blocks, cut, map_arrow, mix, scramble, ship
+from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, scramble, ship, squeezed
 from capplan.llm.graph import components
 from capplan.llm.sigtree import Tree, signatures
 
@@ -130,7 +130,7 @@ def _sets(n: int):
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for block in blocks(batch):
+        for block in expanded(batch):
             tokens, starts = shingle_sets(block.column("text"), n)
             k1, k2 = set_keys(tokens, starts)
             right = (k1 == block.column("k1").to_numpy()) & (k2 == block.column("k2").to_numpy())
@@ -214,7 +214,7 @@ def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, b
         nodes.select("id", "k1", "k2", "size"), "id"
     )
     asked = _asked(fine, share, block)
-    of = texts.join(asked, texts["doc_id"] == asked["id"]).select("text", "family", "id", "k1", "k2", "tasks")
+    of = squeezed(texts, "doc_id").join(asked, F.col("doc_id") == F.col("id")).select("text", "family", "id", "k1", "k2", "tasks")
     kind = "family long, id long, tokens binary, tasks array<struct<task:long,second:boolean>>"
     dealt = map_arrow(of, partial(_sets, n), kind).select(
         "family", "id", (F.octet_length("tokens") / 8).cast("long").alias("size"), "tokens", F.inline("tasks")
