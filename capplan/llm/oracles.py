@@ -27,6 +27,18 @@ SELECT documents.doc_id, coalesce(n.c, 0)::BIGINT AS n_lines, coalesce(per.c, 0)
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN per USING (doc_id)
 """
 
+OP3 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, '')) AS raw FROM pages),
+     d AS (SELECT page_id, octet_length(raw)::BIGINT AS payload_bytes, sha1(raw) AS hex, max(page_id) OVER (PARTITION BY html) AS r FROM p),
+     b AS (SELECT *, array_to_string(list_transform(range(40), lambda i: lpad(bin(instr('0123456789abcdef', hex[i + 1]) - 1), 4, '0')), '') AS bits FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 +
+         list_sum(list_transform(range(5), lambda k: bits[5 * i + k + 1]::INT * (16 >> k)))::INT]), '') AS payload_digest,
+       CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> r THEN r END AS refers_to
+FROM b
+"""
+
 OP5 = rf"""
 WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
@@ -103,4 +115,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op3_warc": OP3, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}

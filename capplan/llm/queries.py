@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import chat, decontaminate, line_dedup, ngram_join, packing, pii, quality
+from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, warc
 from capplan.llm.common import OWN, only, table
 
 
@@ -17,6 +17,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page, read back from the archives: its payload's size and digest, and what holds it."""
+    index, folder = warc.write_archives(only(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
+    return warc.read_records(index, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Where a vocabulary of the public tokenizers lies; it is read in place, on every executor."""
     import public_tokenizers
@@ -78,12 +86,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text."""
+    return html_text.main_text(only(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_personal_data": op7_personal_data,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
+    "op10_html_extraction": op10_html_extraction,
 }
