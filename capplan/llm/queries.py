@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, warc
+from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, substring_dedup, warc
 from capplan.llm.common import OWN, only, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that a document has in common, or nearly, with one of a smaller id."""
+    return substring_dedup.repeated_passages(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines with a word, and which lines repeat an earlier line of the table."""
     found = line_dedup.report(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
@@ -92,6 +97,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
