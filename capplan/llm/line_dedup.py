@@ -3,8 +3,8 @@
 A line is the set of its words. Words are ordered from rare to frequent; two sets of Jaccard similarity of
 at least the threshold have one of their rarest words in common, so each line is sent to as many of its
 rarest words as that takes. There, lines are compared in document order under the length filter, the
-positional filter (what can still be common after the shared word's places) and a bound from 64-bit word
-bitmaps; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
+positional filter (what can still be common after the shared word's places) and a bound from 64-bit
+tallies of words; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
 
 Each line is sent on with its earliest candidates only, so copies of a line by the thousand cost a row
 each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with
@@ -62,10 +62,20 @@ class Lines:
             out[name] = sums[self.starts[1:]] - sums[self.starts[:-1]]
         return out
 
-    def bitmaps(self) -> np.ndarray:
-        out = np.zeros(len(self.sizes), dtype=np.uint64)
-        np.bitwise_or.at(out, self.owner, np.uint64(1) << (self.tokens >> np.uint64(58)))
-        return out
+    def tallies(self) -> np.ndarray:
+        """How many words fall into each of sixteen buckets, modulo 16, in 64 bits."""
+        bucket = (self.tokens >> np.uint64(60)).astype(np.int64)
+        counts = np.bincount(self.owner * 16 + bucket, minlength=len(self.sizes) * 16).reshape(-1, 16) % 16
+        return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+
+
+def tally_gap(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """By how many words sets with these tallies differ at least."""
+    out = np.zeros(len(x), dtype=np.int64)
+    for k in range(0, 64, 4):
+        gap = ((x >> np.uint64(k)) - (y >> np.uint64(k))).astype(np.int64) & 15
+        out += np.minimum(gap, 16 - gap)
+    return out
 
 
 _SURVEY = f"id long, version long, n_lines int, {rarity.COUNTS}"
@@ -90,8 +100,8 @@ def _survey(batches):
 
 
 #: word: rank of a shared word; size and place: of the line's set, of the word in it. Size 0: a line that
-#: repeats an earlier one of its batch, which stands in ``bits`` (document) and ``place`` (line).
-_ROWS = "word long, id long, line int, size int, place int, bits long, version long"
+#: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line).
+_ROWS = "word long, id long, line int, size int, place int, tally long, version long"
 
 
 def _rows(share: int, steps: np.ndarray):
@@ -136,7 +146,7 @@ def _rows(share: int, steps: np.ndarray):
                     lines.number[owner].astype(np.int32),
                     size[owner].astype(np.int32),
                     place[kept].astype(np.int32),
-                    lines.bitmaps()[owner].view(np.int64),
+                    lines.tallies()[owner].view(np.int64),
                     versions[lines.text[owner]] * 0,
                 )
             )
@@ -149,7 +159,7 @@ def _rows(share: int, steps: np.ndarray):
 
 
 #: A later line and an earlier one that may be similar; version is set where that is certain already.
-_PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean"
+_PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean, word long"
 
 
 class _Group:
@@ -159,15 +169,19 @@ class _Group:
         self.rows, self.share, self.keep = rows, share, keep
 
     def passes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length, positional and bitmap filters for rows x and y of one word."""
-        size, place, bits = self.rows["size"], self.rows["place"], self.rows["bits"]
+        """Length, positional and tally filters for rows x and y of one word."""
+        size, place, tally = self.rows["size"], self.rows["place"], self.rows["tally"]
         a, b = size[x].astype(np.int64), size[y].astype(np.int64)
         i, j = place[x].astype(np.int64), place[y].astype(np.int64)
         room = np.minimum(i, j) + np.minimum(a - i, b - j)
-        some = np.minimum(a - np.bitwise_count(bits[x]), b - np.bitwise_count(bits[y]))
-        room = np.minimum(room, some + np.bitwise_count(bits[x] & bits[y]))
         room = np.minimum(room, np.minimum(a, b))
-        return (100 + self.share) * room >= self.share * (a + b)
+        ok = np.flatnonzero((100 + self.share) * room >= self.share * (a + b))
+        out = np.zeros(len(x), dtype=bool)
+        if len(ok):
+            both = (a + b)[ok]
+            gap = tally_gap(tally[x[ok]], tally[y[ok]])
+            out[ok] = (100 + self.share) * (both - gap) >= 2 * self.share * both
+        return out
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Earlier row, later row, and whether the later one has more candidates than are given."""
@@ -233,16 +247,16 @@ def _pairs(batches, share: int, keep: int | None, wanted: bool = False):
         sure = rows["size"] == 0
         if sure.any():
             yield _pair_batch(
-                rows["id"][sure], rows["line"][sure], rows["bits"][sure], rows["place"][sure], rows["version"][sure], None
+                rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure], None, None
             )
         rest = {k: v[~sure] for k, v in rows.items()}
-        rest["bits"] = rest["bits"].view(np.uint64)
+        rest["tally"] = rest["tally"].view(np.uint64)
         x, y, more = _Group(rest, share, keep).pairs()
         if wanted:
             asked = rest["wanted"][y]
             x, y, more = x[asked], y[asked], more[asked]
         if len(x):
-            yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more)
+            yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y])
 
     for batch in batches:
         if not batch.num_rows:
@@ -260,7 +274,7 @@ def _pairs(batches, share: int, keep: int | None, wanted: bool = False):
         yield from done({k: np.concatenate([h[k] for h in held]) for k in names})
 
 
-def _pair_batch(i, line, of_id, of_line, version, more) -> pa.RecordBatch:
+def _pair_batch(i, line, of_id, of_line, version, more, word) -> pa.RecordBatch:
     n = len(i)
     return pa.RecordBatch.from_arrays(
         [
@@ -270,6 +284,7 @@ def _pair_batch(i, line, of_id, of_line, version, more) -> pa.RecordBatch:
             pa.array(of_line),
             pa.nulls(n, pa.int64()) if version is None else pa.array(version),
             pa.array(np.zeros(n, bool) if more is None else more),
+            pa.nulls(n, pa.int64()) if word is None else pa.array(word),
         ],
         names=[c.split()[0] for c in _PAIRS.split(", ")],
     )
@@ -378,22 +393,16 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     open_ = pairs.where("version is null").groupBy("id", "line", "of_id", "of_line").agg(F.max("more").alias("more"))
     found = cut(sure.union(_verified(texts, open_, share)))
     # lines whose candidates all failed, but which had more
-    failed = (
-        pairs.where("version is null")
-        .groupBy("id", "line")
-        .agg(F.max("more").alias("more"))
-        .where("more")
-        .join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
-        .select("id", "line")
-    )
+    failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
-    failed.write.parquet(folder)
+    failed.select("id", "line", "word").distinct().write.parquet(folder)
     failed = spark.read.parquet(folder)
     if failed.first() is not None:
-        mine = rows.where("size > 0").join(failed, ["id", "line"], "left_semi").select("word").distinct()
-        mine.write.parquet(f"{folder}-words")
+        # few as a rule: Spark broadcasts them if their size allows it
+        failed.select("word").distinct().write.parquet(f"{folder}-words")
         near = rows.where("size > 0").join(spark.read.parquet(f"{folder}-words"), "word", "left_semi")
-        marked = near.join(failed.withColumn("wanted", F.lit(True)), ["id", "line"], "left")
+        lines = failed.select("id", "line").distinct().withColumn("wanted", F.lit(True))
+        marked = near.join(lines, ["id", "line"], "left")
         marked = marked.select(*[c.split()[0] for c in _ROWS.split(", ")], F.coalesce("wanted", F.lit(False)).alias("wanted"))
         again = _sorted(marked).mapInArrow(partial(_pairs, share=share, keep=None, wanted=True), _PAIRS)
         again = again.select("id", "line", "of_id", "of_line").distinct()
