@@ -1,10 +1,8 @@
 """Dense output: every required label for every run and site, zero if nothing matched.
 
-Two forms with the same result on aggregated input:
-
-* ``fill_missing_labels`` completes a finished aggregate table;
-* ``dense_totals`` aggregates rows and completes them in one pass, without building
-  the key skeleton separately and joining it back.
+``fill_missing_labels`` completes a finished aggregate, and ``dense_totals`` aggregates rows first.
+Either refers to its input once: the labels a run and site has are brought together, and required
+labels are looked up among them, so no key skeleton is built separately and joined back.
 
 A NULL run or site equals nothing, so required labels are zero there whatever the
 rows hold; a NULL label never reaches the output, but its row still counts as proof
@@ -32,25 +30,53 @@ def run_site_universe(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def fill_missing_labels(
     totals: DataFrame,
-    required: Sequence[str],
+    required: Sequence[str] | Column,
     label_column: str = "grouping",
     *,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Complete ``totals`` with zero rows for required labels its runs and sites lack.
 
-    Labels outside ``required`` pass through unchanged.
+    Labels outside ``required`` pass through unchanged, and keys that occur twice stay twice.
+    ``required`` may be an array column that depends on the ``by`` columns. What is brought
+    together for a run and site is its rows in an aggregate, one per distinct label.
     """
-    keys = [*by, *KEYS, label_column]
-    measures = [name for name in totals.columns if name not in keys]
-    expected = run_site_universe(totals, by).withColumn(
-        label_column, F.explode(label_list(required))
+    keys = [*by, *KEYS]
+    measures = [f for f in totals.schema.fields if f.name not in (*keys, label_column)]
+    wanted = required if isinstance(required, Column) else label_list(required)
+    row = F.struct(F.col(label_column), *[F.col(f.name) for f in measures])
+    labelled = F.when(F.col(label_column).isNotNull(), row)
+    found = (
+        totals.groupBy(*keys)
+        .agg(F.collect_list(labelled).alias("_rows"))
+        .withColumn("_required", wanted)
     )
-    completed = expected.join(totals, keys, "left").select(
-        *keys, *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in measures]
+    keyed = F.col("model_run").isNotNull() & F.col("sitetret").isNotNull()
+
+    def needed(label: Column) -> Column:
+        return F.array_contains("_required", label)
+
+    def filled(entry: Column) -> Column:
+        values = [
+            F.when(needed(entry[label_column]), F.coalesce(entry[f.name], F.lit(0).cast(f.dataType)))
+            .otherwise(entry[f.name])
+            .alias(f.name)
+            for f in measures
+        ]
+        return F.struct(entry[label_column].alias(label_column), *values)
+
+    def zero(label: Column) -> Column:
+        return F.struct(
+            label.alias(label_column), *[F.lit(0).cast(f.dataType).alias(f.name) for f in measures]
+        )
+
+    present = F.filter("_rows", lambda entry: keyed | ~needed(entry[label_column]))
+    lacking = F.filter(
+        "_required", lambda label: ~keyed | ~F.array_contains(F.col(f"_rows.{label_column}"), label)
+    )
+    return found.select(
+        *keys, F.inline(F.concat(F.transform(present, filled), F.transform(lacking, zero)))
     )
-    others = totals.where(~F.col(label_column).isin(*required))
-    return others.select(*keys, *measures).unionByName(completed)
 
 
 def dense_totals(
@@ -63,48 +89,8 @@ def dense_totals(
 ) -> DataFrame:
     """Sum ``measures`` per run, site and label, and complete the required labels.
 
-    ``required`` is an array column that may depend on the ``by`` columns. The first
-    aggregation combines map-side, so a hot run or site costs one partial row per task;
-    after it a run and site holds one row per distinct label, which is all the second
-    one brings together.
+    The aggregation combines map-side, so a hot run or site costs one partial row per task.
     """
-    keys = [*by, *KEYS]
-    values = F.struct(*measures)
-    found = (
-        rows.groupBy(*keys, label_column)
-        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures])
-        .groupBy(*keys)
-        .agg(
-            F.map_from_entries(
-                F.collect_list(
-                    F.when(F.col(label_column).isNotNull(), F.struct(F.col(label_column), values))
-                )
-            ).alias("_found")
-        )
-        .withColumn("_required", required)
-    )
-    keyed = F.col("model_run").isNotNull() & F.col("sitetret").isNotNull()
-
-    def completed(wanted: Column) -> Column:
-        value = F.when(keyed, F.try_element_at("_found", wanted))
-        return F.struct(
-            wanted.alias(label_column),
-            *[F.coalesce(value[name], F.lit(0)).alias(name) for name in measures],
-        )
-
-    def passed(entry: Column) -> Column:
-        value = entry["value"]
-        return F.struct(
-            entry["key"].alias(label_column), *[value[name].alias(name) for name in measures]
-        )
-
-    others = F.map_filter("_found", lambda name, _: ~F.array_contains("_required", name))
-    return found.select(
-        *keys,
-        F.inline(
-            F.concat(
-                F.transform("_required", completed),
-                F.transform(F.map_entries(others), passed),
-            )
-        ),
-    )
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures]
+    totals = rows.groupBy(*by, *KEYS, label_column).agg(*sums)
+    return fill_missing_labels(totals, required, label_column, by=by)

@@ -32,11 +32,27 @@ def add_theatre_total(spells: DataFrame, theatre_times: DataFrame) -> DataFrame:
 
     A procedure listed k times in the lookup counts a spell k times in theatre totals;
     here that is a weight of k and the sum of the k times, so the same spells can feed
-    the other areas in the same pass. Needs cleaned times (no NULL).
+    the other areas in the same pass. A procedure whose times are all NULL keeps its weight
+    and has an unknown time; one with known and unknown times fails the query, as a spell
+    would belong to two labels.
     """
-    per_code = theatre_times.groupBy(F.col("opcs_code").alias("primary_procedure")).agg(
-        F.count("theatre_time").alias("theatre_rows"),
-        F.sum("theatre_time").alias("theatre_time"),
+    known, rows = F.count("theatre_time"), F.count(F.lit(1))
+    code = F.coalesce(F.col("primary_procedure"), F.lit("NULL"))
+    mixed = F.raise_error(F.concat(F.lit("theatre times partly unknown: "), code))
+    per_code = (
+        theatre_times.groupBy(F.col("opcs_code").alias("primary_procedure"))
+        .agg(
+            known.alias("_known"),
+            rows.alias("_rows"),
+            F.sum("theatre_time").alias("theatre_time"),
+        )
+        .select(
+            "primary_procedure",
+            F.when(F.col("_known").isin(0, F.col("_rows")), F.col("_rows"))
+            .otherwise(mixed)
+            .alias("theatre_rows"),
+            "theatre_time",
+        )
     )
     return spells.join(per_code, "primary_procedure", "left").withColumn(
         "theatre_rows", F.coalesce("theatre_rows", F.lit(1))

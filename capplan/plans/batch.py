@@ -23,7 +23,8 @@ from capplan.plans.inpatients import inpatient_areas
 from capplan.plans.outpatients import outpatient_areas
 from capplan.plans.scenario import OUTPATIENT_NAME, Roots
 from capplan.sources import scenarios
-from capplan.sources.activity import as_baseline
+from capplan.sources.activity import as_baseline, baseline_folder
+from capplan.sources.scenarios import decoded
 
 SCENARIO = "scenario"
 INPATIENT_NAME = "ip"
@@ -63,34 +64,39 @@ def _runs(
     rows = _read_files(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths])
     if "model_run" not in rows.columns:
         rows = rows.withColumn("model_run", _part("model_run").cast("int"))
-    # one row per path the caller listed
-    numbers = F.broadcast(keys.select(SCENARIO, F.col("location").alias("_folder")))
-    numbered = rows.withColumn("_folder", _folder_above(folder)).join(numbers, "_folder")
+    numbers = keys.select(SCENARIO, F.col("location").alias("_folder"))
+    numbered = _matched(rows.withColumn("_folder", _folder_above(folder)), numbers, "_folder")
     return schemas.require(numbered, schema, folder).select(SCENARIO, *schema.names)
 
 
+def _matched(rows: DataFrame, numbers: DataFrame, folder: str) -> DataFrame:
+    """``rows`` with the scenario of their folder; a folder of no scenario fails the query."""
+    lost = F.raise_error(F.concat(F.lit("no scenario has the folder "), F.col(folder)))
+    found = rows.join(numbers, folder, "left")
+    return found.withColumn(SCENARIO, F.coalesce(F.col(SCENARIO), lost.cast("int")))
+
+
 def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) -> DataFrame:
     """The baseline of every scenario, repeated where scenarios share one."""
     root = roots.model_data.rstrip("/")
-    folders = [
-        f"{root}/{row['data_version']}/{kind}/fyear={row['fyear']}/dataset={row['provider']}"
-        for row in keys.select(*_DATASET).distinct().collect()
-    ]
-    rows = as_baseline(_read_files(spark, folders)).withColumns(
-        {
-            "data_version": F.regexp_extract("_location", rf"/([^/]+)/{kind}/fyear=", 1),
-            "fyear": _part("fyear").cast("int"),
-            "provider": F.url_decode(_part("dataset")),
-        }
-    )
-    repeated = rows.join(F.broadcast(keys.select(SCENARIO, *_DATASET)), _DATASET)
-    return schemas.require(repeated.drop(*_DATASET, "_location"), schemas.BASELINES[kind], kind)
+    named = keys.select(SCENARIO, *_DATASET).collect()
+    folders = {row[SCENARIO]: baseline_folder(row["data_version"], kind, row["fyear"], row["provider"]) for row in named}
+    rows = as_baseline(_read_files(spark, [f"{root}/{f}" for f in sorted(set(folders.values()))]))
+    # data version, kind, year and provider: the last four folders above the file
+    place = F.regexp_extract(decoded(F.col("_location")), "([^/]+/[^/]+/fyear=[^/]+/dataset=[^/]+)/[^/]*$", 1)
+    numbers = spark.createDataFrame(list(folders.items()), f"{SCENARIO} int, _folder string")
+    repeated = _matched(rows.withColumn("_folder", place), numbers, "_folder")
+    return schemas.require(repeated.drop("_folder", "_location"), schemas.BASELINES[kind], kind)
 
 
 def _scenario_keys(
     spark: SparkSession, paths: Sequence[str], roots: Roots, data_versions: DataFrame
 ) -> DataFrame:
     """Number, path, dataset and encoded results folder of every given path."""
+    plain = [path.strip("/") for path in paths]
+    twice = sorted({path for path in plain if plain.count(path) > 1})
+    if twice:
+        raise ValueError(f"listed more than once: {twice}")
     given = scenarios.read_scenarios(spark, roots.results, paths)
     found = resolve_versions(scenarios.scenario_keys(given, "location"), data_versions).collect()
     unresolved = [row["path"] for row in found if row["data_version"] == NO_VERSION]
@@ -114,7 +120,8 @@ def batch_tables(
     """Tables ``aae``, ``op`` and ``ip`` of all scenarios, each led by ``path``.
 
     ``ip`` is the table of ``inpatient_areas``; ``area_table(ip, name, by=["path"])``
-    gives a single area of it. All three are lazy.
+    gives a single area of it. The scenarios' parameters are read, and the baselines measured, before
+    the tables are returned; the tables themselves are lazy.
     """
     keys = _scenario_keys(spark, paths, roots, data_versions)
 
@@ -142,7 +149,7 @@ def batch_tables(
             by=by,
         ),
     }
-    names = F.broadcast(keys.select(SCENARIO, "path"))
+    names = keys.select(SCENARIO, "path")
     return {
         name: table.join(names, SCENARIO).select(
             "path", *[column for column in table.columns if column != SCENARIO]

@@ -24,19 +24,37 @@ def as_baseline(records: DataFrame, index: str = "index") -> DataFrame:
     )
 
 
+# The characters Spark writes as %XX in the name of a partition folder.
+_ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | frozenset(map(chr, range(1, 32)))
+
+
+def partition_folder(name: str, value: object) -> str:
+    """The folder ``name=value`` as Spark writes it."""
+    return f"{name}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+
+def baseline_folder(version: str, activity: str, fyear: int, provider: str) -> str:
+    """The folder of one provider and year below the model data root."""
+    year, dataset = partition_folder("fyear", fyear), partition_folder("dataset", provider)
+    return f"{version}/{activity}/{year}/{dataset}"
+
+
 def read_baseline(
     spark: SparkSession, data_root: str, version: str, activity: str, fyear: int, provider: str
 ) -> DataFrame:
-    """Baseline of one provider and year, out of the folder of all of them.
+    """Baseline of one provider and year.
 
-    The two conditions are on partition folders, so only the matching ones are listed
-    into the scan.
+    Only its own folder is listed, and the provider is not compared: below a common root Spark
+    takes providers that look like numbers for numbers.
     """
     if version == NO_VERSION:
         raise ValueError("no data version fits the model version of this scenario")
+    folder = baseline_folder(version, activity, fyear, provider)
+    root = data_root.rstrip("/")
     records = (
-        spark.read.parquet(f"{data_root.rstrip('/')}/{version}/{activity}")
-        .where((F.col("fyear") == fyear) & (F.col("dataset").cast("string") == provider))
+        spark.read.option("basePath", f"{root}/{version}/{activity}")
+        .parquet(f"{root}/{folder}")
+        .where(F.col("fyear") == fyear)
         .drop("fyear", "dataset")
     )
     return schemas.require(as_baseline(records), schemas.BASELINES[activity], f"{activity} baseline")

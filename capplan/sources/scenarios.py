@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed format: full-<folder>/<model version>/<provider>/<scenario>/<run time>/, with
@@ -39,6 +39,11 @@ def scenario_keys(scenarios: DataFrame, *kept: str) -> DataFrame:
     )
 
 
+def decoded(location: Column) -> Column:
+    """A location in file metadata as plain text; they are percent-encoded, but a plus sign is one."""
+    return F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B")))
+
+
 def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str]) -> DataFrame:
     """``(path, params, location)`` of the given results paths, one row per scenario.
 
@@ -50,10 +55,8 @@ def read_scenarios(spark: SparkSession, results_root: str, paths: Sequence[str])
     pattern = rf"^(.*/){AGGREGATED_PREFIX}([^/]+(?:/[^/]+){{4}})/{PARAMS_FILE}$"
     file = F.col("_metadata.file_path")
     relative = F.concat(F.lit(FULL_PREFIX), F.regexp_extract(file, pattern, 2))
-    # file metadata are percent-encoded, but a plus sign in them is one
-    decoded = F.url_decode(F.replace(relative, F.lit("+"), F.lit("%2B")))
     return spark.read.text(files, wholetext=True).select(
-        F.concat(decoded, F.lit("/")).alias("path"),
+        F.concat(decoded(relative), F.lit("/")).alias("path"),
         F.col("value").alias("params"),
         F.concat(F.regexp_extract(file, pattern, 1), relative).alias("location"),
     )

@@ -4,6 +4,7 @@ import pytest
 
 import capplan as cp
 from capplan.operators.densify import label_list
+from capplan.operators.lookups import add_theatre_total
 from tests.builders import bag
 
 SCHEMA = "model_run int, sitetret string, grouping string, total bigint"
@@ -65,3 +66,15 @@ def test_dense_totals_sums_rows(spark):
 def test_types_stay(spark):
     rows = spark.createDataFrame([(1, "A", "x", 1)], SCHEMA)
     assert dict(cp.dense_totals(rows, label_list(REQUIRED), ["total"]).dtypes)["total"] == "bigint"
+
+
+def test_a_procedure_without_any_time_keeps_its_spells(spark):
+    spells = spark.createDataFrame([("W01",), ("W01",), ("X02",)], "primary_procedure string")
+    times = spark.createDataFrame(
+        [("W01", None), ("X02", 3.0)], "opcs_code string, theatre_time double"
+    )
+    rows = add_theatre_total(spells, times).select("primary_procedure", "theatre_rows", "theatre_time")
+    assert bag(rows) == [("W01", 1, None), ("W01", 1, None), ("X02", 1, 3.0)]
+    mixed = times.union(spark.createDataFrame([("W01", 2.0)], times.schema))
+    with pytest.raises(Exception, match="partly unknown"):
+        add_theatre_total(spells, mixed).collect()

@@ -130,3 +130,30 @@ def test_a_batch_gives_each_scenario_its_tables(spark, inputs, tmp_path):
     with pytest.raises(ValueError, match="no data version"):
         late = spark.createDataFrame([("v9.0.0",)], "name string")
         cp.batch_tables(spark, paths, roots, late, inputs.specialties, inputs.theatre_times)
+
+
+def test_no_provider_loses_its_baseline(spark, inputs, tmp_path):
+    """Providers with a plus sign, a space or only digits, each in a scenario of its own."""
+    roots = cp.Roots(f"{tmp_path}/data", f"{tmp_path}/results", f"{tmp_path}/output")
+    providers = ("A+B", "R 1", "007")
+    paths = [f"full-model-results/v4.0/{provider}/plan/2025/" for provider in providers]
+    inputs_of = {"aae": "aae", "op": "op", "ip": "ip"}
+    for provider, path in zip(providers, paths, strict=True):
+        for kind in inputs_of:
+            raw = inputs[f"{kind}_baseline"].drop("model_run").withColumnRenamed("rn", "index")
+            raw.coalesce(1).write.parquet(f"{roots.model_data}/v4.0.2/{kind}/fyear=2023/dataset={provider}")
+            inputs[f"{kind}_results"].coalesce(1).write.parquet(f"{roots.results}/{path}{kind}")
+        for name in ("sdec_conversion", "op_conversion"):
+            inputs[name].coalesce(1).write.parquet(f"{roots.results}/{path}{name}")
+        params = tmp_path / "results" / aggregated_path(path)
+        params.mkdir(parents=True)
+        (params / "params.json").write_text('{"start_year": 2023}')
+    lookups = (versions(spark), inputs.specialties, inputs.theatre_times)
+    batch = cp.batch_tables(spark, paths, roots, *lookups)["aae"]
+    expected = bag(cp.emergency_areas(*inputs.emergency))
+    for path in paths:
+        assert bag(batch.where(batch["path"] == path).drop("path")) == expected, path
+    one, _ = cp.scenario_tables(spark, paths[2], roots, *lookups)
+    assert bag(one["aae"]) == expected
+    with pytest.raises(ValueError, match="more than once"):
+        cp.batch_tables(spark, [paths[0], paths[0].rstrip("/")], roots, *lookups)
