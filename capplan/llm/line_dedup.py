@@ -28,10 +28,10 @@ from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, scr
 SHARE = 80
 #: Earliest candidates of a line that one shared word sends on.
 EARLIEST = 1
+#: Candidates of a line at one shared word among which the earliest are taken; with so many it has more.
+ENOUGH = 64
 #: Later lines of one comparison.
 HOT = 1 << 16
-#: Lines with a shared word up to which all pairs of places are compared at once.
-FLAT = 96
 
 _LAST = (1 << 63) - 1
 
@@ -163,83 +163,62 @@ _PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean
 
 
 class _Group:
-    """Rows of whole shared words, by word and then in document order."""
+    """Rows of whole shared words, by word and then by size."""
 
     def __init__(self, rows: dict[str, np.ndarray], share: int, keep: int | None):
         self.rows, self.share, self.keep = rows, share, keep
+        self.wanted = rows.get("wanted")
 
-    def passes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length, positional and tally filters for rows x and y of one word."""
+    def passes(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of rows x and y of one word, close in size, that the positional and tally filters let through."""
         size, place, tally = self.rows["size"], self.rows["place"], self.rows["tally"]
-        a, b = size[x].astype(np.int64), size[y].astype(np.int64)
-        i, j = place[x].astype(np.int64), place[y].astype(np.int64)
+        a, b, i, j = size[x], size[y], place[x], place[y]
         room = np.minimum(i, j) + np.minimum(a - i, b - j)
-        room = np.minimum(room, np.minimum(a, b))
-        ok = np.flatnonzero((100 + self.share) * room >= self.share * (a + b))
-        out = np.zeros(len(x), dtype=bool)
-        if len(ok):
-            both = (a + b)[ok]
-            gap = tally_gap(tally[x[ok]], tally[y[ok]])
-            out[ok] = (100 + self.share) * (both - gap) >= 2 * self.share * both
-        return out
+        ok = (100 + self.share) * room >= self.share * (a + b)
+        x, y, both = x[ok], y[ok], (a + b)[ok]
+        ok = (100 + self.share) * (both - tally_gap(tally[x], tally[y])) >= 2 * self.share * both
+        return x[ok], y[ok]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Earlier row, later row, and whether the later one has more candidates than are given."""
-        word = self.rows["word"]
+        word, size = self.rows["word"], self.rows["size"]
         n = len(word)
-        starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if n else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(starts, n))
-        place = np.arange(n) - np.repeat(starts, sizes)
-        flat = np.repeat(sizes <= FLAT, sizes)
-        found = []
-        for lag in range(1, min(FLAT, int(sizes.max(initial=0)))):
-            y = np.flatnonzero(flat & (place >= lag))
-            if not len(y):
+        i, line = self.rows["id"], self.rows["line"]
+        found, have = [], np.zeros(n, dtype=np.int64)
+        # rows of one word come by size: a row is compared with those after it up to the size that still allows it
+        left = np.arange(n)
+        for lag in range(1, n):
+            left = left[left + lag < n]
+            near = (word[left + lag] == word[left]) & (100 * size[left] >= self.share * size[left + lag])
+            left = left[near]
+            if not len(left):
                 break
-            x = y - lag
-            ok = self.passes(x, y)
-            found.append((x[ok], y[ok]))
-        for start, size in zip(starts[sizes > FLAT].tolist(), sizes[sizes > FLAT].tolist(), strict=True):
-            found.append(self._large(start, size))
+            # document order decides which line is the later one
+            x, y = left, left + lag
+            swap = (i[x] > i[y]) | ((i[x] == i[y]) & (line[x] > line[y]))
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            open_ = self.wanted[y] if self.keep is None else have[y] < ENOUGH
+            x, y = self.passes(x[open_], y[open_])
+            np.add.at(have, y, 1)
+            found.append((x, y))
         if not found:
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0, bool)
         x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-        same = (self.rows["id"][x] == self.rows["id"][y]) & (self.rows["line"][x] == self.rows["line"][y])
-        x, y = x[~same], y[~same]
-        order = np.lexsort((x, y))
+        other = (i[x] != i[y]) | (line[x] != line[y])
+        x, y = x[other], y[other]
+        order = np.lexsort((line[x], i[x], y))
         x, y = x[order], y[order]
-        if self.keep is None:
+        if self.keep is None or not len(y):
             return x, y, np.zeros(len(x), bool)
-        new = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]])) if len(y) else np.zeros(0, np.int64)
+        new = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
         count = np.diff(np.append(new, len(y)))
-        nth = np.arange(len(y)) - np.repeat(new, count)
-        first = nth < self.keep
-        return x[first], y[first], np.repeat(count >= self.keep, count)[first]
-
-    def _large(self, start: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates in a large group: a row leaves the search when it has enough of them."""
-        left = np.arange(start + 1, start + size)
-        have = np.zeros(size, dtype=np.int64)
-        xs, ys = [], []
-        for x in range(start, start + size - 1):
-            left = left[left > x] if len(left) and left[0] <= x else left
-            if not len(left):
-                break
-            ok = self.passes(np.full(len(left), x), left)
-            if ok.any():
-                hit = left[ok]
-                xs.append(np.full(len(hit), x))
-                ys.append(hit)
-                if self.keep is not None:
-                    have[hit - start] += 1
-                    left = left[have[left - start] < self.keep]
-        none = np.zeros(0, np.int64)
-        return (np.concatenate(xs), np.concatenate(ys)) if xs else (none, none)
+        first = np.arange(len(y)) - np.repeat(new, count) < self.keep
+        return x[first], y[first], np.repeat(count > self.keep, count)[first]
 
 
 def _pairs(batches, share: int, keep: int | None, wanted: bool = False):
-    """Candidates from rows that come sorted by word and document order; a word may span batches."""
+    """Candidates from rows that come sorted by word and size; a word may span batches."""
     names = [c.split()[0] for c in _ROWS.split(", ")] + (["wanted"] if wanted else [])
     held: list[dict[str, np.ndarray]] = []
 
@@ -252,9 +231,6 @@ def _pairs(batches, share: int, keep: int | None, wanted: bool = False):
         rest = {k: v[~sure] for k, v in rows.items()}
         rest["tally"] = rest["tally"].view(np.uint64)
         x, y, more = _Group(rest, share, keep).pairs()
-        if wanted:
-            asked = rest["wanted"][y]
-            x, y, more = x[asked], y[asked], more[asked]
         if len(x):
             yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y])
 
@@ -350,7 +326,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("word").sortWithinPartitions("word", "id", "line")
+    return rows.repartition("word").sortWithinPartitions("word", "size", "id", "line")
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
