@@ -108,7 +108,7 @@ def expanded(batch: pa.RecordBatch, some: int = 1024) -> Iterator[pa.RecordBatch
         yield part.set_column(at, "text", texts)
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``limit`` bytes together, a longer text alone."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     group = np.cumsum(sizes) // limit
@@ -133,7 +133,7 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _IS_WORD = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint64)
 _STEP = 0x9E3779B97F4A7C13  # 3 modulo 8, so that differences of its powers keep few factors of 2
-_CHUNK = 2 << 20
+_CHUNK = 1 << 19
 
 
 @cache
