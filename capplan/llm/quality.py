@@ -155,12 +155,12 @@ def _removed(documents: DataFrame, lines: DataFrame) -> DataFrame:
     return _lines(documents).join(lines, ["host", "hash"]).dropDuplicates(["id", "row", "place"])
 
 
-def judge(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
-    """``doc_id``, base measures, ``base_failed``, ``n_boilerplate_words`` and ``kept``, one row per row."""
+def _judged(documents: DataFrame, lines: DataFrame, min_left: float) -> DataFrame:
+    """Per row its id and key, the base measures, the words in boilerplate lines, and the verdict."""
     rows = _told_apart(documents).withColumn("row", F.col(f"{OWN}row"))
     base = base_rules(rows, "doc_id", "row")
     removed = (
-        _removed(documents, boilerplate(documents))
+        _removed(documents, lines)
         .groupBy(F.col("id").alias("r_id"), F.col("row").alias("r_row"))
         .agg(F.sum("words").alias("n_boilerplate_words"))
     )
@@ -168,6 +168,7 @@ def judge(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
     gone = F.coalesce(F.col("n_boilerplate_words"), F.lit(0)).cast("long")
     return both.select(
         "doc_id",
+        "row",
         *_MEASURES,
         "base_failed",
         gone.alias("n_boilerplate_words"),
@@ -175,39 +176,39 @@ def judge(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
     )
 
 
+def judge(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
+    """``doc_id``, base measures, ``base_failed``, ``n_boilerplate_words`` and ``kept``, one row per row."""
+    return _judged(documents, boilerplate(documents), min_left).drop("row")
+
+
 def clean_documents(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
-    """The documents that pass, without their boilerplate lines; columns unchanged, ``n_chars`` brought up to date."""
+    """The documents that pass, without their boilerplate lines; columns unchanged, ``n_chars`` brought up to date.
+
+    Verdicts are stored before they filter: a filter pushed down into the measures would compute them anew.
+    """
     columns = documents.columns
-    rows = _told_apart(documents)
+    lines = boilerplate(documents)
+    verdicts = cut(_judged(documents, lines, min_left).select("doc_id", "row", "kept").distinct())
     removed = (
-        _removed(documents, boilerplate(documents))
-        .groupBy(F.col("id").alias(f"{OWN}id"), F.col("row").alias(f"{OWN}r"))
-        .agg(F.collect_set("hash").alias(f"{OWN}gone"), F.sum("words").alias(f"{OWN}lost"))
+        _removed(documents, lines)
+        .groupBy(F.col("id").alias("g_id"), F.col("row").alias("g_row"))
+        .agg(F.collect_set("hash").alias(f"{OWN}gone"))
     )
-    both = rows.join(
-        removed, rows["doc_id"].eqNullSafe(removed[f"{OWN}id"]) & (rows[f"{OWN}row"] == removed[f"{OWN}r"]), "left"
+    passed = verdicts.where("kept").join(
+        removed, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("row") == F.col("g_row")), "left"
     )
-    names = [f"{OWN}in_{i}" for i in range(len(columns))]
-    packed = both.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)],
-        F.col("text"),
-        f"{OWN}gone",
-        F.coalesce(f"{OWN}lost", F.lit(0)).alias(f"{OWN}lost"),
+    kept = passed.select(F.col("doc_id").alias(f"{OWN}id"), F.col("row").alias(f"{OWN}key"), f"{OWN}gone")
+    both = _told_apart(documents).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(f"{OWN}id")) & (F.col(f"{OWN}row") == F.col(f"{OWN}key"))
     )
-    judged = base_rules(packed, *names, f"{OWN}gone", f"{OWN}lost").where(
-        ~F.col("base_failed") & (F.col("n_words") - F.col(f"{OWN}lost") >= min_left * F.col("n_words"))
-    )
-    text = F.col(names[columns.index("text")])
-    left = F.when(F.col(f"{OWN}gone").isNull(), text).otherwise(
-        F.array_join(
-            F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(F.col(f"{OWN}gone"), _hash(line))), "\n"
-        )
+    gone = F.col(f"{OWN}gone")
+    left = F.array_join(
+        F.filter(F.split("text", "\n"), lambda line: ~F.array_contains(gone, _hash(line))), "\n"
     )
     fresh = {"text": left, "n_chars": F.length(left).cast("long")}
-    changed = F.col(f"{OWN}gone").isNotNull()
-    return judged.select(
+    return both.select(
         *[
-            (F.when(changed, fresh[c]).otherwise(F.col(n)) if c in fresh else F.col(n)).alias(c)
-            for c, n in zip(columns, names, strict=True)
+            (F.when(gone.isNotNull(), fresh[c]).otherwise(F.col(c)) if c in fresh else F.col(f"`{c}`")).alias(c)
+            for c in columns
         ]
     )
