@@ -71,7 +71,7 @@ WHERE (event_id + run) % 10 <> 0 AND event_id % 50 <> 0""",
     "sdec_conversion": """
 SELECT cast(1 + event_id % 3 AS int) AS model_run,
   CASE WHEN user_id % 5 = 4 THEN NULL ELSE concat('S', cast(user_id % 5 AS string)) END AS sitetret, 1 AS arrivals
-FROM {events} WHERE event_type = 'purchase'""",
+FROM {events}""",
     "op_baseline": """
 SELECT o_orderkey AS rn, 0 AS model_run, concat('S', cast(o_custkey % 5 AS string)) AS sitetret,
   o_orderkey % 3 = 0 AS has_procedures, o_orderkey % 2 = 0 AS is_first,
@@ -83,7 +83,7 @@ SELECT l_orderkey AS rn, l_linenumber AS model_run, cast(l_quantity AS int) % 3
 FROM {lineitem}""",
     "op_conversion": """
 SELECT l_linenumber AS model_run, concat('S', cast(l_suppkey % 6 AS string)) AS sitetret, 1 AS attendances
-FROM {lineitem} WHERE l_returnflag = 'R'""",
+FROM {lineitem}""",
     "version_catalogue": """
 SELECT DISTINCT CASE p_partkey % 9 WHEN 0 THEN 'dev' WHEN 1 THEN concat('v', cast(p_size AS string), '.1')
   ELSE concat('v', cast(2 + 2 * (p_size % 3) AS string), '.', cast(2 * (p_partkey % 5) AS string), '.',
@@ -106,13 +106,15 @@ SELECT concat('full-model-results/v', cast(3 + o_custkey % 3 AS string), '.', ca
     CASE WHEN o_orderkey % 3 = 0 THEN '"' ELSE '' END, '}}') AS params
 FROM {orders}""",
     "manifest": """
-SELECT concat('dev', cast(o_custkey % 3 AS string)) AS capacity_version, cast(o_orderkey AS string) AS run_id,
+SELECT concat('dev', cast(o_custkey % 3 AS string)) AS capacity_version,
+  concat(CASE WHEN o_orderkey % 3 = 0 THEN 'old-' ELSE '' END, cast(o_orderkey AS string)) AS run_id,
   concat('R', cast(o_custkey % 50 AS string)) AS dataset
-FROM {orders} WHERE o_orderkey % 3 <> 0""",
+FROM {orders}""",
     "manifest_entries": """
-SELECT concat('dev', cast(o_custkey % 3 AS string)) AS capacity_version, cast(o_orderkey AS string) AS run_id,
+SELECT concat('dev', cast(o_custkey % 3 AS string)) AS capacity_version,
+  concat(CASE WHEN o_orderkey % 2 = 1 THEN 'new-' ELSE '' END, cast(o_orderkey AS string)) AS run_id,
   concat('R', cast(o_custkey % 50 AS string)) AS dataset
-FROM {orders} WHERE o_orderkey % 2 = 0""",
+FROM {orders}""",
 }
 
 
