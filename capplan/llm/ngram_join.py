@@ -28,6 +28,8 @@ from capplan.llm.sigtree import Tree, signatures
 SHINGLE, SHARE = 3, 90
 #: Sets that one task takes at a time; a family with more is dealt into blocks of about so many.
 BLOCK = 8192
+#: Parts into which the nodes of a component are dealt to be told its smallest id.
+DEALS = 16
 #: Rows of one rare shingle beyond which it is dealt over several tasks.
 HOT = 1 << 16
 
@@ -74,7 +76,7 @@ def set_keys(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
-_SURVEY = f"doc_id long, size long, k1 long, k2 long, signature binary, {rarity.COUNTS}"
+_SURVEY = f"doc_id long, key long, size long, k1 long, k2 long, signature binary, {rarity.COUNTS}"
 
 
 def _survey(batches, n: int):
@@ -88,10 +90,10 @@ def _survey(batches, n: int):
             k1, k2 = set_keys(tokens, starts)
             none = pa.nulls(len(k1), pa.int32()), pa.nulls(len(k1), pa.binary())
             signed = pa.array([s.tobytes() for s in signatures(tokens, starts)], pa.binary())
-            columns = [block.column("doc_id"), *map(pa.array, (np.diff(starts), k1, k2)), signed, *none]
+            columns = [block.column("doc_id"), block.column("key"), *map(pa.array, (np.diff(starts), k1, k2)), signed, *none]
             yield pa.RecordBatch.from_arrays(columns, names=names)
     rows = counter.rows()
-    none = [pa.nulls(len(rows), pa.int64())] * 4 + [pa.nulls(len(rows), pa.binary())]
+    none = [pa.nulls(len(rows), pa.int64())] * 5 + [pa.nulls(len(rows), pa.binary())]
     numbers, raw = zip(*rows, strict=True)
     yield pa.RecordBatch.from_arrays([*none, pa.array(numbers, pa.int32()), pa.array(raw, pa.binary())], names=names)
 
@@ -192,14 +194,26 @@ def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, b
     without words have no shingles and are linked with nothing; repeated rows are one node and appear each;
     a row without id has the component of its copies, or none. No rows give an empty result.
     """
+    return _linked(documents, n, share, block).select(
+        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _linked(documents: DataFrame, n: int, share: int, block: int = BLOCK) -> DataFrame:
+    """Per row ``doc_id``, ``key`` (tells rows of one id apart by their text), ``size``, ``component`` and ``component_id``.
+
+    A node is a set, numbered by its key: one id may have several texts, so ids do not tell components apart.
+    """
     spark = documents.sparkSession
     ship(spark)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     survey = cut(texts.mapInArrow(partial(_survey, n=n), _SURVEY))
     counted = survey.where("slice is not null").select("slice", "counts")
     steps = rarity.levels(rarity.summed(counted))
-    light = survey.where("slice is null").select("doc_id", "size", "k1", "k2")
-    nodes = cut(survey.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("signature").alias("signature")))
+    light = survey.where("slice is null").select("doc_id", "key", "size", "k1", "k2")
+    firsts = [F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("signature").alias("signature")]
+    nodes = cut(survey.where("size > 0").groupBy("k1", "k2").agg(*firsts).withColumn("id", F.col("k1")))
 
     rows = map_arrow(texts, partial(_prefixes, n, share, steps), "s long, k1 long, k2 long, size int")
     families = components(_candidates(rows, share)).select(
@@ -207,29 +221,30 @@ def link_documents(documents: DataFrame, n: int = SHINGLE, share: int = SHARE, b
     )
     pairs = "a long, b long"
     # possible links within families, from signatures: what they do not bring together needs no whole sets
-    members = families.join(nodes.where("id is not null"), ["k1", "k2"])
+    members = families.join(nodes.where("doc is not null"), ["k1", "k2"])
     coarse = _asked(members, share, block).select("family", "id", "size", "signature", F.inline("tasks"))
     near = components(coarse.groupBy("task").applyInArrow(lambda rows: _link(rows, share, False), pairs))
     fine = near.select(F.col("node").alias("id"), F.col("component").alias("family")).join(
-        nodes.select("id", "k1", "k2", "size"), "id"
+        nodes.select("id", "doc", "k1", "k2", "size"), "id"
     )
     asked = _asked(fine, share, block)
-    of = squeezed(texts, "doc_id").join(asked, F.col("doc_id") == F.col("id")).select("text", "family", "id", "k1", "k2", "tasks")
+    of = squeezed(texts, "doc_id").join(asked, F.col("doc_id") == F.col("doc")).select("text", "family", "id", "k1", "k2", "tasks")
     kind = "family long, id long, tokens binary, tasks array<struct<task:long,second:boolean>>"
     dealt = map_arrow(of, partial(_sets, n), kind).select(
         "family", "id", (F.octet_length("tokens") / 8).cast("long").alias("size"), "tokens", F.inline("tasks")
     )
     links = dealt.groupBy("task").applyInArrow(lambda rows: _link(rows, share, True), pairs)
-    found = components(links).select(F.col("node").alias("id"), F.col("component").alias("component_id"))
-    named = cut(
-        nodes.join(found, "id", "left").select(
-            F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component_id", "id").alias("component_id")
-        )
-    )
+    found = components(links).select(F.col("node").alias("id"), "component")
+    grouped = cut(nodes.drop("signature").join(found, "id", "left"))
+    linked = grouped.where("component is not null").withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(DEALS).cast("long")))
+    # a component may be a large part of all sets, so its nodes are dealt
+    deals = F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))
+    least = linked.groupBy("component").agg(F.min("doc").alias("least")).withColumn("deal", F.explode(deals))
+    together = linked.join(least, ["component", "deal"]).select("k1", "k2", "component", "least")
+    alone = grouped.where("component is null").select("k1", "k2", F.col("id").alias("component"), F.col("doc").alias("least"))
+    named = cut(alone.union(together).toDF("c1", "c2", "component", "component_id"))
     out = light.join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("size") > 0), "left")
-    return out.select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return out.select("doc_id", "key", "size", "component", "component_id")
 
 
 def _candidates(rows: DataFrame, share: int) -> DataFrame:
@@ -299,15 +314,24 @@ def _asked(members: DataFrame, share: int, block: int) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, n: int = SHINGLE, share: int = SHARE) -> DataFrame:
-    """``documents`` with one document of each component: that with the smallest id; columns unchanged.
+    """``documents`` with one row of each component: one with the smallest id; columns unchanged.
 
-    Of repeated rows of that id one stays. Rows without words, or without id, stay as they are.
+    Rows of one id are told apart by their text: a text goes only if it is linked itself, of several texts of
+    the smallest id one stays, and of repeated rows one. Rows without words, or without id, stay as they are.
     """
-    linked = link_documents(documents, n, share)
-    gone = (
-        linked.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id")))
-        .select(F.col("doc_id").alias(f"{OWN}gone"))
-        .distinct()
-    )
-    left = documents.join(gone, documents["doc_id"] == gone[f"{OWN}gone"], "left_anti")
-    return left
+    rows = cut(_linked(documents, n, share).where("size > 0 and doc_id is not null"))
+    first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    stays = first.select("first.doc_id", "first.key", F.lit(True).alias("stays"))
+    told = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("times")).join(stays, ["doc_id", "key"], "left")
+    judged = cut(told.where("stays is null or times > 1"))
+
+    def named(table: DataFrame) -> DataFrame:
+        return table.select(F.col("doc_id").alias(f"{OWN}id"), F.col("key").alias(f"{OWN}key"))
+
+    keyed = documents.withColumn(f"{OWN}row", F.xxhash64(F.col("text").cast("string")))
+    same = (F.col("doc_id").cast("long") == F.col(f"{OWN}id")) & (F.col(f"{OWN}row") == F.col(f"{OWN}key"))
+    left = keyed.join(named(judged), same, "left_anti")
+    twice = judged.where("stays")
+    if not twice.isEmpty():
+        left = left.union(keyed.join(named(twice), same, "left_semi").dropDuplicates(["doc_id", f"{OWN}row"]))
+    return left.drop(f"{OWN}row")

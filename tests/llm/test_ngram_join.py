@@ -111,6 +111,20 @@ def test_odd_input(spark, odd, none):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 4, 5, 6, 8, None]
 
 
+def test_one_row_of_a_component_stays_and_texts_of_an_id_are_told_apart(spark):
+    def prose(doc, n=60):
+        return " ".join(f"d{doc}w{i}" for i in range(n))
+
+    near = prose("a") + " end"
+    rows = [(1, prose("a")), (1, prose("a")), (1, near), (2, prose("a")), (2, prose("b")), (2, prose("b")), (3, prose("c"))]
+    rows += [(4, prose("c")), (4, prose("d")), (5, prose("d")), (6, "")] + [(6, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.keep_one(frame).collect())
+    one = [k for k in kept if k[0] == 1]
+    assert len(one) == 1 and one[0][1] in (prose("a"), near)
+    assert kept[1:] == [(2, prose("b")), (3, prose("c")), (4, prose("d")), (6, ""), (6, "")]
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 180)]
     star = [(5, i) for i in range(300, 360)] + [(7, 7)]
