@@ -4,8 +4,9 @@ The standard library's parser gives events; they become lines (blocks of the pag
 text and of links in each, and the number of tags. The text-to-tag ratio of each line is smoothed with a
 Gaussian, and a threshold that splits the ratios into two clusters marks the lines of content. Around that,
 what page structure says plainly is followed: elements that never hold content (scripts, forms, menus,
-headers and footers of the page, sidebars, adverts, notices, comments of readers) are left out, and where
-an article is marked as such its lines are the content.
+headers and footers of the page) are left out, and so are those whose names say so (sidebars, adverts, notices,
+comments of readers). An article in which the clusters choose
+lines is taken up to its borders, and chosen lines outside articles are content too.
 """
 
 from __future__ import annotations
@@ -68,32 +69,30 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, characters of it in links, tags, and whether they are in an article."""
+    """Lines of a page: parts of text with the marked elements they lie in, tags, and the article they are in."""
 
-    def __init__(self, marks: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.marks = marks
-        self.open: list[tuple[str, bool, bool]] = []  # tag, silent, article
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.parts: list[str] = []
-        self.tags = self.linked = self.links = 0
-        self.silent = self.article = 0
-        self.heading = False
+        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, marked, article
+        self.lines: list[tuple[list[tuple[tuple[int, ...], str, int]], int, int]] = []
+        self.parts: list[tuple[tuple[int, ...], str, int]] = []  # marked elements, text, characters in links
+        self.marks: tuple[int, ...] = ()
+        self.within: list[tuple[int, ...]] = [()]  # marked elements around each article, none for no article
+        self.tags = self.links = self.silent = self.article = self.marked = 0
 
     def cut(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        if text:
-            self.lines.append((text, self.linked, self.tags, self.article > 0, self.heading))
-        self.parts, self.tags, self.linked = [], 0, 0
+        if self.parts:
+            self.lines.append((self.parts, self.tags, len(self.within) - 1 if self.article else 0))
+        self.parts, self.tags = [], 0
 
     def _close(self, count: int) -> None:
         for _ in range(count):
-            tag, silent, article = self.open.pop()
+            tag, silent, marked, article = self.open.pop()
             self.silent -= silent
             self.links -= tag == "a"
             if tag in BLOCKS:
                 self.cut()
-                self.heading = self.heading and not re.fullmatch("h[1-6]", tag)
+            self.marks = self.marks[:-1] if marked else self.marks
             self.article -= article
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -108,22 +107,26 @@ class Lines(HTMLParser):
                     break
         if tag in BLOCKS:
             self.cut()
-            if re.fullmatch("h[1-6]", tag):
-                self.heading = True
         if tag == "br" and not self.silent:
-            self.parts.append(" ")
+            self.parts.append((self.marks, " ", 0))
         if tag in VOID:
             return
         silent = tag in SILENT or (tag in ("header", "footer") and not self.article)
         silent = silent or (self.article > 0 and tag == "footer")
-        if self.marks and attrs and not silent and tag not in ("html", "body"):
+        marked = False
+        if attrs and not silent and tag not in ("html", "body"):
             named = ABOUT.sub("", " ".join(v for n, v in attrs if v and n in ("class", "id", "role")))
-            hidden = any(n == "hidden" or (n == "aria-hidden" and v == "true") for n, v in attrs)
-            hidden = hidden or any(n == "style" and v and re.search(r"display\s*:\s*none", v) for n, v in attrs)
-            silent = hidden or bool(named and (ASIDE if tag in TRUSTED else MARKED).search(named))
-        article = tag in ARTICLE and not silent
-        self.open.append((tag, silent, article))
+            silent = any(n == "hidden" or (n == "aria-hidden" and v == "true") for n, v in attrs)
+            silent = silent or any(n == "style" and v and re.search(r"display\s*:\s*none", v) for n, v in attrs)
+            marked = not silent and bool(named and (ASIDE if tag in TRUSTED else MARKED).search(named))
+        article = tag in ARTICLE and not silent and not marked
+        self.open.append((tag, silent, marked, article))
         self.silent += silent
+        if marked:
+            self.marked += 1
+            self.marks = (*self.marks, self.marked)
+        if article and not self.article and not self.silent:
+            self.within.append(self.marks)
         self.article += article
         self.links += tag == "a"
 
@@ -142,9 +145,7 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.silent:
             return
-        self.parts.append(data)
-        if self.links:
-            self.linked += len(data.strip())
+        self.parts.append((self.marks, data, len(data.strip()) if self.links else 0))
 
 
 def smoothed(values: list[float], width: float = WIDTH) -> list[float]:
@@ -177,33 +178,43 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def _read(html: str, marks: bool) -> list[tuple[str, int, int, bool, bool]]:
-    parser = Lines(marks)
-    parser.feed(html)
-    parser.close()
-    parser.cut()
-    return parser.lines
+def _shown(lines: list, heard: set[int] | None) -> list[tuple[str, int, int, int]]:
+    """Text, characters in links, tags and article of each line, of marked elements those in ``heard`` (None: all)."""
+    out = []
+    for parts, tags, article in lines:
+        if heard is not None:
+            parts = [p for p in parts if heard.issuperset(p[0])]
+        text = _SPACE.sub(" ", "".join(p[1] for p in parts)).strip()
+        if text:
+            out.append((text, sum(p[2] for p in parts), tags, article))
+    return out
 
 
-def content(html: str) -> str:
-    """The main text of a page, blocks joined by one space; empty if there is none."""
-    lines = _read(html, True) or _read(html, False)
-    if not lines:
-        return ""
-    if any(article for *_, article, _ in lines):
-        return " ".join(text for text, _, _, article, _ in lines if article)
-    ratios = [max(0, len(text) - linked) / max(1, tags) for text, linked, tags, *_ in lines]
-    soft = smoothed([math.log1p(r) for r in ratios])
+def chosen(lines: list[tuple[str, int, int, int]]) -> list[bool]:
+    """Whether each line is in the upper cluster of smoothed text-to-tag ratios, and not mostly links."""
+    soft = smoothed([math.log1p(max(0, len(text) - linked) / max(1, tags)) for text, linked, tags, _ in lines])
     limit = threshold(soft)
     # a page of one kind of line has no second cluster: links and few words tell then
     even = max(soft) - min(soft) < 0.7
-    kept = []
-    for (text, linked, *_), ratio in zip(lines, soft, strict=True):
-        if 2 * linked > len(text):
-            continue
-        if even or ratio > limit:
-            kept.append(text)
-    return " ".join(kept)
+    return [
+        2 * linked <= len(text) and (even or ratio > limit)
+        for (text, linked, *_), ratio in zip(lines, soft, strict=True)
+    ]
+
+
+def content(html: str) -> str:
+    """The main text of a page, blocks joined by one space; empty if there is none."""
+    page = Lines()
+    page.feed(html)
+    page.close()
+    page.cut()
+    every = _shown(page.lines, None)
+    if not every:
+        return ""
+    lines = _shown(page.lines, set()) or every if page.marked else every
+    yes = chosen(lines)
+    regions = {article for (*_, article), y in zip(lines, yes, strict=True) if y and article}
+    return " ".join(text for (text, _, _, article), y in zip(lines, yes, strict=True) if (article in regions if article else y))
 
 
 def _extractor():

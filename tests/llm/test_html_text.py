@@ -48,6 +48,22 @@ def test_small_pages(page, text):
     assert html_text.content(page) == text
 
 
+MENU = "<ul><li><a href=1>Home</a><li><a href=2>News</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # the clusters choose on pages with an article too, and an article takes part by what they choose
+        (f"{MENU}<p>{LONG}</p><article><p>{LONG} More.</p></article>{MENU}", f"{LONG} {LONG} More."),
+        (f"<article><a href=1>Teaser</a></article>{MENU}<p>{LONG}</p><p>{LONG}</p>", f"{LONG} {LONG}"),
+        (f"<article><h1>T</h1><p>{LONG}</p><p>End.</p></article>", f"T {LONG} End."),
+    ],
+)
+def test_clusters_choose_the_regions(page, text):
+    assert html_text.content(page) == text
+
+
 def test_smoothing_and_threshold():
     assert html_text.smoothed([2.0, 2.0, 2.0]) == pytest.approx([2.0, 2.0, 2.0])
     assert 1 < html_text.threshold([0.5, 1.0, 4.0, 5.0]) < 4
