@@ -5,7 +5,7 @@ text and of links in each, and the number of tags. The text-to-tag ratio of each
 Gaussian, and a threshold that splits the ratios into two clusters marks the lines of content. Around that,
 what page structure says plainly is followed: elements that never hold content (scripts, forms, menus,
 headers and footers of the page) are left out, and so are those whose names say so (sidebars, adverts, notices,
-comments of readers). An article in which the clusters choose
+comments of readers), unless the region of the content lies in them. An article in which the clusters choose
 lines is taken up to its borders, and chosen lines outside articles are content too.
 """
 
@@ -60,6 +60,8 @@ TRUSTED = frozenset(["main", "article"])
 ASIDE = re.compile(r"comment|repl(?:y|ies)|related|promo|advert|sponsor|teaser", re.IGNORECASE)
 #: Names that only tell of such parts elsewhere.
 ABOUT = re.compile(r"\b(?:no|has|with|without|hide|show)[-_]\w+", re.IGNORECASE)
+#: Names of what opens an article, which is its header as much as a header element is.
+HEADER = re.compile(r"(?:^|(?<=\s))(?:[\w-]*[_-])?header(?=\s|$)", re.IGNORECASE)
 #: Elements that say that their lines are the content.
 ARTICLE = frozenset(["article"])
 #: Width of the Gaussian, in lines.
@@ -116,6 +118,7 @@ class Lines(HTMLParser):
         marked = False
         if attrs and not silent and tag not in ("html", "body"):
             named = ABOUT.sub("", " ".join(v for n, v in attrs if v and n in ("class", "id", "role")))
+            named = HEADER.sub("", named) if self.article else named
             silent = any(n == "hidden" or (n == "aria-hidden" and v == "true") for n, v in attrs)
             silent = silent or any(n == "style" and v and re.search(r"display\s*:\s*none", v) for n, v in attrs)
             marked = not silent and bool(named and (ASIDE if tag in TRUSTED else MARKED).search(named))
@@ -202,6 +205,23 @@ def chosen(lines: list[tuple[str, int, int, int]]) -> list[bool]:
     ]
 
 
+def _heard(page: Lines, every: list[tuple[str, int, int, int]]) -> set[int]:
+    """Marked elements that hold the article with most of the chosen text or, without articles, most of that text."""
+    weight: dict[int, int] = {}
+    for (text, linked, _, article), yes in zip(every, chosen(every), strict=True):
+        weight[article] = weight.get(article, 0) + yes * (len(text) - linked)
+    articles = [a for a in weight if a]
+    if articles:
+        return set(page.within[max(articles, key=lambda a: (weight[a], -a))])
+    kept = [line for line in page.lines if _shown([line], None)]
+    held: dict[int, int] = {}
+    for (parts, *_), yes in zip(kept, chosen(every), strict=True):
+        for marks, text, linked in parts if yes else ():
+            for mark in marks:
+                held[mark] = held.get(mark, 0) + len(text.strip()) - linked
+    return {mark for mark, size in held.items() if 2 * size > weight.get(0, 0)}
+
+
 def content(html: str) -> str:
     """The main text of a page, blocks joined by one space; empty if there is none."""
     page = Lines()
@@ -211,7 +231,7 @@ def content(html: str) -> str:
     every = _shown(page.lines, None)
     if not every:
         return ""
-    lines = _shown(page.lines, set()) or every if page.marked else every
+    lines = _shown(page.lines, _heard(page, every)) or every if page.marked else every
     yes = chosen(lines)
     regions = {article for (*_, article), y in zip(lines, yes, strict=True) if y and article}
     return " ".join(text for (text, _, _, article), y in zip(lines, yes, strict=True) if (article in regions if article else y))

@@ -64,6 +64,20 @@ def test_clusters_choose_the_regions(page, text):
     assert html_text.content(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<p>Stray</p><div class='layout sidebar-right'><article><p>{LONG}</p></article><div class=ad>buy</div></div>", LONG),
+        (f"<div>{MENU}</div><div class='page search'><p>{LONG}</p><p>{LONG}</p></div><div class=related><p>r</p></div>", f"{LONG} {LONG}"),
+        (f"<article><div class='entry-header'><h1>T</h1></div><p>{LONG}</p></article>", f"T {LONG}"),
+        (f"<article><p>{LONG}</p></article><div class=related><article><p>r</p></article></div>", LONG),
+        (f"<article><p>{LONG} <span class=share>Tell</span></p></article>", LONG),
+    ],
+)
+def test_names_do_not_silence_the_content(page, text):
+    assert html_text.content(page).removeprefix("Stray ") == text
+
+
 def test_smoothing_and_threshold():
     assert html_text.smoothed([2.0, 2.0, 2.0]) == pytest.approx([2.0, 2.0, 2.0])
     assert 1 < html_text.threshold([0.5, 1.0, 4.0, 5.0]) < 4
