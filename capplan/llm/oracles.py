@@ -115,4 +115,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op3_warc": OP3, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9}
+OP11 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+     win AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS s FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS i FROM d)),
+     late AS (SELECT doc_id, i FROM (SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY s) AS f FROM win) WHERE (doc_id, i) <> f),
+     isle AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM (
+                SELECT doc_id, i, CASE WHEN i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) > 100 THEN 1 ELSE 0 END AS fresh FROM late)),
+     span AS (SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM isle GROUP BY doc_id, k),
+     edge AS (SELECT doc_id, s, e FROM span UNION ALL SELECT doc_id, n, n FROM d),
+     piece AS (SELECT doc_id, s, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s, e) AS b FROM edge),
+     kept AS (SELECT doc_id, string_agg(substr(x, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) AS y FROM piece JOIN d USING (doc_id) GROUP BY 1),
+     c AS (SELECT doc_id, count(*) AS spans, sum(e - s) AS gone FROM span GROUP BY 1)
+SELECT d.doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(y)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op3_warc": OP3, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9, "op11_suffix_dedup": OP11}

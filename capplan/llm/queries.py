@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, substring_dedup, warc
+from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, substring_dedup, suffix_dedup, warc
 from capplan.llm.common import OWN, only, table
 
 
@@ -96,6 +96,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(only(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes outside every string of 100 bytes that also begins earlier, as counts and a digest."""
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(only(table(spark, sf_dir, "documents"), "doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -107,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
