@@ -154,7 +154,7 @@ class Words:
             offsets = np.sort(np.concatenate([offsets[:-1], breaks[breaks < 1 << 62], offsets[-1:]]))
             self.line_of = np.append(firsts, len(offsets) - 1)
         self.offsets = offsets
-        inside = np.concatenate([[False], _IS_WORD[self.data], [False]])
+        inside = np.concatenate([[False], self.member(self.data), [False]])
         cut = np.zeros(len(self.data) + 1, dtype=bool)
         cut[offsets] = True
         self.starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
@@ -162,6 +162,11 @@ class Words:
         self.bounds = np.searchsorted(self.starts, offsets)
         self.hashes = self._hash()
 
+    @staticmethod
+    def member(data: np.ndarray) -> np.ndarray:
+        """Which bytes belong to words; other kinds of words have another rule."""
+        return _IS_WORD[data]
+
     def _hash(self) -> np.ndarray:
         table = scramble(_FOLD + np.uint64(1))
         ups, downs = _powers(_STEP, 2 * _CHUNK), _powers(pow(_STEP, -1, 1 << 64), 2 * _CHUNK)

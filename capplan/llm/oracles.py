@@ -130,4 +130,62 @@ SELECT d.doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(
 FROM d JOIN kept USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op3_warc": OP3, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9, "op11_suffix_dedup": OP11}
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+     tok AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d),
+     kept AS (SELECT lang, t FROM tok GROUP BY 1, 2 HAVING count(DISTINCT k) >= 3),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     cnt AS (SELECT lang, source, t, count(*) AS c FROM tok JOIN kept USING (lang, t) GROUP BY 1, 2, 3),
+     n AS (SELECT lang, source, sum(c) AS n FROM cnt GROUP BY 1, 2),
+     lc AS (SELECT lang, t, sum(c) AS c FROM cnt GROUP BY 1, 2),
+     ln AS (SELECT lang, sum(c) AS n FROM lc GROUP BY 1),
+     p AS (SELECT g.lang, g.source, kept.t, coalesce(c, 0) AS c,
+                  (1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)::HUGEINT) // (coalesce(n.n, 0) + v.v)::HUGEINT)::HUGEINT AS p
+           FROM g JOIN kept ON kept.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+           LEFT JOIN cnt ON cnt.lang = g.lang AND cnt.source = g.source AND cnt.t = kept.t),
+     q AS (SELECT lc.lang, lc.t, (1 + (1000000000::HUGEINT * (c + 1)::HUGEINT) // (ln.n + v.v)::HUGEINT)::HUGEINT AS q
+           FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+     sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY 1, 2, 3),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+     terms AS (SELECT lang, source, t AS item, (p - q) * (p - q) // q AS value FROM p JOIN q USING (lang, t) WHERE c > 0 AND p > q),
+     every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS r FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
+
+#: U+00C0 to U+00FF, and as many signs of one byte each that no word has, as DuckDB's distance works on bytes.
+_ACCENTED = "".join(chr(c) for c in range(0xC0, 0x100))
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if c not in _LOWER + "'")[:64]
+
+OP13 = rf"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+     run AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                    '[A-Za-zÀ-ÿ]+')) AS w FROM documents) GROUP BY 1, 2),
+     raw AS (SELECT w, n, flatten(list_transform(string_split(doc_id || ':' || w, ''),
+                    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c)::BIGINT >> 6), 128 + (ord(c)::BIGINT & 63)] END)) AS b FROM run),
+     hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+                FROM raw, crc),
+     word AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM hashed),
+     words AS (SELECT word, sum(n)::BIGINT AS n, translate(word, '{_ACCENTED}', '{_SIGNS}') AS plain
+               FROM word WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+     sig AS (SELECT DISTINCT plain, unnest(list_append(list_transform(range(1, length(plain) + 1), lambda i: substr(plain, 1, i - 1) || substr(plain, i + 1)), plain)) AS s FROM words),
+     cand AS (SELECT DISTINCT a.plain AS a, b.plain AS b FROM sig a JOIN sig b ON a.s = b.s AND a.plain <> b.plain),
+     near AS (SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM cand JOIN words x ON x.plain = a JOIN words y ON y.plain = b WHERE levenshtein(a, b) = 1),
+     best AS (SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY 1, 2),
+     judged AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * words.n THEN other END AS form,
+                       CASE WHEN other_n >= 10 * words.n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+     chain AS (SELECT j.*, f1.form AS f2, f2.form AS f3, f3.form AS f4, f4.form AS f5, f5.form AS f6
+               FROM judged j LEFT JOIN judged f1 ON f1.word = j.form LEFT JOIN judged f2 ON f2.word = f1.form LEFT JOIN judged f3 ON f3.word = f2.form
+               LEFT JOIN judged f4 ON f4.word = f3.form LEFT JOIN judged f5 ON f5.word = f4.form)
+SELECT word, form, coalesce(f6, f5, f4, f3, f2, form, word) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM chain
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": OP2, "op3_warc": OP3, "op5_decontamination": OP5, "op6_ngram_jaccard_join": OP6, "op8_chat_formatting": OP8, "op9_quality_rules": OP9,
+    "op11_suffix_dedup": OP11, "op12_source_audit": OP12, "op13_spelling_variants": OP13,
+}

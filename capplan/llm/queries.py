@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, substring_dedup, suffix_dedup, warc
+from capplan.llm import chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality, source_audit, substring_dedup, suffix_dedup, variants, warc
 from capplan.llm.common import OWN, only, table
 
 
@@ -101,6 +101,17 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(only(table(spark, sf_dir, "documents"), "doc_id", "text")))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source of a language: how far it lies from each other source, and the terms that it has more of."""
+    return source_audit.divergence(only(table(spark, sf_dir, "documents"), "text", "lang", "source"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word: near words, the far more frequent one that it is a form of, and where such forms lead to."""
+    found = variants.group_variants(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -113,4 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_source_audit": op12_source_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
