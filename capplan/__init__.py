@@ -3,7 +3,7 @@
 from capplan.functions import PREDICATES, label, predicate
 from capplan.operators.densify import dense_totals, fill_missing_labels, run_site_universe
 from capplan.operators.lookups import add_specialty_type, add_theatre_time
-from capplan.operators.overlay import overlay, replay
+from capplan.operators.overlay import Shared, overlay, replay
 from capplan.operators.reconcile import reconcile_runs
 from capplan.operators.totals import (
     converted_totals,
@@ -30,7 +30,7 @@ from capplan.plans.scenario import Roots, run_scenario, scenario_tables
 
 __all__ = [
     "DAYCASE", "EMERGENCY", "MATERNITY", "PREDICATES", "PROCEDURES", "WARDS", "Area", "Roots",
-    "add_specialty_type", "add_theatre_time", "area_table", "batch_tables", "converted_totals",
+    "Shared", "add_specialty_type", "add_theatre_time", "area_table", "batch_tables", "converted_totals",
     "daycase_areas", "dense_totals", "emergency_areas", "fill_missing_labels",
     "inpatient_areas", "label", "label_rows", "label_totals", "maternity_areas",
     "outpatient_areas", "outpatient_totals", "overlay", "predicate", "procedure_areas",

@@ -10,30 +10,60 @@ Results hold about (number of runs) x (baseline) rows, so the plans below are ch
 to move results as little as possible:
 
 * baseline measured small enough to broadcast: results are joined where they were
-  read and never shuffled; only their distinct record numbers are, to find the
-  baseline records without any run;
-* otherwise: results are first reduced per record, run and run-varying class, with
-  map-side combine, so that a record holding any share of all rows shrinks to a
-  handful before its key decides a partition; then one left join. It hashes the
-  baseline's share of a partition, which is smaller than that of the results by the
-  number of runs, so that results are not sorted.
+  read and never shuffled;
+* otherwise: results and baseline are exchanged once, on the record number, and what
+  the join gives is summed before it moves again. It hashes the baseline's share of a
+  partition, and adaptive execution deals the partition of a hot record over tasks,
+  each with a copy of the baseline's share (an inner join allows that, a left join
+  from the baseline does not).
+
+Baseline records without any run are found through bitmaps of the record numbers in
+results: results are reduced to bitmaps where they are read, in one more scan of one
+column. Record numbers so sparse that bitmaps would outgrow them are shuffled as
+distinct keys instead.
+
+Scenarios on one dataset can share its baseline (``Shared``): it is read, broadcast and
+joined once per dataset, and its own rows are summed before they are repeated for
+each scenario.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capplan.operators.sizing import fits_broadcast
+from capplan.operators.presence import bitmaps, lacking, occurs
+from capplan.operators.sizing import broadcast_limit, measure
 
 NullRun = Literal["keep", "drop"]
+Presence = Literal["bitmap", "keys"]
 RECORD = "rn"
 RUN = "model_run"
 
 
+@dataclass(frozen=True)
+class Shared:
+    """Datasets that several scenarios share: the keys of a dataset, and ``members``, the
+    dataset of each scenario (the columns of ``by`` and these keys, one row per scenario)."""
+
+    keys: tuple[str, ...]
+    members: DataFrame
+
+
+def base_keys(by: Sequence[str], shared: Shared | None) -> list[str]:
+    """Leading key columns of the baseline."""
+    return list(by if shared is None else shared.keys)
+
+
+def result_keys(by: Sequence[str], shared: Shared | None) -> list[str]:
+    """Leading key columns of results."""
+    return [*by] if shared is None else [*by, *shared.keys]
+
+
 def simulated(df: DataFrame) -> DataFrame:
     """``df`` with a run-time check that no row claims run 0, the baseline's number."""
     return df.withColumn(
@@ -54,6 +84,29 @@ def _check(null_run: str) -> None:
         raise ValueError(f"null_run must be 'keep' or 'drop', not {null_run!r}")
 
 
+def _decided(
+    fixed: DataFrame, by: Sequence[str], broadcast: bool | None, presence: Presence | None
+) -> tuple[bool, Presence]:
+    """Whether to broadcast, and how to find what occurs; measured unless the caller says so."""
+    if broadcast is None:
+        found = measure(fixed, RECORD, by)
+        broadcast = found.bytes <= broadcast_limit(fixed)
+        presence = presence or ("bitmap" if found.dense else "keys")
+    return broadcast, presence or "bitmap"
+
+
+def _marked(base: DataFrame, runs: DataFrame, by: Sequence[str], presence: Presence) -> DataFrame:
+    """``base`` with ``_seen``: whether a run has the record."""
+    if presence == "bitmap":
+        return occurs(base, bitmaps(runs, RECORD, by), RECORD, by)
+    seen = runs.select(*by, RECORD).distinct().withColumn("_seen", F.lit(True))
+    return base.join(seen, [*by, RECORD], "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+
+
+def _joined(runs: DataFrame, fixed: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
+    return runs.join(fixed.hint("broadcast" if broadcast else "shuffle_hash"), list(keys))
+
+
 def overlay(
     base: DataFrame,
     results: DataFrame,
@@ -62,26 +115,22 @@ def overlay(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
+    presence: Presence | None = None,
 ) -> DataFrame:
     """Baseline rows with ``replaced`` columns and the run number taken from results.
 
     One row per result row of a known record. ``by`` names further key columns both
     sides share, such as a scenario id.
-
-    An inner join can build on the baseline side, and adaptive execution can split a
-    skewed partition of results; a left join from the baseline allows neither, so the
-    baseline rows no result refers to are added by an anti join on distinct keys.
     """
     _check(null_run)
     keys = [*by, RECORD]
     fixed = base.drop(RUN, *replaced)
     runs = _runs(results, [*keys, RUN, *replaced], null_run)
-    if broadcast is None:
-        broadcast = fits_broadcast(fixed)
-    matched = runs.join(fixed.hint("broadcast" if broadcast else "shuffle_hash"), keys)
+    broadcast, presence = _decided(fixed, by, broadcast, presence)
+    matched = _joined(runs, fixed, keys, broadcast)
     if null_run == "drop":
         return matched
-    unmatched = fixed.join(runs.select(*keys).distinct(), keys, "left_anti")
+    unmatched = _marked(fixed, runs, by, presence).where(~F.col("_seen")).drop("_seen")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -94,6 +143,8 @@ def replay(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
+    presence: Presence | None = None,
+    shared: Shared | None = None,
 ) -> DataFrame:
     """Baseline and all its runs as rows to be aggregated.
 
@@ -101,29 +152,47 @@ def replay(
     ``classes`` decide labels and must have few values; ``sums`` are additive. Rows of
     one record and run that agree in all classes may come merged: sums of ``sums`` over
     any grouping of the other columns are those of the plain overlay and the baseline.
+    With ``shared``, ``base`` has the keys of its dataset in place of ``by``, and results have both.
     """
     _check(null_run)
-    keys = [*by, RECORD]
+    leading = base_keys(by, shared)
+    keys = [*leading, RECORD]
     varying = [RUN, *classes, *sums]
     fixed = base.drop(*varying)
-    runs = _runs(results, [*keys, *varying], null_run)
-    if broadcast is None:
-        broadcast = fits_broadcast(fixed)
-    if not broadcast:
-        merged = runs.groupBy(*keys, RUN, *classes).agg(
-            *[F.sum(name).alias(name) for name in sums]
-        )
-        how = "left" if null_run == "keep" else "inner"
-        return fixed.hint("shuffle_hash").join(merged, keys, how).unionByName(base)
-    matched = runs.join(F.broadcast(fixed), keys)
+    runs = _runs(results, [*result_keys(by, shared), RECORD, *varying], null_run)
+    broadcast, presence = _decided(fixed, leading, broadcast, presence)
+    matched = _joined(runs, fixed, keys, broadcast)
+    types = {field.name: field.dataType for field in base.schema.fields}
+    nothing = [F.lit(None).cast(types[name]).alias(name) for name in varying]
+    if shared is not None:
+        return _shared(base, fixed, matched, runs, nothing, sums, by, null_run, shared)
     if null_run == "drop":
         return matched.unionByName(base)
     # one read of the baseline gives both its own row and, if no run has the record,
     # the row without a run
-    seen = runs.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    types = {field.name: field.dataType for field in base.schema.fields}
-    own = F.struct(*varying)
-    none = F.struct(*[F.lit(None).cast(types[name]).alias(name) for name in varying])
-    rows = F.array(own, F.when(F.col("_seen").isNull(), none))
-    rest = base.join(seen, keys, "left").select(*fixed.columns, F.inline(F.array_compact(rows)))
+    rows = F.array(F.struct(*varying), F.when(~F.col("_seen"), F.struct(*nothing)))
+    rest = _marked(base, runs, by, presence).select(*fixed.columns, F.inline(F.array_compact(rows)))
     return matched.unionByName(rest)
+
+
+def _shared(base, fixed, matched, runs, nothing, sums, by, null_run, shared) -> DataFrame:
+    """The rows of all scenarios on shared baselines.
+
+    The baselines' own rows are summed over records and then repeated per scenario. The
+    records without a run come from comparing bitmaps, so no baseline row is repeated for a
+    scenario except those that the scenario lacks.
+    """
+    known = F.when(F.col(RECORD).isNotNull(), F.lit(0).cast("bigint")).alias(RECORD)
+    classes = [c for c in base.columns if c not in (RECORD, *sums)]
+    own = base.select(known, *classes, *sums).groupBy(RECORD, *classes).agg(*[F.sum(s).alias(s) for s in sums])
+    columns = [c for c in [*by, *base.columns] if c not in shared.keys]
+    out = matched.select(*columns).unionByName(own.join(shared.members, [*shared.keys]).select(*columns))
+    if null_run == "drop":
+        return out
+    whole = bitmaps(base, RECORD, shared.keys).join(shared.members, [*shared.keys])
+    missing = lacking(whole, bitmaps(runs, RECORD, by), by, RECORD)
+    unmatched = missing.join(fixed, [*shared.keys, RECORD])
+    unnumbered = fixed.where(F.col(RECORD).isNull()).join(shared.members, [*shared.keys])
+    for rows in (unmatched, unnumbered):
+        out = out.unionByName(rows.select("*", *nothing).select(*columns))
+    return out

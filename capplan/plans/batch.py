@@ -3,7 +3,9 @@
 Scenarios differ in size, so running them one after the other leaves a cluster idle at
 the end of each. Here all of them are one set of files. The folder a row was read from
 is turned into the number of its scenario by a hash lookup, and that number is one more
-key of every join and grouping; the path itself is put back on the small results.
+key of every grouping; the path itself is put back on the small results. Scenarios of
+one data version, year and provider share a dataset, whose baseline is read and joined
+once (``Shared``).
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from capplan import schemas
 from capplan.operators.lookups import add_specialty_type
+from capplan.operators.overlay import Shared
 from capplan.operators.versions import NO_VERSION, resolve_versions
 from capplan.plans.areas import EMERGENCY
 from capplan.plans.emergency import emergency_areas
@@ -28,16 +31,18 @@ from capplan.sources.scenarios import decoded
 
 SCENARIO = "scenario"
 INPATIENT_NAME = "ip"
-_DATASET = ["data_version", "fyear", "provider"]
+DATASET = "dataset"
+_DATASET_PARTS = ["data_version", "fyear", "provider"]
 
 
-def _read_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+def _read_files(spark: SparkSession, folders: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
     """Rows of all folders, with the location each came from.
 
     Folder partitioning is read from the location, because Spark infers it only below a
     single root.
     """
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(*folders)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    rows = (reader.schema(schema) if schema is not None else reader).parquet(*folders)
     return rows.withColumn("_location", F.col("_metadata.file_path"))
 
 
@@ -64,35 +69,35 @@ def _runs(
     rows = _read_files(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths])
     if "model_run" not in rows.columns:
         rows = rows.withColumn("model_run", _part("model_run").cast("int"))
-    numbers = keys.select(SCENARIO, F.col("location").alias("_folder"))
-    numbered = _matched(rows.withColumn("_folder", _folder_above(folder)), numbers, "_folder")
-    return schemas.require(numbered, schema, folder).select(SCENARIO, *schema.names)
+    numbers = keys.select(SCENARIO, DATASET, F.col("location").alias("_folder"))
+    numbered = _matched(rows.withColumn("_folder", _folder_above(folder)), numbers, "_folder", SCENARIO)
+    return schemas.require(numbered, schema, folder).select(SCENARIO, DATASET, *schema.names)
 
 
-def _matched(rows: DataFrame, numbers: DataFrame, folder: str) -> DataFrame:
-    """``rows`` with the scenario of their folder; a folder of no scenario fails the query."""
-    lost = F.raise_error(F.concat(F.lit("no scenario has the folder "), F.col(folder)))
+def _matched(rows: DataFrame, numbers: DataFrame, folder: str, number: str) -> DataFrame:
+    """``rows`` with the number of their folder; a folder without one fails the query."""
+    lost = F.raise_error(F.concat(F.lit(f"no {number} has the folder "), F.col(folder)))
     found = rows.join(numbers, folder, "left")
-    return found.withColumn(SCENARIO, F.coalesce(F.col(SCENARIO), lost.cast("int")))
+    return found.withColumn(number, F.coalesce(F.col(number), lost.cast("int")))
 
 
 def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) -> DataFrame:
-    """The baseline of every scenario, repeated where scenarios share one."""
+    """The baseline of every dataset, read once however many scenarios share it."""
     root = roots.model_data.rstrip("/")
-    named = keys.select(SCENARIO, *_DATASET).collect()
-    folders = {row[SCENARIO]: baseline_folder(row["data_version"], kind, row["fyear"], row["provider"]) for row in named}
-    rows = as_baseline(_read_files(spark, [f"{root}/{f}" for f in sorted(set(folders.values()))]))
+    named = keys.select(DATASET, *_DATASET_PARTS).distinct().collect()
+    folders = {row[DATASET]: baseline_folder(row["data_version"], kind, row["fyear"], row["provider"]) for row in named}
+    rows = as_baseline(_read_files(spark, [f"{root}/{f}" for f in sorted(folders.values())]))
     # data version, kind, year and provider: the last four folders above the file
     place = F.regexp_extract(decoded(F.col("_location")), "([^/]+/[^/]+/fyear=[^/]+/dataset=[^/]+)/[^/]*$", 1)
-    numbers = spark.createDataFrame(list(folders.items()), f"{SCENARIO} int, _folder string")
-    repeated = _matched(rows.withColumn("_folder", place), numbers, "_folder")
-    return schemas.require(repeated.drop("_folder", "_location"), schemas.BASELINES[kind], kind)
+    numbers = spark.createDataFrame(list(folders.items()), f"{DATASET} int, _folder string")
+    numbered = _matched(rows.withColumn("_folder", place), numbers, "_folder", DATASET)
+    return schemas.require(numbered.drop("_folder", "_location"), schemas.BASELINES[kind], kind)
 
 
 def _scenario_keys(
     spark: SparkSession, paths: Sequence[str], roots: Roots, data_versions: DataFrame
 ) -> DataFrame:
-    """Number, path, dataset and encoded results folder of every given path."""
+    """Number, path, dataset (and its number) and encoded results folder of every given path."""
     plain = [path.strip("/") for path in paths]
     twice = sorted({path for path in plain if plain.count(path) > 1})
     if twice:
@@ -102,10 +107,12 @@ def _scenario_keys(
     unresolved = [row["path"] for row in found if row["data_version"] == NO_VERSION]
     if unresolved:
         raise ValueError(f"no data version fits the model version of {unresolved}")
-    columns = ["path", "location", *_DATASET]
+    columns = ["path", "location", *_DATASET_PARTS]
+    datasets: dict[tuple, int] = {}
+    of = [datasets.setdefault(tuple(row[name] for name in _DATASET_PARTS), len(datasets)) for row in found]
     return spark.createDataFrame(
-        [(number, *(row[name] for name in columns)) for number, row in enumerate(found)],
-        "scenario int, path string, location string, data_version string, fyear int, provider string",
+        [(number, of[number], *(row[name] for name in columns)) for number, row in enumerate(found)],
+        "scenario int, dataset int, path string, location string, data_version string, fyear int, provider string",
     )
 
 
@@ -128,25 +135,28 @@ def batch_tables(
     def runs(folder: str, schema: T.StructType) -> DataFrame:
         return _runs(spark, roots, keys, paths, folder, schema)
 
-    by = [SCENARIO]
+    by, shared = [SCENARIO], Shared((DATASET,), keys.select(SCENARIO, DATASET))
     tables = {
         EMERGENCY.name: emergency_areas(
             _baselines(spark, roots, keys, "aae"),
             runs("aae", schemas.EMERGENCY_RESULTS),
             runs("sdec_conversion", schemas.SDEC_CONVERSION),
             by=by,
+            shared=shared,
         ),
         OUTPATIENT_NAME: outpatient_areas(
             _baselines(spark, roots, keys, "op"),
             runs("op", schemas.OUTPATIENT_RESULTS),
             runs("op_conversion", schemas.OUTPATIENT_CONVERSION),
             by=by,
+            shared=shared,
         ),
         INPATIENT_NAME: inpatient_areas(
             add_specialty_type(_baselines(spark, roots, keys, "ip"), specialties),
             runs("ip", schemas.INPATIENT_RESULTS),
             theatre_times,
             by=by,
+            shared=shared,
         ),
     }
     names = keys.select(SCENARIO, "path")

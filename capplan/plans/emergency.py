@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capplan.operators.densify import dense_totals, label_list
-from capplan.operators.overlay import NullRun, replay
+from capplan.operators.overlay import NullRun, Shared, base_keys, replay
 from capplan.operators.totals import converted_rows
 from capplan.plans.areas import EMERGENCY, KEYS, SDEC_LABEL
 
@@ -22,6 +22,7 @@ def emergency_areas(
     null_run: NullRun = "keep",
     fill_conversion_site: str | None = None,
     broadcast: bool | None = None,
+    shared: Shared | None = None,
 ) -> DataFrame:
     """``(model_run, sitetret, grouping, total)`` for baseline and runs.
 
@@ -29,10 +30,10 @@ def emergency_areas(
     added to that label run by run.
     """
     labelled = baseline.select(
-        *by, "rn", *KEYS, "arrivals", EMERGENCY.label().alias(EMERGENCY.label_column)
+        *base_keys(by, shared), "rn", *KEYS, "arrivals", EMERGENCY.label().alias(EMERGENCY.label_column)
     )
     attendances = replay(
-        labelled, results, sums=["arrivals"], by=by, null_run=null_run, broadcast=broadcast
+        labelled, results, sums=["arrivals"], by=by, null_run=null_run, broadcast=broadcast, shared=shared
     )
     converted = converted_rows(
         conversion, "arrivals", by=by, fill_site=fill_conversion_site, null_run=null_run

@@ -18,7 +18,7 @@ from capplan.functions.labelling import atoms_of, facts, holds
 from capplan.functions.vocabulary import RUN_ATOMS
 from capplan.operators.densify import dense_totals, label_list
 from capplan.operators.lookups import add_theatre_total
-from capplan.operators.overlay import NullRun, replay
+from capplan.operators.overlay import NullRun, Shared, base_keys, replay, result_keys
 from capplan.operators.totals import theatre_scope
 from capplan.plans.areas import (
     DAYCASE,
@@ -64,10 +64,11 @@ def _spell_rows(
     by: Sequence[str],
     null_run: NullRun,
     broadcast: bool | None,
+    shared: Shared | None,
 ) -> DataFrame:
     """Weighted spell rows of the baseline and of every run, each with its facts."""
     fixed_atoms, run_atoms = _atoms(areas)
-    fixed = [*by, "rn", "sitetret", facts(fixed_atoms).alias("facts")]
+    fixed = [*base_keys(by, shared), "rn", "sitetret", facts(fixed_atoms).alias("facts")]
     spells = baseline
     if areas == [PROCEDURES]:
         spells = theatre_scope(spells)
@@ -78,12 +79,13 @@ def _spell_rows(
         fixed += ["theatre_rows", "theatre_time"]
     rows = replay(
         spells.select(*fixed, "model_run", *_varying(run_atoms)),
-        results.select(*by, "rn", "model_run", *_varying(run_atoms)),
+        results.select(*result_keys(by, shared), "rn", "model_run", *_varying(run_atoms)),
         classes=["run_facts"],
         sums=_SUMS,
         by=by,
         null_run=null_run,
         broadcast=broadcast,
+        shared=shared,
     )
     # a baseline record in no run is one spell of unknown class and stay
     weight = F.when(F.col("rn").isNull(), 0).otherwise(F.coalesce("spells", F.lit(1)))
@@ -122,8 +124,9 @@ def _single_area(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
+    shared: Shared | None = None,
 ) -> DataFrame:
-    rows = _spell_rows(baseline, results, theatre_times, [area], by, null_run, broadcast)
+    rows = _spell_rows(baseline, results, theatre_times, [area], by, null_run, broadcast, shared)
     labelled = rows.withColumn(area.label_column, area.label_of("facts"))
     values = [value.alias(name) for name, value in _values(area).items()]
     return dense_totals(
@@ -139,8 +142,9 @@ def daycase_areas(baseline: DataFrame, results: DataFrame, **options) -> DataFra
     """``(model_run, sitetret, grouping, total)``: day case spells.
 
     Options of this and the other area functions: ``by`` (further key columns),
-    ``null_run`` ("keep" or "drop" baseline records in no run) and ``broadcast`` (skip
-    the size check of the baseline and decide it here).
+    ``null_run`` ("keep" or "drop" baseline records in no run), ``broadcast`` (skip
+    the size check of the baseline and decide it here) and ``shared`` (datasets whose
+    baseline several scenarios share).
     """
     return _single_area(DAYCASE, baseline, results, **options)
 
@@ -181,6 +185,7 @@ def inpatient_areas(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
+    shared: Shared | None = None,
 ) -> DataFrame:
     """Several inpatient areas in one pass, as rows of one table.
 
@@ -188,7 +193,7 @@ def inpatient_areas(
     measures an area does not have are NULL. ``area_table`` gives a single area's table.
     """
     chosen = [INPATIENT_AREAS[name] for name in areas]
-    rows = _spell_rows(baseline, results, theatre_times, chosen, by, null_run, broadcast)
+    rows = _spell_rows(baseline, results, theatre_times, chosen, by, null_run, broadcast, shared)
     labels = {area.name: area.label_of("facts") for area in chosen}
     measures = list(_SUMS)
     if PROCEDURES in chosen:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capplan.operators.overlay import NullRun, replay
+from capplan.operators.overlay import NullRun, Shared, base_keys, replay
 from capplan.operators.totals import converted_rows, outpatient_values, unpivot_totals
 from capplan.plans.areas import KEYS, OP_CONVERTED_LABEL, OUTPATIENT_SUMS
 
@@ -21,6 +21,7 @@ def outpatient_areas(
     null_run: NullRun = "keep",
     fill_conversion_site: str | None = None,
     broadcast: bool | None = None,
+    shared: Shared | None = None,
 ) -> DataFrame:
     """``(model_run, sitetret, grouping, total)`` for baseline and runs.
 
@@ -30,9 +31,9 @@ def outpatient_areas(
     """
     keys = [*by, *KEYS]
     counted = ["attendances", "tele_attendances"]
-    records = baseline.select(*by, "rn", *KEYS, "has_procedures", "is_first", *counted)
+    records = baseline.select(*base_keys(by, shared), "rn", *KEYS, "has_procedures", "is_first", *counted)
     visits = replay(
-        records, results, sums=counted, by=by, null_run=null_run, broadcast=broadcast
+        records, results, sums=counted, by=by, null_run=null_run, broadcast=broadcast, shared=shared
     )
     converted = converted_rows(
         conversion, "attendances", by=by, fill_site=fill_conversion_site, null_run=null_run

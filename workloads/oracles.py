@@ -453,6 +453,11 @@ ORACLES: dict[str, str] = {
     "ip_wards_by_scenario": "\nUNION ALL ".join(
         inpatient("ip_wards", scenario=number) for number in range(3)
     ),
+    "ip_wards_by_dataset": "\nUNION ALL ".join(
+        inpatient("ip_wards", scenario=number) for number in range(3)
+    ),
+    "records_without_run": over("ip_baseline", "ip_results")
+    + "SELECT rn, sitetret FROM ip_baseline b WHERE NOT EXISTS (SELECT 1 FROM ip_results r WHERE r.rn = b.rn)",
     "sorted_by_run": inpatient("ip_wards"),
     "manifest_append_check": over("manifest", "manifest_entries")
     + """SELECT e.*, NOT EXISTS (SELECT 1 FROM manifest m WHERE m.capacity_version = e.capacity_version

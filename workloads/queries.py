@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import capplan as cp
 from capplan.functions.vocabulary import PREDICATES, predicate
+from capplan.operators.presence import bitmaps, occurs
 from capplan.operators.versions import resolve_versions
 from capplan.plans.areas import KEYS, OP_CONVERTED_LABEL, SDEC_LABEL, Area
 from capplan.sinks.tables import by_run, check_entries
@@ -116,6 +117,21 @@ def _wards_by_scenario(i: Inputs) -> DataFrame:
     )
 
 
+def _wards_by_dataset(i: Inputs) -> DataFrame:
+    """The same three scenarios as members of two datasets, each joined once."""
+    dataset = F.expr("cast(scenario div 2 AS int) AS dataset")
+    results = i["scenario_results"].select("*", dataset)
+    members = results.select("scenario", "dataset").distinct()
+    spells = i.spells.withColumn("dataset", F.explode(F.array(F.lit(0), F.lit(1))))
+    return cp.ward_areas(spells, results, by=["scenario"], shared=cp.Shared(("dataset",), members))
+
+
+def _records_without_run(i: Inputs) -> DataFrame:
+    """Baseline records that no run has, found through bitmaps of record numbers."""
+    marked = occurs(i["ip_baseline"].select("rn", "sitetret"), bitmaps(i["ip_results"], "rn"), "rn")
+    return marked.where(~F.col("_seen")).drop("_seen")
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources
     "baseline_load": lambda i: as_baseline(i["ip_raw"], index="record_index"),
@@ -197,6 +213,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         *i.inpatients, i.theatre_times, dense_all=True
     ),
     "ip_wards_by_scenario": _wards_by_scenario,
+    "ip_wards_by_dataset": _wards_by_dataset,
+    "records_without_run": _records_without_run,
     # output and checks
     "sorted_by_run": lambda i: by_run(cp.ward_areas(*i.inpatients)),
     "manifest_append_check": lambda i: check_entries(i["manifest_entries"], i["manifest"]),
