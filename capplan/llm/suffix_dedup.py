@@ -455,7 +455,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     spark = texts.sparkSession
     ship(spark)
     made = texts.mapInArrow(partial(_anchored, length=length), _ROWS + ", start long, stop long")
-    ordered = made.repartition("hash").sortWithinPartitions("hash", "around", "id", "version", "place")
+    # spans without a hash go anywhere
+    key = F.coalesce("hash", F.xxhash64("id", "start"))
+    ordered = made.repartition(key).sortWithinPartitions("hash", "around", "id", "version", "place")
     # spans found inside a block need no other row; NULL hashes come first and pass by
     found = cut(ordered.mapInArrow(partial(_passed, length=length), _FOUND))
     spans = found.where("hash is null").select("id", "version", "start", "stop")
