@@ -19,8 +19,7 @@ to move results as little as possible:
 
 Baseline records without any run are found through bitmaps of the record numbers in
 results: results are reduced to bitmaps where they are read, in one more scan of one
-column. Record numbers so sparse that bitmaps would outgrow them are shuffled as
-distinct keys instead.
+column.
 
 Scenarios on one dataset can share its baseline (``Shared``): it is read, broadcast and
 joined once per dataset, and its own rows are summed before they are repeated for
@@ -37,10 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capplan.operators.presence import bitmaps, lacking, occurs
-from capplan.operators.sizing import broadcast_limit, measure
+from capplan.operators.sizing import fits_broadcast
 
 NullRun = Literal["keep", "drop"]
-Presence = Literal["bitmap", "keys"]
 RECORD = "rn"
 RUN = "model_run"
 
@@ -84,23 +82,9 @@ def _check(null_run: str) -> None:
         raise ValueError(f"null_run must be 'keep' or 'drop', not {null_run!r}")
 
 
-def _decided(
-    fixed: DataFrame, by: Sequence[str], broadcast: bool | None, presence: Presence | None
-) -> tuple[bool, Presence]:
-    """Whether to broadcast, and how to find what occurs; measured unless the caller says so."""
-    if broadcast is None:
-        found = measure(fixed, RECORD, by)
-        broadcast = found.bytes <= broadcast_limit(fixed)
-        presence = presence or ("bitmap" if found.dense else "keys")
-    return broadcast, presence or "bitmap"
-
-
-def _marked(base: DataFrame, runs: DataFrame, by: Sequence[str], presence: Presence) -> DataFrame:
+def _marked(base: DataFrame, runs: DataFrame, by: Sequence[str]) -> DataFrame:
     """``base`` with ``_seen``: whether a run has the record."""
-    if presence == "bitmap":
-        return occurs(base, bitmaps(runs, RECORD, by), RECORD, by)
-    seen = runs.select(*by, RECORD).distinct().withColumn("_seen", F.lit(True))
-    return base.join(seen, [*by, RECORD], "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    return occurs(base, bitmaps(runs, RECORD, by), RECORD, by)
 
 
 def _joined(runs: DataFrame, fixed: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
@@ -115,7 +99,6 @@ def overlay(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
-    presence: Presence | None = None,
 ) -> DataFrame:
     """Baseline rows with ``replaced`` columns and the run number taken from results.
 
@@ -126,11 +109,11 @@ def overlay(
     keys = [*by, RECORD]
     fixed = base.drop(RUN, *replaced)
     runs = _runs(results, [*keys, RUN, *replaced], null_run)
-    broadcast, presence = _decided(fixed, by, broadcast, presence)
+    broadcast = fits_broadcast(fixed) if broadcast is None else broadcast
     matched = _joined(runs, fixed, keys, broadcast)
     if null_run == "drop":
         return matched
-    unmatched = _marked(fixed, runs, by, presence).where(~F.col("_seen")).drop("_seen")
+    unmatched = _marked(fixed, runs, by).where(~F.col("_seen")).drop("_seen")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -143,7 +126,6 @@ def replay(
     by: Sequence[str] = (),
     null_run: NullRun = "keep",
     broadcast: bool | None = None,
-    presence: Presence | None = None,
     shared: Shared | None = None,
 ) -> DataFrame:
     """Baseline and all its runs as rows to be aggregated.
@@ -155,12 +137,11 @@ def replay(
     With ``shared``, ``base`` has the keys of its dataset in place of ``by``, and results have both.
     """
     _check(null_run)
-    leading = base_keys(by, shared)
-    keys = [*leading, RECORD]
+    keys = [*base_keys(by, shared), RECORD]
     varying = [RUN, *classes, *sums]
     fixed = base.drop(*varying)
     runs = _runs(results, [*result_keys(by, shared), RECORD, *varying], null_run)
-    broadcast, presence = _decided(fixed, leading, broadcast, presence)
+    broadcast = fits_broadcast(fixed) if broadcast is None else broadcast
     matched = _joined(runs, fixed, keys, broadcast)
     types = {field.name: field.dataType for field in base.schema.fields}
     nothing = [F.lit(None).cast(types[name]).alias(name) for name in varying]
@@ -171,7 +152,7 @@ def replay(
     # one read of the baseline gives both its own row and, if no run has the record,
     # the row without a run
     rows = F.array(F.struct(*varying), F.when(~F.col("_seen"), F.struct(*nothing)))
-    rest = _marked(base, runs, by, presence).select(*fixed.columns, F.inline(F.array_compact(rows)))
+    rest = _marked(base, runs, by).select(*fixed.columns, F.inline(F.array_compact(rows)))
     return matched.unionByName(rest)
 
 

@@ -1,8 +1,8 @@
-"""Which record numbers occur: one bit each, in bitmaps of 32,768 neighbouring numbers.
+"""Which record numbers occur: one bit each, in words of 64 neighbouring numbers.
 
-Rows are reduced to bitmaps where they are read, so what crosses the network is an eighth of a byte per
-record number in reach and task, whatever the number of rows. All of it is built-in functions; numbers may be
-negative and sparse (a bitmap costs 4 KiB even for a single number). A NULL number never occurs.
+Rows are reduced to words where they are read, by a hash aggregate over longs. What crosses the network is at most
+one word for 64 neighbouring record numbers and task, whatever the number of rows, and for sparse numbers
+never more than the distinct numbers themselves. Numbers may be negative; a NULL number never occurs.
 """
 
 from __future__ import annotations
@@ -12,67 +12,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Numbers of one bitmap, and its bytes.
-NUMBERS, BYTES = 32768, 4096
+#: A word's number is the record number without its last bits.
+_SHIFT = 6
+_WORD, _BITS = "_word", "_bits"
 
-_BUCKET, _BITS = "_bucket", "_bits"
 
+def _word(key: str) -> Column:
+    return F.shiftright(F.col(key).cast("bigint"), _SHIFT).alias(_WORD)
 
-def bitmaps(rows: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, _bucket, _bits)``: the bitmaps of all numbers in column ``key``."""
-    number = F.col(key).cast("bigint")
-    placed = rows.where(F.col(key).isNotNull()).select(
-        *by, F.bitmap_bucket_number(number).alias(_BUCKET), F.bitmap_bit_position(number).alias("_position")
-    )
-    return placed.groupBy(*by, _BUCKET).agg(F.bitmap_construct_agg("_position").alias(_BITS))
 
+def _bit(key: str) -> Column:
+    place = F.col(key).cast("bigint").bitwiseAND(F.lit((1 << _SHIFT) - 1)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
 
-def _byte(bits: Column, index: Column) -> Column:
-    return F.conv(F.hex(F.substring(bits, index + 1, F.lit(1))), 16, 10).cast("int")
+
+def bitmaps(rows: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, _word, _bits)``: all numbers in column ``key``."""
+    placed = rows.where(F.col(key).isNotNull()).select(*by, _word(key), _bit(key).alias("_bit"))
+    return placed.groupBy(*by, _WORD).agg(F.bit_or("_bit").alias(_BITS))
 
 
 def occurs(rows: DataFrame, seen: DataFrame, key: str, by: Sequence[str] = (), name: str = "_seen") -> DataFrame:
-    """``rows`` with ``name``: whether ``key`` (of the same ``by``) is in the bitmaps ``seen``."""
-    number = F.col(key).cast("bigint")
-    placed = rows.withColumns({_BUCKET: F.bitmap_bucket_number(number), "_position": F.bitmap_bit_position(number)})
-    position = F.col("_position").cast("int")
-    byte = _byte(F.col(_BITS), F.floor(position / 8).cast("int"))
-    bit = F.call_function("shiftright", byte, position % 8).bitwiseAND(F.lit(1)) == 1
-    found = placed.join(seen, [*by, _BUCKET], "left").withColumn(name, F.coalesce(bit, F.lit(False)))
-    return found.drop(_BUCKET, "_position", _BITS)
+    """``rows`` with ``name``: whether ``key`` (of the same ``by``) is among the numbers ``seen``."""
+    found = rows.withColumn(_WORD, _word(key)).join(seen, [*by, _WORD], "left")
+    bit = F.col(_BITS).bitwiseAND(_bit(key)) != 0
+    return found.withColumn(name, F.coalesce(bit, F.lit(False))).drop(_WORD, _BITS)
 
 
 def lacking(whole: DataFrame, seen: DataFrame, by: Sequence[str], key: str) -> DataFrame:
-    """``(columns of whole, key)``: numbers of the bitmaps ``whole`` that ``seen`` lacks, per ``by``.
-
-    Bitmaps are compared by words, then bytes, then bits, so the rows are those of the result.
-    """
-    own = [c for c in whole.columns if c not in (_BUCKET, _BITS)]
-    both = whole.withColumnRenamed(_BITS, "_whole").join(seen, [*by, _BUCKET], "left")
-    none = "x'0000000000000000'"
-    words = both.select(
-        *own,
-        _BUCKET,
-        "_whole",
-        _BITS,
-        F.explode(
-            F.expr(
-                f"filter(sequence(0, {BYTES // 8 - 1}), w -> substring(_whole, 8 * w + 1, 8) <> "
-                f"coalesce(substring({_BITS}, 8 * w + 1, 8), {none}))"
-            )
-        ).alias("_word"),
-    )
-    bytes_ = words.select(
-        *own, _BUCKET, "_whole", _BITS, F.explode(F.sequence(8 * F.col("_word"), 8 * F.col("_word") + 7)).alias("_at")
-    ).select(
-        *own,
-        _BUCKET,
-        "_at",
-        _byte(F.col("_whole"), F.col("_at")).alias("_have"),
-        F.coalesce(_byte(F.col(_BITS), F.col("_at")), F.lit(0)).alias("_found"),
-    )
-    bits = bytes_.where("(_have & ~_found) <> 0").select(
-        *own, _BUCKET, F.explode(F.expr("transform(filter(sequence(0, 7), b -> (shiftright(_have & ~_found, b) & 1) = 1), b -> 8 * _at + b)")).alias("_p")
+    """``(columns of whole, key)``: numbers of the words ``whole`` that ``seen`` lacks, per ``by``."""
+    own = [c for c in whole.columns if c not in (_WORD, _BITS)]
+    both = whole.withColumnRenamed(_BITS, "_whole").join(seen, [*by, _WORD], "left")
+    left = F.col("_whole").bitwiseAND(F.bitwise_not(F.coalesce(_BITS, F.lit(0).cast("bigint"))))
+    words = both.select(*own, _WORD, left.alias("_left")).where("_left <> 0")
+    places = F.explode(F.expr(f"filter(sequence(0, {(1 << _SHIFT) - 1}), b -> (shiftright(_left, b) & 1) = 1)"))
+    return words.select(*own, _WORD, places.alias("_place")).select(
+        *own, (F.shiftleft(F.col(_WORD), _SHIFT) + F.col("_place")).alias(key)
     )
-    number = F.when(F.col(_BUCKET) > 0, (F.col(_BUCKET) - 1) * NUMBERS + F.col("_p") + 1).otherwise(F.col(_BUCKET) * NUMBERS - F.col("_p"))
-    return bits.select(*own, number.cast("bigint").alias(key))

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capplan.operators.presence import BYTES
-
 # A broadcast copy lives in the driver and in every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -26,29 +21,6 @@ def row_bytes(df: DataFrame) -> Column:
     return sum((length + _COLUMN_BYTES for length in lengths), fixed)
 
 
-@dataclass(frozen=True)
-class Measured:
-    """Bytes and rows of a table, and about how many bitmaps its record numbers fall into."""
-
-    bytes: int
-    rows: int
-    bitmaps: int
-
-    @property
-    def dense(self) -> bool:
-        """Whether bitmaps of its numbers are smaller than the numbers, or few."""
-        return self.bitmaps <= 16 or self.bitmaps * BYTES <= 16 * self.rows
-
-
-def measure(df: DataFrame, key: str, by: Sequence[str] = ()) -> Measured:
-    """One aggregation over exactly the columns that would be broadcast."""
-    bucket = F.struct(*by, F.bitmap_bucket_number(F.col(key).cast("bigint")).alias("bucket"))
-    row = df.agg(
-        F.sum(row_bytes(df)).alias("bytes"), F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(bucket).alias("bitmaps")
-    ).first()
-    return Measured(row["bytes"] or 0, row["rows"], row["bitmaps"])
-
-
 def broadcast_limit(df: DataFrame) -> int:
     """Bytes that may be broadcast: the session's ``capplan.broadcastBytes``, 256 MiB where it is unset."""
     return int(df.sparkSession.conf.get("capplan.broadcastBytes", str(BROADCAST_BYTES)))
