@@ -93,15 +93,14 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS ho
                     count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS n FROM word),
      twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, p) AS c FROM win WHERE n = 8) WHERE c > 1),
      rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY 1),
-     raw AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d),
-     line AS (SELECT doc_id, host, line, len(regexp_extract_all(line, '{_BLANK}')) AS words,
-                     substr(md5(array_to_string(regexp_extract_all(lower(line), '{_BLANK}'), ' ')), 1, 16) AS h
+     split AS (SELECT doc_id, host, string_split(text, chr(10)) AS ls FROM d),
+     raw AS (SELECT doc_id, host, i, ls[i] AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split)),
+     line AS (SELECT doc_id, host, i, line, len(regexp_extract_all(line, '{_BLANK}')) AS words,
+                     array_to_string(regexp_extract_all(lower(line), '{_BLANK}'), ' ') AS h
               FROM raw WHERE regexp_matches(line, '{_BLANK}')),
      dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM line GROUP BY 1),
-     ranked AS (SELECT doc_id, h, row_number() OVER (PARTITION BY doc_id ORDER BY h) AS k FROM (SELECT DISTINCT doc_id, h FROM line)),
-     least2 AS (SELECT doc_id, max(h) FILTER (WHERE k = 1) AS a, max(h) FILTER (WHERE k = 2) AS b FROM ranked GROUP BY 1),
-     held AS (SELECT host, h, count(DISTINCT CASE WHEN h <> a THEN a ELSE coalesce(b, a) END) AS n
-              FROM line JOIN least2 USING (doc_id) GROUP BY 1, 2),
+     whole AS (SELECT doc_id, string_agg(h, chr(10) ORDER BY i) AS norm FROM line GROUP BY 1),
+     held AS (SELECT host, h, count(DISTINCT norm) AS n FROM line JOIN whole USING (doc_id) GROUP BY 1, 2),
      hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY 1),
      boiler AS (SELECT host, h FROM held JOIN hosts USING (host) WHERE n >= 10 AND n >= 0.005 * docs),
      gone AS (SELECT doc_id, sum(words) AS n FROM line JOIN boiler USING (host, h) GROUP BY 1),

@@ -4,10 +4,8 @@ All of it is DataFrame expressions. The cross-document part hashes normalised li
 joined by one space), counts the distinct documents of a host (``source``) that hold each line, takes
 lines above the limits for boilerplate, and rejects documents of which too few words remain.
 
-Copies of one document must not make its lines look like boilerplate, or all of them would be rejected
-and none left. A document therefore counts by the rest of it: for each line, by the smallest hash among
-its other distinct lines. Copies and near copies agree on that value, so a family of copies counts as
-one or a few documents, while documents that share only a header, a footer or a passage count apart.
+Documents are distinct by their normalised text (all its lines with a word, normalised): exact copies count
+once, so a text that is merely copied does not make its own lines boilerplate. Near copies are documents of their own.
 
 Rows are told apart by document id, text and source. NULL text is a text without words (it fails the
 base rules), NULL source is a host of its own, repeated rows get equal results and count as one document,
@@ -105,7 +103,7 @@ def base_rules(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """One row per line with a word: host, row, document id, place, hash, words, and the rest's identity."""
+    """One row per line with a word: host, row, document id, place, hash, words, and its text's identity."""
     hashed = _told_apart(documents).select(
         F.col("doc_id").alias("id"),
         F.col(f"{OWN}host").alias("host"),
@@ -117,26 +115,19 @@ def _lines(documents: DataFrame) -> DataFrame:
             ),
         ).alias("lines"),
     )
-    least = hashed.select("*", F.array_min("lines.hash").alias("first"))
-    second = least.select(
-        "*", F.array_min(F.filter(F.col("lines.hash"), lambda h: h != F.col("first"))).alias("second")
-    )
-    return second.select("id", "host", "row", "first", "second", F.posexplode("lines").alias("place", "line")).select(
-        "id",
-        "host",
-        "row",
-        "place",
-        F.col("line.hash").alias("hash"),
-        F.col("line.words").alias("words"),
-        F.when(F.col("line.hash") != F.col("first"), F.col("first")).otherwise(F.coalesce("second", "first")).alias("rest"),
+    told = hashed.select("id", "host", "row", F.xxhash64("lines.hash").alias("text"), F.posexplode("lines").alias("place", "line"))
+    return told.select(
+        "id", "host", "row", "text", "place", F.col("line.hash").alias("hash"), F.col("line.words").alias("words")
     )
 
 
-def boilerplate(documents: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+def boilerplate(
+    documents: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, lines: DataFrame | None = None
+) -> DataFrame:
     """``host, hash, n_docs`` of the lines above the limits; as many rows as hosts have such lines."""
     counted = (
-        _lines(documents)
-        .select("host", "hash", "rest")
+        (_lines(documents) if lines is None else lines)
+        .select("host", "hash", "text")
         .distinct()
         .groupBy("host", "hash")
         .agg(F.count(F.lit(1)).alias("n_docs"))
@@ -150,17 +141,17 @@ def boilerplate(documents: DataFrame, min_docs: int = MIN_DOCS, min_share: float
     )
 
 
-def _removed(documents: DataFrame, lines: DataFrame) -> DataFrame:
+def _removed(lines: DataFrame, common: DataFrame) -> DataFrame:
     """The boilerplate lines of each row that has any, each line of a row once."""
-    return _lines(documents).join(lines, ["host", "hash"]).dropDuplicates(["id", "row", "place"])
+    return lines.join(common, ["host", "hash"]).dropDuplicates(["id", "row", "place"])
 
 
-def _judged(documents: DataFrame, lines: DataFrame, min_left: float) -> DataFrame:
+def _judged(documents: DataFrame, lines: DataFrame, common: DataFrame, min_left: float) -> DataFrame:
     """Per row its id and key, the base measures, the words in boilerplate lines, and the verdict."""
     rows = _told_apart(documents).withColumn("row", F.col(f"{OWN}row"))
     base = base_rules(rows, "doc_id", "row")
     removed = (
-        _removed(documents, lines)
+        _removed(lines, common)
         .groupBy(F.col("id").alias("r_id"), F.col("row").alias("r_row"))
         .agg(F.sum("words").alias("n_boilerplate_words"))
     )
@@ -176,21 +167,28 @@ def _judged(documents: DataFrame, lines: DataFrame, min_left: float) -> DataFram
     )
 
 
-def judge(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
+def judge(
+    documents: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE
+) -> DataFrame:
     """``doc_id``, base measures, ``base_failed``, ``n_boilerplate_words`` and ``kept``, one row per row."""
-    return _judged(documents, boilerplate(documents), min_left).drop("row")
+    lines = cut(_lines(documents))
+    common = boilerplate(documents, min_docs, min_share, lines)
+    return _judged(documents, lines, common, min_left).drop("row")
 
 
-def clean_documents(documents: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:
+def clean_documents(
+    documents: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE
+) -> DataFrame:
     """The documents that pass, without their boilerplate lines; columns unchanged, ``n_chars`` brought up to date.
 
     Verdicts are stored before they filter: a filter pushed down into the measures would compute them anew.
     """
     columns = documents.columns
-    lines = boilerplate(documents)
-    verdicts = cut(_judged(documents, lines, min_left).select("doc_id", "row", "kept").distinct())
+    lines = cut(_lines(documents))
+    common = boilerplate(documents, min_docs, min_share, lines)
+    verdicts = cut(_judged(documents, lines, common, min_left).select("doc_id", "row", "kept").distinct())
     removed = (
-        _removed(documents, lines)
+        _removed(lines, common)
         .groupBy(F.col("id").alias("g_id"), F.col("row").alias("g_row"))
         .agg(F.collect_set("hash").alias(f"{OWN}gone"))
     )

@@ -42,13 +42,37 @@ def test_boilerplate_rejects_depleted_documents_only(spark):
     assert cleaned[200].text.startswith(notice) and cleaned[200].n_chars == 1
 
 
-def test_copies_do_not_reject_each_other(spark):
-    lines = [prose(f"l{k}", 12) for k in range(6)]
-    rows = [(i, "\n".join(lines), "host", 1) for i in range(40)]
-    rows += [(100 + i, "\n".join([*lines[:5], prose(i, 12)]), "host", 1) for i in range(40)]
+def test_exact_copies_do_not_reject_each_other(spark):
+    text = "\n".join(prose(f"l{k}", 12) for k in range(6))
+    rows = [(i, text if i % 2 else text.upper().replace("\n", "\n \n"), "host", 1) for i in range(40)]
     assert all(r.kept for r in quality.judge(documents(spark, rows)).collect())
 
 
+def test_a_shared_menu_rejects_whatever_the_own_lines_are(spark):
+    """100 documents of 40 menu lines and one own line: the count is of documents, for any own lines."""
+    menu = "\n".join(prose(f"m{k}", 6) for k in range(40))
+    rows = [
+        (1000 * draw + i, f"{menu}\n" + " ".join(f"o{draw}x{i * 7919 % 101}y{w}" for w in range(25)), f"host{draw}", 1)
+        for draw in range(20)
+        for i in range(100)
+    ]
+    frame = documents(spark, rows)
+    assert {r.n_docs for r in quality.boilerplate(frame).collect()} == {100}
+    assert not any(r.kept for r in quality.judge(frame).collect())
+    assert quality.clean_documents(frame).count() == 0
+
+
+def test_limits_can_be_given(spark):
+    menu = prose("m", 30)
+    rows = [(i, f"{menu}\n{prose(i, 5)}", "host", 1) for i in range(6)]
+    frame = documents(spark, rows)
+    assert all(r.kept for r in quality.judge(frame).collect())
+    assert not any(r.kept for r in quality.judge(frame, min_docs=5).collect())
+    assert all(r.kept for r in quality.judge(frame, min_docs=5, min_share=1.1).collect())
+    assert all(r.kept for r in quality.judge(frame, min_docs=5, min_left=0.1).collect())
+    assert quality.clean_documents(frame, min_docs=5).count() == 0
+
+
 def test_no_python_in_the_plan(spark, odd):
     plan = quality.judge(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
