@@ -14,6 +14,7 @@ all of its candidates in a second turn, so nothing is lost.
 from __future__ import annotations
 
 import uuid
+import zlib
 from functools import partial
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capplan.llm import rarity
-from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, scramble, shared_folder, ship, squeezed
+from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, scramble, shared_folder, ship, squeezed
 
 #: Hundredths of similarity from which a line repeats an earlier one.
 SHARE = 80
@@ -36,6 +37,13 @@ HOT = 1 << 16
 _LAST = (1 << 63) - 1
 
 
+def _ordered(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order by owner (ascending already), then value; a radix sort brings owners back together."""
+    order = np.argsort(values)
+    small = np.uint16 if not len(owner) or owner[-1] < 1 << 16 else np.int64
+    return order[np.argsort(owner[order].astype(small), kind="stable")]
+
+
 class Lines:
     """Distinct words (hashes, ascending) of every line of some texts."""
 
@@ -43,7 +51,7 @@ class Lines:
         words = Words(texts, lines=True)
         n = np.diff(words.bounds)
         owner = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((words.hashes, owner))
+        order = _ordered(words.hashes, owner)
         owner, tokens = owner[order], words.hashes[order]
         fresh = np.ones(len(owner), dtype=bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (tokens[1:] != tokens[:-1])
@@ -82,14 +90,16 @@ _SURVEY = f"id long, version long, n_lines int, {rarity.COUNTS}"
 
 
 def _survey(batches):
-    """Per document its number of lines with a word; at the end of the task, the counts of its words by line."""
+    """Per document its number of lines with a word; at the end of the task, the counts of its words."""
     counter = rarity.Counter()
     names = [c.split()[0] for c in _SURVEY.split(", ")]
     for batch in batches:
         for block in blocks(batch):
-            lines = Lines(block.column("text"))
-            counter.add(lines.tokens)
-            n = np.bincount(lines.text[lines.sizes > 0], minlength=block.num_rows).astype(np.int32)
+            # words are counted as often as they occur: any order that all tasks share will do
+            words = Words(block.column("text"), lines=True)
+            counter.add(words.hashes)
+            full = np.concatenate([[0], np.cumsum(np.diff(words.bounds) > 0)])
+            n = np.diff(full[words.line_of]).astype(np.int32)
             none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [block.column("id"), block.column("version"), pa.array(n), *none], names=names
@@ -104,7 +114,57 @@ def _survey(batches):
 _ROWS = "word long, id long, line int, size int, place int, tally long, version long"
 
 
-def _rows(share: int, steps: np.ndarray):
+class Marks:
+    """A Bloom filter of words in a fixed number of bits, whatever the number of words: none of them is ever missed."""
+
+    BITS, SLICES = 25, 16
+
+    def __init__(self, bits: np.ndarray | None = None):
+        self.bits = np.zeros(1 << (self.BITS - 3), np.uint8) if bits is None else bits
+
+    def _places(self, words: np.ndarray):
+        for salt in (0xA4093822299F31D0, 0x082EFA98EC4E6C89):
+            yield (scramble(words ^ np.uint64(salt)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def add(self, words: np.ndarray) -> None:
+        for place in self._places(words):
+            np.bitwise_or.at(self.bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
+
+    def has(self, words: np.ndarray) -> np.ndarray:
+        out = np.ones(len(words), dtype=bool)
+        for place in self._places(words):
+            out &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+    @classmethod
+    def of(cls, words: DataFrame) -> Marks:
+        """The filter of a column ``word``: tasks mark their own words, executors bring slices together."""
+        names, size = ["slice", "bits"], 1 << (cls.BITS - 3)
+
+        def task(batches):
+            own = cls()
+            for batch in batches:
+                own.add(batch.column("word").to_numpy().view(np.uint64))
+            for number, part in enumerate(np.split(own.bits, cls.SLICES)):
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], names=names)
+
+        def joined(rows: pa.Table) -> pa.Table:
+            whole = np.zeros(size // cls.SLICES, np.uint8)
+            for raw in rows.column("bits"):
+                whole |= np.frombuffer(zlib.decompress(raw.as_py()), np.uint8)
+            return pa.table({"slice": rows.column("slice").slice(0, 1), "bits": pa.array([zlib.compress(whole.tobytes(), 1)])})
+
+        marked = words.mapInArrow(task, "slice int, bits binary").groupBy("slice").applyInArrow(joined, "slice int, bits binary")
+        out = np.zeros((cls.SLICES, size // cls.SLICES), np.uint8)
+        for number, raw in marked.collect():
+            out[number] = np.frombuffer(zlib.decompress(raw), np.uint8)
+        return cls(out.reshape(-1))
+
+
+def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
+    """Rows of shared words; with ``marks`` only those of marked words, without certain repeats."""
+
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for block in blocks(batch):
@@ -119,25 +179,28 @@ def _rows(share: int, steps: np.ndarray):
             earliest = order[first][group]
             again = (doc[earliest] != doc[order]) | (lines.number[earliest] != lines.number[order])
             repeat, of = order[again], earliest[again]
-            out.append(
-                (
-                    scramble(lines.keys()["a"][repeat]).view(np.int64),
-                    doc[repeat],
-                    lines.number[repeat].astype(np.int32),
-                    np.zeros(len(repeat), np.int32),
-                    lines.number[of].astype(np.int32),
-                    doc[of],
-                    versions[lines.text[repeat]],
+            if marks is None:
+                out.append(
+                    (
+                        scramble(keys["a"][repeat]).view(np.int64),
+                        doc[repeat],
+                        lines.number[repeat].astype(np.int32),
+                        np.zeros(len(repeat), np.int32),
+                        lines.number[of].astype(np.int32),
+                        doc[of],
+                        versions[lines.text[repeat]],
+                    )
                 )
-            )
             new = np.zeros(len(lines.sizes), dtype=bool)
             new[order[first]] = True
             rank = rarity.ranked(lines.tokens, steps)
-            by_rank = np.lexsort((rank, lines.owner))
+            by_rank = _ordered(rank, lines.owner)
             place = np.arange(len(rank)) - lines.starts[:-1][lines.owner]
             size = lines.sizes
             length = size - (share * size + 99) // 100 + 1
             kept = (place < length[lines.owner]) & new[lines.owner]
+            if marks is not None:
+                kept[kept] = marks.has(rank[by_rank][kept])
             owner = lines.owner[kept]
             out.append(
                 (
@@ -180,33 +243,39 @@ class _Group:
         return x[ok], y[ok]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Earlier row, later row, and whether the later one has more candidates than are given."""
-        word, size = self.rows["word"], self.rows["size"]
+        """Earlier row, later row, and whether the later one has more candidates than are given.
+
+        Rows of one word come by size. Row by row is compared at growing distances, within the reach of its size,
+        and only for rows that still look for earlier lines, so lines of one template by the hundred thousand
+        cost as many steps and not their square.
+        """
+        word, size = self.rows["word"], self.rows["size"].astype(np.int64)
         n = len(word)
         i, line = self.rows["id"], self.rows["line"]
+        group = np.cumsum(np.concatenate([[False], word[1:] != word[:-1]])[:n]) if n else np.zeros(0, np.int64)
+        base = int(size.max(initial=0)) + 2
+        key = group * base + size
+        low = np.searchsorted(key, group * base + (self.share * size + 99) // 100)
+        high = np.searchsorted(key, group * base + np.minimum(100 * size // self.share, base - 1), side="right")
         found, have = [], np.zeros(n, dtype=np.int64)
-        # rows of one word come by size: a row is compared with those after it up to the size that still allows it
-        left = np.arange(n)
+        live = np.arange(n) if self.keep is not None else np.flatnonzero(self.wanted)
         for lag in range(1, n):
-            left = left[left + lag < n]
-            near = (word[left + lag] == word[left]) & (100 * size[left] >= self.share * size[left + lag])
-            left = left[near]
-            if not len(left):
+            live = live[(live - lag >= low[live]) | (live + lag < high[live])]
+            if self.keep is not None:
+                live = live[have[live] < ENOUGH]
+            if not len(live):
                 break
-            # document order decides which line is the later one
-            x, y = left, left + lag
-            swap = (i[x] > i[y]) | ((i[x] == i[y]) & (line[x] > line[y]))
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            open_ = self.wanted[y] if self.keep is None else have[y] < ENOUGH
-            x, y = self.passes(x[open_], y[open_])
+            left, right = live[live - lag >= low[live]], live[live + lag < high[live]]
+            x, y = np.concatenate([left - lag, right + lag]), np.concatenate([left, right])
+            earlier = (i[x] < i[y]) | ((i[x] == i[y]) & (line[x] < line[y]))
+            x, y = self.passes(x[earlier], y[earlier])
             np.add.at(have, y, 1)
-            found.append((x, y))
+            if len(x):
+                found.append((x, y))
         if not found:
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0, bool)
         x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-        other = (i[x] != i[y]) | (line[x] != line[y])
-        x, y = x[other], y[other]
         order = np.lexsort((line[x], i[x], y))
         x, y = x[order], y[order]
         if self.keep is None or not len(y):
@@ -217,12 +286,36 @@ class _Group:
         return x[first], y[first], np.repeat(count > self.keep, count)[first]
 
 
-def _pairs(batches, share: int, keep: int | None, wanted: bool = False):
-    """Candidates from rows that come sorted by word and size; a word may span batches."""
-    names = [c.split()[0] for c in _ROWS.split(", ")] + (["wanted"] if wanted else [])
+#: Size of a row that says for which line a word's candidates are wanted.
+WANTED = -1
+
+
+def _wanted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The rows of words for which some line is wanted, with ``wanted`` for these lines.
+
+    Lines are compared by a hash; a line that is taken for wanted by chance only gets more candidates verified.
+    """
+    def keys(at: np.ndarray) -> np.ndarray:
+        parts = [rows[n][at].astype(np.int64).view(np.uint64) for n in ("word", "id", "line")]
+        return mix(mix(parts[0], parts[1]), parts[2])
+
+    mark = rows["size"] == WANTED
+    near = np.flatnonzero(~mark & np.isin(rows["word"], rows["word"][mark]))
+    out = {k: v[near] for k, v in rows.items()}
+    out["wanted"] = np.isin(keys(near), keys(np.flatnonzero(mark)))
+    return out
+
+
+def _pairs(batches, share: int, keep: int | None):
+    """Candidates from rows that come sorted by word and size; a word may span batches.
+
+    Without ``keep``, all candidates of the lines that rows of size ``WANTED`` name.
+    """
+    names = [c.split()[0] for c in _ROWS.split(", ")]
     held: list[dict[str, np.ndarray]] = []
 
     def done(rows: dict[str, np.ndarray]):
+        rows = _wanted(rows) if keep is None else rows
         sure = rows["size"] == 0
         if sure.any():
             yield _pair_batch(
@@ -374,15 +467,16 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     failed.select("id", "line", "word").distinct().write.parquet(folder)
     failed = spark.read.parquet(folder)
     if failed.first() is not None:
-        # few as a rule: Spark broadcasts them if their size allows it
-        failed.select("word").distinct().write.parquet(f"{folder}-words")
-        near = rows.where("size > 0").join(spark.read.parquet(f"{folder}-words"), "word", "left_semi")
-        lines = failed.select("id", "line").distinct().withColumn("wanted", F.lit(True))
-        marked = near.join(lines, ["id", "line"], "left")
-        marked = marked.select(*[c.split()[0] for c in _ROWS.split(", ")], F.coalesce("wanted", F.lit(False)).alias("wanted"))
-        again = _sorted(marked).mapInArrow(partial(_pairs, share=share, keep=None, wanted=True), _PAIRS)
-        again = again.select("id", "line", "of_id", "of_line").distinct()
-        found = cut(found.union(_verified(texts, cut(again), share)))
+        # only rows of their words are sent again, told apart before anything is sent; at its other words such
+        # a line has been compared with all that it has there
+        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(failed.select("word"))), _ROWS)
+        none = F.lit(0)
+        asked = failed.select(
+            "word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), none.cast("long").alias("tally"), none.cast("long").alias("version")
+        )
+        near = _sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=None), _PAIRS)
+        near = near.select("id", "line", "of_id", "of_line").distinct()
+        found = cut(found.union(_verified(texts, cut(near), share)))
     early = F.min(F.struct("of_id", "of_line"))
     removed = found.groupBy("id", "line", "version").agg(early.alias("of"))
     return removed.select("id", "line", "version", F.col("of.of_id").alias("of_id"), F.col("of.of_line").alias("of_line")), light

@@ -1,7 +1,10 @@
 import random
 import re
+import time
 
 
+import numpy as np
+
 from capplan.llm import line_dedup
 
 WORDS = re.compile("[^\x20\x09-\x0D]+")
@@ -80,3 +83,24 @@ def test_text_and_length_follow(spark):
     docs = spark.createDataFrame([(1, "one two three\nx", 15), (2, "one two three\ny", 15)], "doc_id long, text string, n_chars long")
     kept = line_dedup.drop_repeated_lines(docs).orderBy("doc_id").collect()
     assert [tuple(row) for row in kept] == [(1, "one two three\nx", 15), (2, "y", 1)]
+
+
+def test_marks_miss_no_word(spark):
+    words = [(k * 2654435761) % (1 << 62) - (1 << 61) for k in range(5000)]
+    marks = line_dedup.Marks.of(spark.createDataFrame([(w,) for w in words], "word long").repartition(3))
+    own = np.array(words, dtype=np.int64).view(np.uint64)
+    assert marks.has(own).all()
+    assert marks.has(own + np.uint64(1)).mean() < 0.01
+    assert not line_dedup.Marks.of(spark.createDataFrame([], "word long")).bits.any()
+
+
+def test_lines_of_one_template_end_in_seconds(spark):
+    """100,000 lines that differ in one word: all but the first repeat an earlier one."""
+    rows = spark.range(100).selectExpr(
+        "id AS doc_id",
+        "array_join(transform(sequence(0, 999), k -> concat('page ', id * 1000 + k, ' of the spring catalogue with all its fine things')), '\n') AS text",
+    )
+    start = time.time()
+    found = line_dedup.report(rows)
+    assert sum(r.n_removed for r in found.collect()) == 99_999
+    assert time.time() - start < 90
