@@ -49,6 +49,7 @@ class Lines:
 
     def __init__(self, texts: pa.Array):
         words = Words(texts, lines=True)
+        self.data, self.offsets = words.data, words.offsets
         n = np.diff(words.bounds)
         owner = np.repeat(np.arange(len(n)), n)
         order = _ordered(words.hashes, owner)
@@ -110,7 +111,8 @@ def _survey(batches):
 
 
 #: word: rank of a shared word; size and place: of the line's set, of the word in it. Size 0: a line that
-#: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line).
+#: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line). Size -2: a
+#: line by the 128-bit key of its set, in ``word`` and ``tally``.
 _ROWS = "word long, id long, line int, size int, place int, tally long, version long"
 
 
@@ -193,6 +195,19 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
                 )
             new = np.zeros(len(lines.sizes), dtype=bool)
             new[order[first]] = True
+            if marks is None:
+                sole = order[first]
+                out.append(
+                    (
+                        keys["a"][sole].view(np.int64),
+                        doc[sole],
+                        lines.number[sole].astype(np.int32),
+                        np.full(len(sole), BY_KEY, np.int32),
+                        np.zeros(len(sole), np.int32),
+                        keys["b"][sole].view(np.int64),
+                        versions[lines.text[sole]],
+                    )
+                )
             rank = rarity.ranked(lines.tokens, steps)
             by_rank = _ordered(rank, lines.owner)
             place = np.arange(len(rank)) - lines.starts[:-1][lines.owner]
@@ -286,8 +301,22 @@ class _Group:
         return x[first], y[first], np.repeat(count > self.keep, count)[first]
 
 
-#: Size of a row that says for which line a word's candidates are wanted.
-WANTED = -1
+#: Size of a row that says for which line a word's candidates are wanted, and of one that stands for a whole set.
+WANTED, BY_KEY = -1, -2
+
+
+def _copies(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+    """Lines with the set of an earlier one, from rows that stand for whole sets."""
+    order = np.lexsort((rows["line"], rows["id"], rows["tally"], rows["word"]))
+    rows = {k: v[order] for k, v in rows.items()}
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (rows["word"][1:] != rows["word"][:-1]) | (rows["tally"][1:] != rows["tally"][:-1])
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    again = np.flatnonzero((rows["id"] != rows["id"][lead]) | (rows["line"] != rows["line"][lead]))
+    if not len(again):
+        return None
+    of = lead[again]
+    return _pair_batch(rows["id"][again], rows["line"][again], rows["id"][of], rows["line"][of], rows["version"][again], None, None)
 
 
 def _wanted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -316,6 +345,12 @@ def _pairs(batches, share: int, keep: int | None):
 
     def done(rows: dict[str, np.ndarray]):
         rows = _wanted(rows) if keep is None else rows
+        whole = rows["size"] == BY_KEY
+        if whole.any():
+            copies = _copies({k: v[whole] for k, v in rows.items()})
+            if copies is not None:
+                yield copies
+            rows = {k: v[~whole] for k, v in rows.items()}
         sure = rows["size"] == 0
         if sure.any():
             yield _pair_batch(
@@ -363,7 +398,7 @@ _SETS = "g_id long, g_line int, deal long, late boolean, id long, line int, vers
 
 
 def _asked():
-    """Word sets of the lines asked for, one for each comparison that a line takes part in."""
+    """The lines asked for, one for each comparison that a line takes part in (a text is shorter than its words' hashes)."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -377,7 +412,8 @@ def _asked():
             there = np.flatnonzero(numbers < np.diff(first)[owner])
             owner, numbers = owner[there], numbers[there]
             at = first[owner] + numbers
-            raw = [lines.tokens[s:e].tobytes() for s, e in zip(lines.starts[at], lines.starts[at + 1], strict=True)]
+            edges = zip(lines.offsets[at].tolist(), lines.offsets[at + 1].tolist(), strict=True)
+            raw = [lines.data[s:e].tobytes().removesuffix(b"\n") for s, e in edges]
             picked = {n: fields.field(n).take(pa.array(there)) for n in ("g_id", "g_line", "deal", "late")}
             own = {n: block.column(n).take(pa.array(owner)) for n in ("id", "version")}
             columns = {**picked, **own, "line": pa.array(numbers), "words": pa.array(raw, pa.binary())}
@@ -391,12 +427,14 @@ def _asked():
 def _alike(batches, share: int):
     """Later lines that are similar to the earlier one of their comparison, which comes before them."""
     key, early = None, []
-    for batch in batches:
+    for batch in (b for b in batches if b.num_rows):
         found = []
-        for g_id, g_line, deal, late, i, line, version, words in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        lines = Lines(batch.column("words").cast(pa.large_string()))
+        columns = [batch.column(n).to_pylist() for n in ("g_id", "g_line", "deal", "late", "id", "line", "version")]
+        for k, (g_id, g_line, deal, late, i, line, version) in enumerate(zip(*columns, strict=True)):
             if key != (g_id, g_line, deal):
                 key, early = (g_id, g_line, deal), []
-            own = np.frombuffer(words, dtype=np.uint64)
+            own = lines.tokens[lines.starts[k] : lines.starts[k + 1]]
             if not late:
                 early.append(own)
                 continue
@@ -459,7 +497,9 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     rows = map_arrow(texts, partial(_rows, share, steps), _ROWS)
     pairs = cut(_sorted(rows).mapInArrow(partial(_pairs, share=share, keep=EARLIEST), _PAIRS))
     sure = pairs.where("version is not null").select("id", "line", "version", "of_id", "of_line")
-    open_ = pairs.where("version is null").groupBy("id", "line", "of_id", "of_line").agg(F.max("more").alias("more"))
+    # lines with the very set of an earlier one need no comparison
+    known = sure.select("id", "line").distinct()
+    open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
     found = cut(sure.union(_verified(texts, open_, share)))
     # lines whose candidates all failed, but which had more
     failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
