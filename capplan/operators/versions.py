@@ -7,30 +7,60 @@ from pyspark.sql import functions as F
 
 NO_VERSION = "N/A"
 
-# Fixed format: a data folder has three numeric parts; a request at least the first.
-_FOLDER = r"^v*(\d+)\.(\d+)\.(\d+)$"
-_REQUEST = r"^v*(\d+)(?:\.(\d+))?"
+# Fixed format: the published grammar of Python package versions, in groups: epoch, release, kind and
+# number of a pre-release, number of a post-release (short and long form), number of a development
+# release, local label. A data folder's name has three parts between dots; a request at least a major.
+_VERSION = (
+    r"(?i)^v*(?:(\d+)!)?(\d+(?:\.\d+)*)(?:[-_.]?(alpha|a|beta|b|preview|pre|c|rc)[-_.]?(\d*))?"
+    r"(?:-(\d+)|[-_.]?(post|rev|r)[-_.]?(\d*))?(?:[-_.]?(dev)[-_.]?(\d*))?(?:\+([a-z0-9]+(?:[-_.][a-z0-9]+)*))?$"
+)
+_REQUEST = r"^v*(?:\d+!)?(\d+)(?:\.(\d+))?"
 
 
 def _part(name: str, pattern: str, index: int) -> Column:
-    return F.regexp_extract(name, pattern, index).try_cast("int")
+    return F.regexp_extract(name, pattern, index).try_cast("bigint")
+
+
+def release_order(name: str) -> Column:
+    """A struct that sorts version names: development releases before pre-releases (alpha, beta, candidate), these
+    before the release, and that before its post-releases; NULL for what is no version."""
+    def text(index: int) -> Column:
+        return F.lower(F.regexp_extract(name, _VERSION, index))
+
+    def number(index: int) -> Column:
+        return F.coalesce(_part(name, _VERSION, index), F.lit(0).cast("bigint"))
+
+    release = F.split(text(2), r"\.")
+    pre, post, dev = text(3), (text(5) != "") | (text(6) != ""), text(8) != ""
+    kind = (
+        F.when(pre.isin("a", "alpha"), 0)
+        .when(pre.isin("b", "beta"), 1)
+        .when(pre != "", 2)
+        .when(dev & ~post, -1)
+        .otherwise(3)
+    )
+    key = F.struct(
+        number(1).alias("epoch"),
+        *[F.coalesce(F.get(release, F.lit(i)).try_cast("bigint"), F.lit(0).cast("bigint")).alias(n) for i, n in enumerate(("major", "minor", "patch"))],
+        kind.alias("stage"),
+        F.when(pre != "", number(4)).otherwise(0).alias("stage_number"),
+        F.when(post, F.greatest(number(5), number(7))).otherwise(-1).alias("post"),
+        F.when(dev, number(9)).otherwise((1 << 62)).alias("dev"),
+        text(10).alias("local"),
+    )
+    return F.when(F.col(name).rlike(_VERSION), key)
 
 
 def newest_per_minor(catalogue: DataFrame, name: str = "name") -> DataFrame:
-    """``(major, minor, newest)``: the highest patch of every minor version, by number.
+    """``(major, minor, newest)``: the newest version of every minor one, as (order, name).
 
-    Names that are not ``vX.Y.Z`` are passed over.
+    Names that are no versions, or have not three parts between dots, are passed over.
     """
+    versions = catalogue.where(F.size(F.split(name, r"\.")) == 3).select(release_order(name).alias("order"), F.col(name).alias("name"))
     return (
-        catalogue.where(F.col(name).rlike(_FOLDER))
-        .select(
-            _part(name, _FOLDER, 1).alias("major"),
-            _part(name, _FOLDER, 2).alias("minor"),
-            _part(name, _FOLDER, 3).alias("patch"),
-            F.col(name).alias("newest"),
-        )
-        .groupBy("major", "minor")
-        .agg(F.max_by("newest", F.struct("patch", "newest")).alias("newest"))
+        versions.where(F.col("order").isNotNull())
+        .groupBy(F.col("order.major").alias("major"), F.col("order.minor").alias("minor"))
+        .agg(F.max(F.struct("order", "name")).alias("newest"))
     )
 
 
@@ -39,10 +69,10 @@ def resolve_versions(
 ) -> DataFrame:
     """Add ``data_version`` to ``requests``.
 
-    It is the newest patch of the requested major.minor, else the newest version before
-    it, which may belong to an earlier major, else ``"N/A"``. Both sides are reduced to
-    distinct minor versions first; requests and versions then meet in one ordered pass
-    per major, and majors in one over a row each, so there is no pairing of the two.
+    It is the newest version of the requested major.minor, else the newest of all minor versions before
+    it, which may belong to an earlier major, else ``"N/A"``. Pre-releases count as versions and come before
+    their release. Both sides are reduced to distinct minor versions first; requests and versions then meet in one
+    ordered pass per major, and majors in one over a row each, so there is no pairing of the two.
     """
     asked = requests.select(
         F.col(request),
@@ -55,23 +85,15 @@ def resolve_versions(
         .groupBy("major", "minor")
         .agg(F.max("newest").alias("newest"))
     )
-    in_order = Window.partitionBy("major").orderBy("minor")
-    within = timeline.select(
-        "major", "minor", F.last("newest", ignorenulls=True).over(in_order).alias("_within")
-    )
+    earlier = Window.partitionBy("major").orderBy("minor").rowsBetween(Window.unboundedPreceding, -1)
+    within = timeline.select("major", "minor", "newest", F.max("newest").over(earlier).alias("_within"))
     before = Window.orderBy("major").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        timeline.groupBy("major")
-        .agg(F.max_by("newest", F.when(F.col("newest").isNotNull(), F.col("minor"))).alias("last"))
-        .select("major", F.last("last", ignorenulls=True).over(before).alias("_carried"))
-    )
+    carried = timeline.groupBy("major").agg(F.max("newest").alias("best")).select("major", F.max("best").over(before).alias("_carried"))
+    found = F.coalesce(F.col("newest"), F.greatest("_within", "_carried"))
     resolved = (
         asked.join(within, ["major", "minor"], "left")
         .join(carried, "major", "left")
-        .select(
-            request,
-            F.coalesce("_within", "_carried", F.lit(NO_VERSION)).alias("data_version"),
-        )
+        .select(request, F.coalesce(found["name"], F.lit(NO_VERSION)).alias("data_version"))
     )
     return requests.join(resolved, request, "left").withColumn(
         "data_version", F.coalesce("data_version", F.lit(NO_VERSION))

@@ -3,7 +3,7 @@
 import pytest
 
 import capplan as cp
-from capplan.sinks.tables import MANIFEST, append_manifest, area_path
+from capplan.sinks.tables import append_manifest, area_path, positions, read_manifest
 from capplan.sources.scenarios import aggregated_path
 from tests.builders import bag
 from workloads.queries import Inputs
@@ -74,7 +74,7 @@ def test_files_are_in_order_of_run(spark, roots, entry):
 
 
 def test_the_manifest_lists_the_run(spark, roots, entry):
-    listed = spark.read.schema(MANIFEST).parquet(roots.manifest).collect()
+    listed = read_manifest(spark, roots.manifest).collect()
     assert [row.asDict() for row in listed] == [entry]
     assert entry["app_version"] == "v4.1" and entry["dataset"] == "R01"
     assert entry["scenario_name"] == "full-plan" and entry["results_path"] == PATH
@@ -84,7 +84,7 @@ def test_a_listed_run_is_refused(spark, roots, entry):
     with pytest.raises(ValueError, match="already lists"):
         append_manifest(entry, roots.manifest)
     append_manifest(entry | {"run_id": "run-2"}, roots.manifest)
-    assert spark.read.parquet(roots.manifest).count() == 2
+    assert read_manifest(spark, roots.manifest).count() == 2
     with pytest.raises(ValueError, match="unknown fields"):
         append_manifest({"run_id": "run-3"}, roots.manifest)
 
@@ -157,3 +157,24 @@ def test_no_provider_loses_its_baseline(spark, inputs, tmp_path):
     assert bag(one["aae"]) == expected
     with pytest.raises(ValueError, match="more than once"):
         cp.batch_tables(spark, [paths[0], paths[0].rstrip("/")], roots, *lookups)
+
+
+def test_of_writers_with_one_key_the_first_is_kept(spark, entry, tmp_path):
+    path = f"{tmp_path}/manifest"
+    assert read_manifest(spark, path).count() == 0
+    append_manifest(entry | {"run_id": "a/b c", "dataset": "first"}, path)
+    with pytest.raises(ValueError, match="already lists"):
+        append_manifest(entry | {"run_id": "a/b c", "dataset": "second"}, path)
+    append_manifest(entry | {"run_id": "a", "dataset": "third"}, path)
+    assert sorted((r.run_id, r.dataset) for r in read_manifest(spark, path).collect()) == [("a", "third"), ("a/b c", "first")]
+
+
+def test_positions_follow_the_order_of_runs(spark):
+    rows = [(r, s, n) for r in (2, None, 0, 10, 1) for s in ("B", None, "A") for n in range(3)]
+    frame = spark.createDataFrame(rows, "model_run int, sitetret string, total int").repartition(5)
+    table = positions(frame)
+    found = [(r.model_run, r.sitetret, r.total) for r in table.orderBy("position").collect()]
+    assert found == sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "", r[2]))
+    assert sorted(r.position for r in table.collect()) == list(range(1, len(rows) + 1))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange SinglePartition" not in plan.split("Window")[1].split("Sort")[0]

@@ -202,3 +202,28 @@ def test_reconciliation_shows_both_sides(spark):
     theirs = spark.createDataFrame([(0, 1), (1, 11), (3, 4)], "model_run int, value bigint")
     found = {row["model_run"]: tuple(row)[1:] for row in cp.reconcile_runs(ours, theirs).collect()}
     assert found == {1: (11, 11, 0), 2: (1, None, 1), 3: (None, 4, -4)}
+
+
+def test_versions_are_ordered_like_releases(spark):
+    """From oldest to newest, in several spellings."""
+    from capplan.operators.versions import release_order
+
+    names = [
+        "v3.9.9", "4.1.0dev1", "v4.1.0a1", "4.1.0-alpha2", "4.1.0b1", "v4.1.0rc1", "4.1.0-RC_2", "v4.1.0", "4.1.0-1", "4.1.0post2",
+        "4.1.1dev3", "v4.1.1", "4.1.10", "v4.10.0", "1!2.0.0",
+    ]
+    frame = spark.createDataFrame([(n,) for n in names[::-1]], "name string")
+    assert [r.name for r in frame.orderBy(release_order("name")).collect()] == names
+    odd = spark.createDataFrame([("dev",), ("v",), ("4.1.x",), (None,)], "name string")
+    assert odd.where(release_order("name").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize(
+    "request_, expected",
+    [("v4.1", "v4.1.0rc2"), ("v4.2", "v4.2.0"), ("v4.5", "v4.2.0"), ("v5.0", "v5.0.0a1"), ("v3.0", "N/A"), ("v9.9", "v5.0.0a1")],
+)
+def test_pre_releases_count_as_versions(spark, request_, expected):
+    names = ["v4.1.0rc1", "v4.1.0rc2", "v4.2.0", "v4.2.0rc9", "v5.0.0a1", "4.9.0.dev1", "dev"]
+    catalogue = spark.createDataFrame([(n,) for n in names], "name string")
+    (found,) = resolve_versions(spark.createDataFrame([(request_,)], "model_version string"), catalogue).collect()
+    assert found.data_version == expected

@@ -89,6 +89,12 @@ SELECT DISTINCT CASE p_partkey % 9 WHEN 0 THEN 'dev' WHEN 1 THEN concat('v', cas
   ELSE concat('v', cast(2 + 2 * (p_size % 3) AS string), '.', cast(2 * (p_partkey % 5) AS string), '.',
     cast(p_partkey % 13 AS string)) END AS name
 FROM {part}""",
+    "version_prereleases": """
+SELECT DISTINCT concat('v', cast(2 + 2 * (p_size % 3) AS string), '.', cast(2 * (p_partkey % 5) AS string), '.', cast(p_partkey % 7 AS string),
+    CASE p_partkey % 6 WHEN 0 THEN concat('rc', cast(p_size % 4 AS string)) WHEN 1 THEN concat('a', cast(p_size % 3 AS string))
+      WHEN 2 THEN concat('-beta', cast(p_size % 5 AS string)) WHEN 3 THEN concat('dev', cast(p_size % 2 AS string))
+      WHEN 4 THEN concat('-', cast(1 + p_size % 2 AS string)) ELSE '' END) AS name
+FROM {part} WHERE p_partkey % 41 < 9""",
     "version_requests": """
 SELECT o_orderkey AS request_id, concat('v', cast(o_custkey % 8 AS string), '.', cast(o_orderkey % 11 AS string)) AS model_version
 FROM {orders}""",

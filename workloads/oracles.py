@@ -379,6 +379,21 @@ ORACLES: dict[str, str] = {
         best="""SELECT q.model_version, arg_max(c.name, (c.major * 1000 + c.minor) * 1000 + c.patch) AS data_version
           FROM q JOIN c ON c.major < q.major OR (c.major = q.major AND c.minor <= q.minor) GROUP BY 1""",
     )
+    + """SELECT r.request_id, r.model_version, coalesce(b.data_version, 'N/A') AS data_version
+      FROM version_requests r LEFT JOIN best b ON r.model_version = b.model_version""",
+    "version_asof_prereleases": over(
+        "version_prereleases",
+        "version_requests",
+        c="""SELECT name, cast(regexp_extract(name, '^v([0-9]+)', 1) AS int) AS major, cast(regexp_extract(name, '^v[0-9]+[.]([0-9]+)', 1) AS int) AS minor,
+          cast(regexp_extract(name, '^v[0-9]+[.][0-9]+[.]([0-9]+)', 1) AS int) * 100
+            + CASE WHEN name LIKE '%dev%' THEN 0 WHEN name LIKE '%a_' AND name NOT LIKE '%beta%' THEN 10 WHEN name LIKE '%beta%' THEN 20
+                WHEN name LIKE '%rc%' THEN 30 WHEN name LIKE '%-_' THEN 50 ELSE 40 END
+            + CASE WHEN regexp_matches(name, '(dev|a|beta|rc|-)[0-9]$') THEN cast(right(name, 1) AS int) ELSE 0 END AS o
+          FROM version_prereleases""",
+        q=f"SELECT DISTINCT model_version, {VERSION_PARTS.format('model_version')} FROM version_requests",
+        best="""SELECT q.model_version, arg_max(c.name, (c.major * 1000 + c.minor) * 100000 + c.o) AS data_version
+          FROM q JOIN c ON c.major < q.major OR (c.major = q.major AND c.minor <= q.minor) GROUP BY 1""",
+    )
     + """SELECT r.request_id, r.model_version, coalesce(b.data_version, 'N/A') AS data_version
       FROM version_requests r LEFT JOIN best b ON r.model_version = b.model_version""",
     "predicates_emergency": over("aae_baseline") + truth("aae_baseline", EMERGENCY_TRUTH),
@@ -459,6 +474,8 @@ ORACLES: dict[str, str] = {
     "records_without_run": over("ip_baseline", "ip_results")
     + "SELECT rn, sitetret FROM ip_baseline b WHERE NOT EXISTS (SELECT 1 FROM ip_results r WHERE r.rn = b.rn)",
     "sorted_by_run": inpatient("ip_wards"),
+    "area_positions": "SELECT *, row_number() OVER (ORDER BY model_run NULLS LAST, sitetret NULLS FIRST, grouping NULLS FIRST, spells NULLS FIRST, "
+    + "beddays NULLS FIRST) AS position FROM (" + inpatient("ip_wards") + ")",
     "manifest_append_check": over("manifest", "manifest_entries")
     + """SELECT e.*, NOT EXISTS (SELECT 1 FROM manifest m WHERE m.capacity_version = e.capacity_version
       AND m.run_id = e.run_id) AS accepted FROM manifest_entries e""",

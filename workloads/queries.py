@@ -12,7 +12,7 @@ from capplan.functions.vocabulary import PREDICATES, predicate
 from capplan.operators.presence import bitmaps, occurs
 from capplan.operators.versions import resolve_versions
 from capplan.plans.areas import KEYS, OP_CONVERTED_LABEL, SDEC_LABEL, Area
-from capplan.sinks.tables import by_run, check_entries
+from capplan.sinks.tables import by_run, check_entries, positions
 from capplan.sources.activity import as_baseline, simulated_defaults
 from capplan.sources.lookups import clean_theatre_times, specialty_lookup
 from capplan.sources.scenarios import scenario_keys
@@ -140,6 +140,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "default_results_filter": lambda i: simulated_defaults(i["default_results"], "aae"),
     "scenario_keys": lambda i: scenario_keys(i["scenario_paths"]),
     "version_asof": lambda i: resolve_versions(i["version_requests"], i["version_catalogue"]),
+    "version_asof_prereleases": lambda i: resolve_versions(i["version_requests"], i["version_prereleases"]),
     # predicates
     "predicates_emergency": lambda i: _truth(i["aae_baseline"], EMERGENCY_PREDICATES),
     "predicates_outpatient": lambda i: _truth(i["op_baseline"], OUTPATIENT_PREDICATES),
@@ -217,6 +218,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "records_without_run": _records_without_run,
     # output and checks
     "sorted_by_run": lambda i: by_run(cp.ward_areas(*i.inpatients)),
+    "area_positions": lambda i: positions(cp.ward_areas(*i.inpatients)),
     "manifest_append_check": lambda i: check_entries(i["manifest_entries"], i["manifest"]),
     "reconcile_runs": _default_comparison,
 }
