@@ -4,7 +4,7 @@ from capplan.functions import PREDICATES, label, predicate
 from capplan.operators.densify import dense_totals, fill_missing_labels, run_site_universe
 from capplan.operators.lookups import add_specialty_type, add_theatre_time
 from capplan.operators.overlay import Shared, overlay, replay
-from capplan.operators.reconcile import reconcile_runs
+from capplan.operators.reconcile import reconcile_levels, reconcile_runs
 from capplan.operators.totals import (
     converted_totals,
     label_rows,
@@ -34,6 +34,6 @@ __all__ = [
     "daycase_areas", "dense_totals", "emergency_areas", "fill_missing_labels",
     "inpatient_areas", "label", "label_rows", "label_totals", "maternity_areas",
     "outpatient_areas", "outpatient_totals", "overlay", "predicate", "procedure_areas",
-    "reconcile_runs", "replay", "resolve_versions", "run_scenario", "run_site_universe",
+    "reconcile_levels", "reconcile_runs", "replay", "resolve_versions", "run_scenario", "run_site_universe",
     "scenario_tables", "theatre_scope", "unpivot_totals", "ward_areas",
 ]

@@ -104,6 +104,15 @@ FROM {events} CROSS JOIN (VALUES (1),(2),(3)) AS r(run)
 WHERE (event_id + run) % 10 <> 0 AND event_id % 50 <> 0 GROUP BY run
 UNION ALL SELECT 'aae_type-01', 0, cast(sum(1 + event_id % 2) AS bigint) FROM {events}
 UNION ALL SELECT 'ip_elective_admission', l_linenumber, count(*) FROM {lineitem} GROUP BY l_linenumber""",
+    "default_visits": """
+SELECT concat('S', cast(o_custkey % 5 AS string)) AS sitetret, l_linenumber AS model_run,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'procedure' ELSE 'other' END AS kind,
+  sum(cast(l_quantity AS int) % 3) AS value
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
+    "default_spells": """
+SELECT CASE WHEN c_nationkey % 5 = 4 THEN 'unknown' ELSE concat('S', cast(c_nationkey % 5 AS string)) END AS sitetret,
+  l_linenumber AS model_run, count(*) AS value
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2""",
     "scenario_paths": """
 SELECT concat('full-model-results/v', cast(3 + o_custkey % 3 AS string), '.', cast(o_orderkey % 5 AS string), '/R',
     cast(o_custkey % 50 AS string), '/', CASE WHEN o_orderkey % 2 = 0 THEN 'full-plan-' ELSE 'plan-' END,

@@ -479,6 +479,22 @@ ORACLES: dict[str, str] = {
     "manifest_append_check": over("manifest", "manifest_entries")
     + """SELECT e.*, NOT EXISTS (SELECT 1 FROM manifest m WHERE m.capacity_version = e.capacity_version
       AND m.run_id = e.run_id) AS accepted FROM manifest_entries e""",
+    "reconcile_op_levels": "WITH area AS (" + outpatients() + "), " + over("op_conversion", "default_visits").removeprefix("WITH ").rstrip()
+    + """, rows AS (SELECT model_run, sitetret, CASE WHEN grouping LIKE '%procedures%' THEN 'procedure' ELSE 'other' END AS kind, total AS o, 0 AS c, 0 AS t
+        FROM area WHERE grouping NOT LIKE '%virtual%'
+      UNION ALL SELECT model_run, sitetret, 'procedure', 0, attendances, 0 FROM op_conversion
+      UNION ALL SELECT model_run, sitetret, kind, 0, 0, value FROM default_visits),
+      sums AS (SELECT grouping(sitetret) AS gs, grouping(kind) AS gk, model_run, sitetret, kind, sum(o)::DOUBLE AS ours, sum(c)::DOUBLE AS converted,
+        sum(t)::DOUBLE AS theirs FROM rows WHERE model_run <> 0 GROUP BY GROUPING SETS ((model_run), (model_run, sitetret), (model_run, kind)))
+      SELECT 'model_run' || CASE WHEN gs = 0 THEN ',sitetret' WHEN gk = 0 THEN ',kind' ELSE '' END AS level, model_run, sitetret, kind, ours, converted,
+        theirs, ours - converted - theirs AS difference FROM sums""",
+    "reconcile_ip_levels": over("ip_baseline", "ip_results", "default_spells").rstrip()
+    + """, rows AS (SELECT r.model_run, sitetret, 1 AS o, 0 AS t FROM ip_results r JOIN ip_baseline b ON r.rn = b.rn
+      UNION ALL SELECT model_run, sitetret, 0, value FROM default_spells),
+      sums AS (SELECT grouping(sitetret) AS gs, model_run, sitetret, sum(o)::DOUBLE AS ours, sum(t)::DOUBLE AS theirs
+        FROM rows WHERE model_run <> 0 GROUP BY GROUPING SETS ((model_run), (model_run, sitetret)))
+      SELECT 'model_run' || CASE WHEN gs = 0 THEN ',sitetret' ELSE '' END AS level, model_run, sitetret, ours, 0::DOUBLE AS converted, theirs,
+        ours - theirs AS difference FROM sums""",
     "reconcile_runs": over(
         "aae_baseline", "aae_results", "sdec_conversion", "default_results", **emergency_steps(),
         area=dense(AAE_REQUIRED, ("total",)),

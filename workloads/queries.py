@@ -117,6 +117,26 @@ def _wards_by_scenario(i: Inputs) -> DataFrame:
     )
 
 
+def _reconciled_visits(i: Inputs) -> DataFrame:
+    """Outpatients by run, by site and by kind; activity converted from inpatient care is a column of its own."""
+    kind = F.when(F.col("grouping") == OP_CONVERTED_LABEL, "procedure").otherwise("other")
+    ours = cp.outpatient_areas(*i.outpatients).where(~F.col("grouping").contains("virtual"))
+    converted = i["op_conversion"].select("*", F.lit("procedure").alias("kind"))
+    return cp.reconcile_levels(
+        ours.withColumn("kind", kind),
+        i["default_visits"],
+        [(), ("sitetret",), ("kind",)],
+        converted=converted,
+        converted_measure="attendances",
+    )
+
+
+def _reconciled_spells(i: Inputs) -> DataFrame:
+    """Inpatient spells by run and by site."""
+    ours = cp.overlay(i["ip_baseline"], i["ip_results"], ["speldur", "classpat"], null_run="drop")
+    return cp.reconcile_levels(ours.groupBy(*KEYS).agg(F.count("rn").alias("total")), i["default_spells"])
+
+
 def _wards_by_dataset(i: Inputs) -> DataFrame:
     """The same three scenarios as members of two datasets, each joined once."""
     dataset = F.expr("cast(scenario div 2 AS int) AS dataset")
@@ -221,6 +241,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "area_positions": lambda i: positions(cp.ward_areas(*i.inpatients)),
     "manifest_append_check": lambda i: check_entries(i["manifest_entries"], i["manifest"]),
     "reconcile_runs": _default_comparison,
+    "reconcile_op_levels": _reconciled_visits,
+    "reconcile_ip_levels": _reconciled_spells,
 }
 
 
