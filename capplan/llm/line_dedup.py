@@ -7,8 +7,9 @@ positional filter (what can still be common after the shared word's places) and
 tallies of words; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
 
 Each line is sent on with its earliest candidates only, so copies of a line by the thousand cost a row
-each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with
-all of its candidates in a second turn, so nothing is lost.
+each and not a pair each. A line whose candidates all fail, and which had more of them, is sent on with a few
+others in a second turn, chosen by 256 parities more, and if these fail too, with all of them in a third, so
+nothing is lost.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ SHARE = 80
 EARLIEST = 1
 #: Candidates of a line at one shared word among which the earliest are taken; with so many it has more.
 ENOUGH = 64
+#: The same in the second turn, whose rows tell sets apart better.
+FEW = 4
 #: Later lines of one comparison.
 HOT = 1 << 16
+#: Further parities of a set in rows that are sent again.
+WIDE = ("w0", "w1", "w2", "w3")
 
 _LAST = (1 << 63) - 1
 
@@ -77,6 +82,16 @@ class Lines:
         counts = np.bincount(self.owner * 16 + bucket, minlength=len(self.sizes) * 16).reshape(-1, 16) % 16
         return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
 
+    def wide(self) -> list[np.ndarray]:
+        """Whether an odd number of a set's words falls into each of 256 buckets, as four columns."""
+        other = scramble(self.tokens ^ np.uint64(0x13198A2E03707344))
+        bits, part = np.uint64(1) << (other >> np.uint64(58)), other & np.uint64(len(WIDE) - 1)
+        full = np.flatnonzero(self.sizes > 0)
+        out = [np.zeros(len(self.sizes), dtype=np.uint64) for _ in WIDE]
+        for k, column in enumerate(out if len(full) else ()):
+            column[full] = np.bitwise_xor.reduceat(np.where(part == np.uint64(k), bits, np.uint64(0)), self.starts[full])
+        return out
+
 
 def tally_gap(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """By how many words sets with these tallies differ at least."""
@@ -114,6 +129,7 @@ def _survey(batches):
 #: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line). Size -2: a
 #: line by the 128-bit key of its set, in ``word`` and ``tally``.
 _ROWS = "word long, id long, line int, size int, place int, tally long, version long"
+_AGAIN = _ROWS + "".join(f", {name} long" for name in WIDE)
 
 
 class Marks:
@@ -165,7 +181,7 @@ class Marks:
 
 
 def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
-    """Rows of shared words; with ``marks`` only those of marked words, without certain repeats."""
+    """Rows of shared words; with ``marks`` only those of marked words, wider and without certain repeats."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -226,12 +242,12 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
                     place[kept].astype(np.int32),
                     lines.tallies()[owner].view(np.int64),
                     versions[lines.text[owner]] * 0,
+                    *([] if marks is None else [w[owner].view(np.int64) for w in lines.wide()]),
                 )
             )
         columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=[c.split()[0] for c in _ROWS.split(", ")]
-        )
+        names = [c.split()[0] for c in (_ROWS if marks is None else _AGAIN).split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return step
 
@@ -254,7 +270,11 @@ class _Group:
         room = np.minimum(i, j) + np.minimum(a - i, b - j)
         ok = (100 + self.share) * room >= self.share * (a + b)
         x, y, both = x[ok], y[ok], (a + b)[ok]
-        ok = (100 + self.share) * (both - tally_gap(tally[x], tally[y])) >= 2 * self.share * both
+        gap = tally_gap(tally[x], tally[y])
+        if WIDE[0] in self.rows:
+            wide = sum(np.bitwise_count(self.rows[w][x] ^ self.rows[w][y]).astype(np.int64) for w in WIDE)
+            gap = np.maximum(gap, wide)
+        ok = (100 + self.share) * (both - gap) >= 2 * self.share * both
         return x[ok], y[ok]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,7 +293,7 @@ class _Group:
         low = np.searchsorted(key, group * base + (self.share * size + 99) // 100)
         high = np.searchsorted(key, group * base + np.minimum(100 * size // self.share, base - 1), side="right")
         found, have = [], np.zeros(n, dtype=np.int64)
-        live = np.arange(n) if self.keep is not None else np.flatnonzero(self.wanted)
+        live = np.arange(n) if self.wanted is None else np.flatnonzero(self.wanted)
         for lag in range(1, n):
             live = live[(live - lag >= low[live]) | (live + lag < high[live])]
             if self.keep is not None:
@@ -338,13 +358,13 @@ def _wanted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 def _pairs(batches, share: int, keep: int | None):
     """Candidates from rows that come sorted by word and size; a word may span batches.
 
-    Without ``keep``, all candidates of the lines that rows of size ``WANTED`` name.
+    Where rows are wider, candidates of the lines that rows of size ``WANTED`` name; without ``keep`` all of them.
     """
-    names = [c.split()[0] for c in _ROWS.split(", ")]
+    names = []
     held: list[dict[str, np.ndarray]] = []
 
     def done(rows: dict[str, np.ndarray]):
-        rows = _wanted(rows) if keep is None else rows
+        rows = _wanted(rows) if WIDE[0] in rows else rows
         whole = rows["size"] == BY_KEY
         if whole.any():
             copies = _copies({k: v[whole] for k, v in rows.items()})
@@ -357,7 +377,8 @@ def _pairs(batches, share: int, keep: int | None):
                 rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure], None, None
             )
         rest = {k: v[~sure] for k, v in rows.items()}
-        rest["tally"] = rest["tally"].view(np.uint64)
+        for name in {"tally", *WIDE} & set(rest):
+            rest[name] = rest[name].view(np.uint64)
         x, y, more = _Group(rest, share, keep).pairs()
         if len(x):
             yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y])
@@ -365,6 +386,7 @@ def _pairs(batches, share: int, keep: int | None):
     for batch in batches:
         if not batch.num_rows:
             continue
+        names = batch.schema.names
         rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
         word = rows["word"]
         if held and held[0]["word"][0] == word[-1]:
@@ -501,22 +523,23 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     known = sure.select("id", "line").distinct()
     open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
     found = cut(sure.union(_verified(texts, open_, share)))
-    # lines whose candidates all failed, but which had more
-    failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
-    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
-    failed.select("id", "line", "word").distinct().write.parquet(folder)
-    failed = spark.read.parquet(folder)
-    if failed.first() is not None:
+    for keep in (FEW, None):
+        # lines whose candidates all failed, but which had more
+        failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
+        folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
+        failed.select("id", "line", "word").distinct().write.parquet(folder)
+        failed = spark.read.parquet(folder)
+        if failed.first() is None:
+            break
         # only rows of their words are sent again, told apart before anything is sent; at its other words such
         # a line has been compared with all that it has there
-        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(failed.select("word"))), _ROWS)
+        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(failed.select("word"))), _AGAIN)
         none = F.lit(0)
-        asked = failed.select(
-            "word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), none.cast("long").alias("tally"), none.cast("long").alias("version")
-        )
-        near = _sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=None), _PAIRS)
-        near = near.select("id", "line", "of_id", "of_line").distinct()
-        found = cut(found.union(_verified(texts, cut(near), share)))
+        longs = [none.cast("long").alias(name) for name in ("tally", "version", *WIDE)]
+        asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *longs)
+        pairs = cut(_sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=keep), _PAIRS))
+        near = pairs.select("id", "line", "of_id", "of_line").distinct()
+        found = cut(found.union(_verified(texts, near, share)))
     early = F.min(F.struct("of_id", "of_line"))
     removed = found.groupBy("id", "line", "version").agg(early.alias("of"))
     return removed.select("id", "line", "version", F.col("of.of_id").alias("of_id"), F.col("of.of_line").alias("of_line")), light
