@@ -7,9 +7,8 @@ positional filter (what can still be common after the shared word's places) and
 tallies of words; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
 
 Each line is sent on with its earliest candidates only, so copies of a line by the thousand cost a row
-each and not a pair each. A line whose candidates all fail, and which had more of them, is sent on with a few
-others in a second turn, chosen by 256 parities more, and if these fail too, with all of them in a third, so
-nothing is lost.
+each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with
+all of its candidates in a second turn, so nothing is lost; there, rows have 128 parities more that tell sets apart.
 """
 
 from __future__ import annotations
@@ -32,12 +31,10 @@ SHARE = 80
 EARLIEST = 1
 #: Candidates of a line at one shared word among which the earliest are taken; with so many it has more.
 ENOUGH = 64
-#: The same in the second turn, whose rows tell sets apart better.
-FEW = 4
 #: Later lines of one comparison.
 HOT = 1 << 16
 #: Further parities of a set in rows that are sent again.
-WIDE = ("w0", "w1", "w2", "w3")
+WIDE = ("w0", "w1")
 
 _LAST = (1 << 63) - 1
 
@@ -83,7 +80,7 @@ class Lines:
         return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
 
     def wide(self) -> list[np.ndarray]:
-        """Whether an odd number of a set's words falls into each of 256 buckets, as four columns."""
+        """Whether an odd number of a set's words falls into each of 128 buckets, as two columns."""
         other = scramble(self.tokens ^ np.uint64(0x13198A2E03707344))
         bits, part = np.uint64(1) << (other >> np.uint64(58)), other & np.uint64(len(WIDE) - 1)
         full = np.flatnonzero(self.sizes > 0)
@@ -132,6 +129,21 @@ _ROWS = "word long, id long, line int, size int, place int, tally long, version
 _AGAIN = _ROWS + "".join(f", {name} long" for name in WIDE)
 
 
+def banded(words: np.ndarray, sizes: np.ndarray, step: int = 0) -> np.ndarray:
+    """Words with the band of five per cent in which a size lies, or with one that many steps on."""
+    band = np.floor(np.log(np.maximum(sizes, 1)) / np.log(1.05)).astype(np.int64)
+    return mix(words, (band + step).view(np.uint64))
+
+
+def reached(batches, share: int):
+    """Words (``word``, ``size``) with every band in which a set similar to one of that size can lie."""
+    reach = int(np.log(100 / share) / np.log(1.05)) + 1
+    for batch in batches:
+        words, sizes = batch.column("word").to_numpy().view(np.uint64), batch.column("size").to_numpy()
+        for step in range(-reach, reach + 1):
+            yield pa.RecordBatch.from_arrays([pa.array(banded(words, sizes, step).view(np.int64))], names=["word"])
+
+
 class Marks:
     """A Bloom filter of words in a fixed number of bits, whatever the number of words: none of them is ever missed."""
 
@@ -231,7 +243,7 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
             length = size - (share * size + 99) // 100 + 1
             kept = (place < length[lines.owner]) & new[lines.owner]
             if marks is not None:
-                kept[kept] = marks.has(rank[by_rank][kept])
+                kept[kept] = marks.has(banded(rank[by_rank][kept], size[lines.owner[kept]]))
             owner = lines.owner[kept]
             out.append(
                 (
@@ -253,7 +265,7 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
 
 
 #: A later line and an earlier one that may be similar; version is set where that is certain already.
-_PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean, word long"
+_PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean, word long, size int"
 
 
 class _Group:
@@ -336,7 +348,7 @@ def _copies(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
     if not len(again):
         return None
     of = lead[again]
-    return _pair_batch(rows["id"][again], rows["line"][again], rows["id"][of], rows["line"][of], rows["version"][again], None, None)
+    return _pair_batch(rows["id"][again], rows["line"][again], rows["id"][of], rows["line"][of], rows["version"][again])
 
 
 def _wanted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -374,14 +386,14 @@ def _pairs(batches, share: int, keep: int | None):
         sure = rows["size"] == 0
         if sure.any():
             yield _pair_batch(
-                rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure], None, None
+                rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure]
             )
         rest = {k: v[~sure] for k, v in rows.items()}
         for name in {"tally", *WIDE} & set(rest):
             rest[name] = rest[name].view(np.uint64)
         x, y, more = _Group(rest, share, keep).pairs()
         if len(x):
-            yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y])
+            yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y], rest["size"][y])
 
     for batch in batches:
         if not batch.num_rows:
@@ -400,7 +412,7 @@ def _pairs(batches, share: int, keep: int | None):
         yield from done({k: np.concatenate([h[k] for h in held]) for k in names})
 
 
-def _pair_batch(i, line, of_id, of_line, version, more, word) -> pa.RecordBatch:
+def _pair_batch(i, line, of_id, of_line, version, more=None, word=None, size=None) -> pa.RecordBatch:
     n = len(i)
     return pa.RecordBatch.from_arrays(
         [
@@ -411,6 +423,7 @@ def _pair_batch(i, line, of_id, of_line, version, more, word) -> pa.RecordBatch:
             pa.nulls(n, pa.int64()) if version is None else pa.array(version),
             pa.array(np.zeros(n, bool) if more is None else more),
             pa.nulls(n, pa.int64()) if word is None else pa.array(word),
+            pa.nulls(n, pa.int32()) if size is None else pa.array(size),
         ],
         names=[c.split()[0] for c in _PAIRS.split(", ")],
     )
@@ -523,23 +536,22 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     known = sure.select("id", "line").distinct()
     open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
     found = cut(sure.union(_verified(texts, open_, share)))
-    for keep in (FEW, None):
-        # lines whose candidates all failed, but which had more
-        failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
-        folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
-        failed.select("id", "line", "word").distinct().write.parquet(folder)
-        failed = spark.read.parquet(folder)
-        if failed.first() is None:
-            break
-        # only rows of their words are sent again, told apart before anything is sent; at its other words such
-        # a line has been compared with all that it has there
-        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(failed.select("word"))), _AGAIN)
+    # lines whose candidates all failed, but which had more
+    failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
+    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
+    failed.select("id", "line", "word", "size").distinct().write.parquet(folder)
+    failed = spark.read.parquet(folder)
+    if failed.first() is not None:
+        # only rows of their words and sizes are sent again, told apart before anything is sent; at its other
+        # words such a line has been compared with all that it has there
+        words = failed.select("word", "size").distinct().mapInArrow(partial(reached, share=share), "word long")
+        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(words)), _AGAIN)
         none = F.lit(0)
         longs = [none.cast("long").alias(name) for name in ("tally", "version", *WIDE)]
         asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *longs)
-        pairs = cut(_sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=keep), _PAIRS))
-        near = pairs.select("id", "line", "of_id", "of_line").distinct()
-        found = cut(found.union(_verified(texts, near, share)))
+        near = _sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=None), _PAIRS)
+        near = near.select("id", "line", "of_id", "of_line").distinct()
+        found = cut(found.union(_verified(texts, cut(near), share)))
     early = F.min(F.struct("of_id", "of_line"))
     removed = found.groupBy("id", "line", "version").agg(early.alias("of"))
     return removed.select("id", "line", "version", F.col("of.of_id").alias("of_id"), F.col("of.of_line").alias("of_line")), light

@@ -1,9 +1,11 @@
 import random
 import re
 import time
+from functools import partial
 
 
 import numpy as np
+import pyarrow as pa
 
 from capplan.llm import line_dedup
 
@@ -94,6 +96,30 @@ def test_marks_miss_no_word(spark):
     assert not line_dedup.Marks.of(spark.createDataFrame([], "word long")).bits.any()
 
 
+def test_bands_reach_every_similar_size(spark):
+    sizes = [*range(1, 60), 999, 100_000]
+    words = np.arange(len(sizes), dtype=np.uint64)
+    rows = [(int(w), n) for w, n in zip(words, sizes, strict=True)]
+    for share in (80, 50):
+        found = spark.createDataFrame(rows, "word long, size int").mapInArrow(partial(line_dedup.reached, share=share), "word long")
+        marked = {r.word for r in found.collect()}
+        for word, n in zip(words, sizes, strict=True):
+            near = np.arange(-(-share * n // 100), 100 * n // share + 1)
+            keys = line_dedup.banded(np.full(len(near), word), near)
+            assert set(keys.view(np.int64).tolist()) <= marked
+
+
+def test_wide_rows_never_tell_similar_sets_apart():
+    """A set's parities differ from another's in at most as many places as the sets have different words."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.choice(60, rng.integers(1, 50), replace=False)) for _ in range(200)]
+    lines = line_dedup.Lines(pa.array(texts, pa.large_string()))
+    sets = [set(t.split()) for t in texts]
+    gap = sum(np.bitwise_count(w[:100] ^ w[100:]).astype(int) for w in lines.wide())
+    assert (gap <= [len(a ^ b) for a, b in zip(sets[:100], sets[100:], strict=True)]).all()
+    assert gap.max() > 10
+
+
 def test_lines_of_one_template_end_in_seconds(spark):
     """100,000 lines that differ in one word: all but the first repeat an earlier one."""
     rows = spark.range(100).selectExpr(
