@@ -15,7 +15,7 @@ from capplan.operators.totals import (
 )
 from capplan.operators.versions import resolve_versions
 from capplan.plans.areas import DAYCASE, EMERGENCY, MATERNITY, PROCEDURES, WARDS, Area
-from capplan.plans.batch import batch_tables
+from capplan.plans.batch import batch_tables, scenario_problems
 from capplan.plans.emergency import emergency_areas
 from capplan.plans.inpatients import (
     area_table,
@@ -35,5 +35,5 @@ __all__ = [
     "inpatient_areas", "label", "label_rows", "label_totals", "maternity_areas",
     "outpatient_areas", "outpatient_totals", "overlay", "predicate", "procedure_areas",
     "reconcile_levels", "reconcile_runs", "replay", "resolve_versions", "run_scenario", "run_site_universe",
-    "scenario_tables", "theatre_scope", "unpivot_totals", "ward_areas",
+    "scenario_problems", "scenario_tables", "theatre_scope", "unpivot_totals", "ward_areas",
 ]

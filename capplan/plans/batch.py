@@ -27,6 +27,7 @@ from capplan.plans.outpatients import outpatient_areas
 from capplan.plans.scenario import OUTPATIENT_NAME, Roots
 from capplan.sources import scenarios
 from capplan.sources.activity import as_baseline, baseline_folder
+from capplan.sources.layouts import read_files, read_runs
 from capplan.sources.scenarios import decoded
 
 SCENARIO = "scenario"
@@ -35,22 +36,6 @@ DATASET = "dataset"
 _DATASET_PARTS = ["data_version", "fyear", "provider"]
 
 
-def _read_files(spark: SparkSession, folders: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """Rows of all folders, with the location each came from.
-
-    Folder partitioning is read from the location, because Spark infers it only below a
-    single root.
-    """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    rows = (reader.schema(schema) if schema is not None else reader).parquet(*folders)
-    return rows.withColumn("_location", F.col("_metadata.file_path"))
-
-
-def _part(name: str) -> Column:
-    """Value of a ``name=value`` folder in the location."""
-    return F.substring_index(F.substring_index("_location", f"/{name}=", -1), "/", 1)
-
-
 def _folder_above(folder: str) -> Column:
     """Location up to the last ``/folder/`` in it."""
     below = F.length(F.substring_index("_location", f"/{folder}/", -1))
@@ -66,12 +51,10 @@ def _runs(
     schema: T.StructType,
 ) -> DataFrame:
     root = roots.results.rstrip("/")
-    rows = _read_files(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths])
-    if "model_run" not in rows.columns:
-        rows = rows.withColumn("model_run", _part("model_run").cast("int"))
+    rows = read_runs(spark, [f"{root}/{path.strip('/')}/{folder}" for path in paths], schema, folder)
     numbers = keys.select(SCENARIO, DATASET, F.col("location").alias("_folder"))
     numbered = _matched(rows.withColumn("_folder", _folder_above(folder)), numbers, "_folder", SCENARIO)
-    return schemas.require(numbered, schema, folder).select(SCENARIO, DATASET, *schema.names)
+    return numbered.select(SCENARIO, DATASET, *schema.names)
 
 
 def _matched(rows: DataFrame, numbers: DataFrame, folder: str, number: str) -> DataFrame:
@@ -86,7 +69,7 @@ def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) ->
     root = roots.model_data.rstrip("/")
     named = keys.select(DATASET, *_DATASET_PARTS).distinct().collect()
     folders = {row[DATASET]: baseline_folder(row["data_version"], kind, row["fyear"], row["provider"]) for row in named}
-    rows = as_baseline(_read_files(spark, [f"{root}/{f}" for f in sorted(folders.values())]))
+    rows = as_baseline(read_files(spark, [f"{root}/{f}" for f in sorted(folders.values())]))
     # data version, kind, year and provider: the last four folders above the file
     place = F.regexp_extract(decoded(F.col("_location")), "([^/]+/[^/]+/fyear=[^/]+/dataset=[^/]+)/[^/]*$", 1)
     numbers = spark.createDataFrame(list(folders.items()), f"{DATASET} int, _folder string")
@@ -94,6 +77,18 @@ def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) ->
     return schemas.require(numbered.drop("_folder", "_location"), schemas.BASELINES[kind], kind)
 
 
+def scenario_problems(
+    spark: SparkSession, paths: Sequence[str], roots: Roots, data_versions: DataFrame
+) -> DataFrame:
+    """``path`` and ``problem`` of the given paths that cannot be built: what is wrong with their parameters,
+    or that no data version fits. A path left out of ``paths`` for it does not end a batch of the others."""
+    given = scenarios.read_scenarios(spark, roots.results, paths)
+    checked = resolve_versions(scenarios.scenario_params(given), data_versions)
+    unfit = F.when(F.col("data_version") == NO_VERSION, F.concat(F.lit("no data version fits "), "model_version"))
+    found = checked.select("path", F.coalesce("problem", unfit).alias("problem"))
+    return found.where(F.col("problem").isNotNull())
+
+
 def _scenario_keys(
     spark: SparkSession, paths: Sequence[str], roots: Roots, data_versions: DataFrame
 ) -> DataFrame:
@@ -103,7 +98,10 @@ def _scenario_keys(
     if twice:
         raise ValueError(f"listed more than once: {twice}")
     given = scenarios.read_scenarios(spark, roots.results, paths)
-    found = resolve_versions(scenarios.scenario_keys(given, "location"), data_versions).collect()
+    found = resolve_versions(scenarios.scenario_params(given, "location"), data_versions).collect()
+    broken = {row["path"]: row["problem"] for row in found if row["problem"] is not None}
+    if broken:
+        raise ValueError(f"parameters that cannot be used: {broken}")
     unresolved = [row["path"] for row in found if row["data_version"] == NO_VERSION]
     if unresolved:
         raise ValueError(f"no data version fits the model version of {unresolved}")

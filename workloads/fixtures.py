@@ -119,6 +119,15 @@ SELECT concat('full-model-results/v', cast(3 + o_custkey % 3 AS string), '.', ca
     cast(o_orderkey AS string), '/20250101-', cast(100000 + o_orderkey % 100000 AS string), '/') AS path,
   concat('{{"start_year": ', CASE WHEN o_orderkey % 3 = 0 THEN '"' ELSE '' END, cast(2019 + o_orderkey % 6 AS string),
     CASE WHEN o_orderkey % 3 = 0 THEN '"' ELSE '' END, '}}') AS params
+FROM {orders}""",
+    "scenario_params": """
+SELECT concat('full-model-results/v', cast(3 + o_custkey % 3 AS string), '.', cast(o_orderkey % 5 AS string), '/R',
+    cast(o_custkey % 50 AS string), '/plan-', cast(o_orderkey AS string), '/20250101-120000/') AS path,
+  CASE o_orderkey % 8 WHEN 0 THEN concat('{{"start_year": ', cast(2019 + o_custkey % 6 AS string))
+    WHEN 1 THEN NULL WHEN 2 THEN '{{"end_year": 2041}}' WHEN 3 THEN concat('{{"start_year": "Y', cast(o_custkey % 9 AS string), '"}}')
+    WHEN 4 THEN concat('{{"id": "', cast(o_orderkey AS string), '", "start_year": "', cast(2019 + o_custkey % 6 AS string), '"}}')
+    WHEN 5 THEN concat('[', cast(o_custkey AS string), ']')
+    ELSE concat('{{"start_year": ', cast(2019 + o_custkey % 6 AS string), ', "seed": ', cast(o_orderkey AS string), '}}') END AS params
 FROM {orders}""",
     "manifest": """
 SELECT concat('dev', cast(o_custkey % 3 AS string)) AS capacity_version,

@@ -370,6 +370,20 @@ ORACLES: dict[str, str] = {
       split_part(path, '/', 4) AS scenario_name, split_part(path, '/', 5) AS scenario_runtime,
       cast(regexp_extract(params, '[0-9]{4}') AS int) AS fyear,
       'aggregated-' || substr(path, 6) AS aggregated_path FROM scenario_paths""",
+    "scenario_params": over(
+        "scenario_params",
+        v="""SELECT *, CASE WHEN coalesce(json_valid(params), false) THEN json_type(params) END AS kind,
+          CASE WHEN coalesce(json_valid(params), false) THEN json_extract_string(params, '$.start_year') END AS y FROM scenario_params""",
+    )
+    + """SELECT path, split_part(path, '/', 2) AS model_version, split_part(path, '/', 3) AS provider,
+      split_part(path, '/', 4) AS scenario_name, split_part(path, '/', 5) AS scenario_runtime, try_cast(y AS int) AS fyear,
+      'aggregated-' || substr(path, 6) AS aggregated_path,
+      CASE WHEN params IS NULL THEN 'no parameters' WHEN kind IS DISTINCT FROM 'OBJECT' THEN 'no JSON object: ' || params
+        WHEN y IS NULL THEN 'no start year' WHEN try_cast(y AS int) IS NULL THEN 'no start year: ' || y END AS problem FROM v""",
+    "results_two_layouts": over("ip_results") + "SELECT * FROM ip_results",
+    "batch_from_folders": "SELECT 'full-model-results/v4.1/R01/plan-' || n || '/2025/' AS path, a.* FROM ("
+    + emergency() + ") a CROSS JOIN (VALUES (1), (2)) AS s(n)",
+    "published_area": inpatient("ip_wards"),
     "version_asof": over(
         "version_catalogue",
         "version_requests",

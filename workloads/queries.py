@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +14,13 @@ from capplan.functions.vocabulary import PREDICATES, predicate
 from capplan.operators.presence import bitmaps, occurs
 from capplan.operators.versions import resolve_versions
 from capplan.plans.areas import KEYS, OP_CONVERTED_LABEL, SDEC_LABEL, Area
+from capplan.schemas import RESULTS
+from capplan.sinks.publish import publish_areas, read_area, write_attempt
 from capplan.sinks.tables import by_run, check_entries, positions
-from capplan.sources.activity import as_baseline, simulated_defaults
+from capplan.sources.activity import as_baseline, baseline_folder, simulated_defaults
+from capplan.sources.layouts import read_runs
 from capplan.sources.lookups import clean_theatre_times, specialty_lookup
-from capplan.sources.scenarios import scenario_keys
+from capplan.sources.scenarios import aggregated_path, scenario_keys, scenario_params
 from workloads.fixtures import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +41,10 @@ class Inputs:
     """The derived inputs of one scale folder, as the library's users would hold them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self._spark, self._dir = spark, sf_dir
+        self.spark, self._dir = spark, sf_dir
 
     def __getitem__(self, name: str) -> DataFrame:
-        return derived(self._spark, self._dir, name)
+        return derived(self.spark, self._dir, name)
 
     @property
     def specialties(self) -> DataFrame:
@@ -146,6 +151,57 @@ def _wards_by_dataset(i: Inputs) -> DataFrame:
     return cp.ward_areas(spells, results, by=["scenario"], shared=cp.Shared(("dataset",), members))
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below the session's checkpoint folder where it names one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
+def _store_results(i: Inputs, folder: str) -> list[str]:
+    """Inpatient results with odd runs as folders and the others as a column; the two places they lie in."""
+    results, places = i["ip_results"], [f"{folder}/ip/folders", f"{folder}/ip/columns"]
+    results.where("model_run % 2 = 1").write.partitionBy("model_run").parquet(places[0])
+    results.where("model_run % 2 = 0").select("model_run", "classpat", "rn", "speldur").write.parquet(places[1])
+    return places
+
+
+def _results_of_two_layouts(i: Inputs) -> DataFrame:
+    places = _store_results(i, _shared(i.spark, "layouts"))
+    return read_runs(i.spark, places, RESULTS["ip"]).drop("_location")
+
+
+def _published(i: Inputs) -> DataFrame:
+    """Wards as a reader sees them after an earlier commit was replaced and a further attempt not committed."""
+    where = (_shared(i.spark, "published"), "dev", "run-1")
+    wards = cp.ward_areas(*i.inpatients)
+    publish_areas({"ip_wards": wards.where("model_run = 1")}, *where)
+    publish_areas({"ip_wards": wards}, *where)
+    write_attempt({"ip_wards": wards.where("model_run = 2")}, *where)
+    return read_area(i.spark, *where, "ip_wards")
+
+
+def _batch_from_folders(i: Inputs) -> DataFrame:
+    """Emergency areas of two scenarios from stored baselines, results of either layout, conversions and parameters."""
+    root = _shared(i.spark, "batch")
+    roots = cp.Roots(f"{root}/data", f"{root}/results", f"{root}/output")
+    names = {"aae": "aae_results", "op": "op_results", "ip": "ip_results", "sdec_conversion": "sdec_conversion", "op_conversion": "op_conversion"}
+    for kind in ("aae", "op", "ip"):
+        raw = i[f"{kind}_baseline"].drop("model_run").withColumnRenamed("rn", "index")
+        raw.write.parquet(f"{roots.model_data}/v4.0.2/{baseline_folder('', kind, 2023, 'R01').strip('/')}")
+    paths = [f"full-model-results/v4.1/R01/plan-{n}/2025/" for n in (1, 2)]
+    for path in paths:
+        for folder, name in names.items():
+            writer = i[name].write
+            if path == paths[0] and name.endswith("_results"):
+                writer = writer.partitionBy("model_run")
+            writer.parquet(f"{roots.results}/{path}{folder}")
+    params = i.spark.createDataFrame([('{"start_year": "2023"}',)], "value string").coalesce(1)
+    for path in paths:
+        params.write.text(f"{roots.results}/{aggregated_path(path)}params.json")
+    versions = i.spark.createDataFrame([("v4.0.2",), ("v9.0.0",)], "name string")
+    return cp.batch_tables(i.spark, paths, roots, versions, i.specialties, i.theatre_times)["aae"]
+
+
 def _records_without_run(i: Inputs) -> DataFrame:
     """Baseline records that no run has, found through bitmaps of record numbers."""
     marked = occurs(i["ip_baseline"].select("rn", "sitetret"), bitmaps(i["ip_results"], "rn"), "rn")
@@ -158,6 +214,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "specialty_lookup": lambda i: i.specialties,
     "theatre_times_clean": lambda i: i.theatre_times,
     "default_results_filter": lambda i: simulated_defaults(i["default_results"], "aae"),
+    "results_two_layouts": _results_of_two_layouts,
+    "batch_from_folders": _batch_from_folders,
+    "scenario_params": lambda i: scenario_params(i["scenario_params"]),
     "scenario_keys": lambda i: scenario_keys(i["scenario_paths"]),
     "version_asof": lambda i: resolve_versions(i["version_requests"], i["version_catalogue"]),
     "version_asof_prereleases": lambda i: resolve_versions(i["version_requests"], i["version_prereleases"]),
@@ -238,6 +297,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "records_without_run": _records_without_run,
     # output and checks
     "sorted_by_run": lambda i: by_run(cp.ward_areas(*i.inpatients)),
+    "published_area": _published,
     "area_positions": lambda i: positions(cp.ward_areas(*i.inpatients)),
     "manifest_append_check": lambda i: check_entries(i["manifest_entries"], i["manifest"]),
     "reconcile_runs": _default_comparison,
