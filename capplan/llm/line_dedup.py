@@ -7,8 +7,9 @@ positional filter (what can still be common after the shared word's places) and
 tallies of words; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
 
 Each line is sent on with its earliest candidates only, so copies of a line by the thousand cost a row
-each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with
-all of its candidates in a second turn, so nothing is lost; there, rows have 128 parities more that tell sets apart.
+each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with more of
+them in a second turn, and so on with ever more until none is left that could have missed one, so nothing is lost.
+There, rows have parities of the set's words besides, at least one for each word, which tell sets of any size apart.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ EARLIEST = 1
 ENOUGH = 64
 #: Later lines of one comparison.
 HOT = 1 << 16
-#: Further parities of a set in rows that are sent again.
-WIDE = ("w0", "w1")
+#: Candidates of a failing line at one shared word in the second turn, and how many times more in each later one.
+KEPT, MORE = 8, 8
+#: Column of further parities in rows that are sent again.
+WIDE = "wide"
 
 _LAST = (1 << 63) - 1
 
@@ -79,14 +82,62 @@ class Lines:
         counts = np.bincount(self.owner * 16 + bucket, minlength=len(self.sizes) * 16).reshape(-1, 16) % 16
         return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
 
+    def parities(self, some: np.ndarray, longs: int | None = None) -> pa.Array:
+        """Whether an odd number of a set's words falls into each of its buckets, for some lines (ascending).
+
+        The buckets are a power of two, 128 at least and no fewer than the set has words. Half as many come
+        from the first half by exclusive or with the second, so sets with unlike numbers of buckets compare.
+        """
+        size = self.sizes[some]
+        if longs is None:
+            longs = 1 << np.maximum(np.ceil(np.log2(np.maximum(size, 1) / 64)).astype(np.int64), 1)
+        longs = np.broadcast_to(longs, len(some))
+        offsets = np.concatenate([[0], np.cumsum(longs)])
+        owner = np.repeat(np.arange(len(some)), size)
+        at = np.repeat(self.starts[some] - np.cumsum(size) + size, size) + np.arange(len(owner))
+        other = scramble(self.tokens[at] ^ np.uint64(0x13198A2E03707344))
+        bucket = (other & (longs[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)
+        flat = np.zeros(int(offsets[-1]), dtype=np.uint64)
+        np.bitwise_xor.at(flat, offsets[owner] + (bucket >> 6), np.uint64(1) << (bucket & 63).astype(np.uint64))
+        return pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(8 * offsets), pa.py_buffer(flat)])
+
     def wide(self) -> list[np.ndarray]:
-        """Whether an odd number of a set's words falls into each of 128 buckets, as two columns."""
-        other = scramble(self.tokens ^ np.uint64(0x13198A2E03707344))
-        bits, part = np.uint64(1) << (other >> np.uint64(58)), other & np.uint64(len(WIDE) - 1)
-        full = np.flatnonzero(self.sizes > 0)
-        out = [np.zeros(len(self.sizes), dtype=np.uint64) for _ in WIDE]
-        for k, column in enumerate(out if len(full) else ()):
-            column[full] = np.bitwise_xor.reduceat(np.where(part == np.uint64(k), bits, np.uint64(0)), self.starts[full])
+        """128 parities of every set, as two columns."""
+        raw = b"".join(self.parities(np.arange(len(self.sizes)), 2).to_pylist())
+        return list(np.frombuffer(raw, np.uint64).reshape(-1, 2).T)
+
+
+class Parities:
+    """What ``Lines.parities`` gave for some rows."""
+
+    def __init__(self, raw: np.ndarray):
+        self.longs = np.array([len(r) >> 3 for r in raw], dtype=np.int64)
+        self.starts = np.cumsum(self.longs) - self.longs
+        self.flat = np.frombuffer(b"".join(raw), np.uint64)
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _as(self, longs: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parities of all rows with that many longs or twice as many, brought to that many; and the place of each row."""
+        if longs not in self.known:
+            place, parts, at = np.full(len(self.longs), -1), [], 0
+            for have in (longs, 2 * longs):
+                rows = np.flatnonzero(self.longs == have)
+                place[rows] = at + np.arange(len(rows))
+                part = self.flat[self.starts[rows][:, None] + np.arange(have)]
+                parts.append(part if have == longs else part[:, :longs] ^ part[:, longs:])
+                at += len(rows)
+            self.known[longs] = np.concatenate(parts), place
+        return self.known[longs]
+
+    def gap(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """By how many words the sets of rows x and y differ at least."""
+        out = np.zeros(len(x), dtype=np.int64)
+        low, high = np.minimum(self.longs[x], self.longs[y]), np.maximum(self.longs[x], self.longs[y])
+        for longs in np.unique(low).tolist():
+            # sizes within reach of each other have at most twice as many buckets; of others nothing is said
+            some = np.flatnonzero((low == longs) & (high <= 2 * longs))
+            bits, place = self._as(longs)
+            out[some] = np.bitwise_count(bits[place[x[some]]] ^ bits[place[y[some]]]).sum(axis=1, dtype=np.int64)
         return out
 
 
@@ -126,7 +177,7 @@ def _survey(batches):
 #: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line). Size -2: a
 #: line by the 128-bit key of its set, in ``word`` and ``tally``.
 _ROWS = "word long, id long, line int, size int, place int, tally long, version long"
-_AGAIN = _ROWS + "".join(f", {name} long" for name in WIDE)
+_AGAIN = f"{_ROWS}, {WIDE} binary"
 
 
 def banded(words: np.ndarray, sizes: np.ndarray, step: int = 0) -> np.ndarray:
@@ -196,7 +247,7 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
     """Rows of shared words; with ``marks`` only those of marked words, wider and without certain repeats."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
+        out, wide = [], []
         for block in blocks(batch):
             lines = Lines(block.column("text"))
             ids, versions = block.column("id").to_numpy(), block.column("version").to_numpy()
@@ -245,6 +296,7 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
             if marks is not None:
                 kept[kept] = marks.has(banded(rank[by_rank][kept], size[lines.owner[kept]]))
             owner = lines.owner[kept]
+            some, row = np.unique(owner, return_inverse=True)
             out.append(
                 (
                     rank[by_rank][kept].view(np.int64),
@@ -254,12 +306,13 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
                     place[kept].astype(np.int32),
                     lines.tallies()[owner].view(np.int64),
                     versions[lines.text[owner]] * 0,
-                    *([] if marks is None else [w[owner].view(np.int64) for w in lines.wide()]),
                 )
             )
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+            if marks is not None:
+                wide.append(lines.parities(some).take(pa.array(row)).cast(pa.binary()))
+        columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
         names = [c.split()[0] for c in (_ROWS if marks is None else _AGAIN).split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        return pa.RecordBatch.from_arrays([*columns, *([] if marks is None else [pa.concat_arrays(wide)])], names=names)
 
     return step
 
@@ -271,9 +324,11 @@ _PAIRS = "id long, line int, of_id long, of_line int, version long, more boolean
 class _Group:
     """Rows of whole shared words, by word and then by size."""
 
-    def __init__(self, rows: dict[str, np.ndarray], share: int, keep: int | None):
+    def __init__(self, rows: dict[str, np.ndarray], share: int, keep: int):
         self.rows, self.share, self.keep = rows, share, keep
+        self.enough = max(ENOUGH, 4 * keep)
         self.wanted = rows.get("wanted")
+        self.wide = Parities(rows[WIDE]) if WIDE in rows else None
 
     def passes(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of rows x and y of one word, close in size, that the positional and tally filters let through."""
@@ -282,12 +337,12 @@ class _Group:
         room = np.minimum(i, j) + np.minimum(a - i, b - j)
         ok = (100 + self.share) * room >= self.share * (a + b)
         x, y, both = x[ok], y[ok], (a + b)[ok]
-        gap = tally_gap(tally[x], tally[y])
-        if WIDE[0] in self.rows:
-            wide = sum(np.bitwise_count(self.rows[w][x] ^ self.rows[w][y]).astype(np.int64) for w in WIDE)
-            gap = np.maximum(gap, wide)
-        ok = (100 + self.share) * (both - gap) >= 2 * self.share * both
-        return x[ok], y[ok]
+        ok = (100 + self.share) * (both - tally_gap(tally[x], tally[y])) >= 2 * self.share * both
+        x, y, both = x[ok], y[ok], both[ok]
+        if self.wide is not None:
+            ok = (100 + self.share) * (both - self.wide.gap(x, y)) >= 2 * self.share * both
+            x, y = x[ok], y[ok]
+        return x, y
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Earlier row, later row, and whether the later one has more candidates than are given.
@@ -308,8 +363,7 @@ class _Group:
         live = np.arange(n) if self.wanted is None else np.flatnonzero(self.wanted)
         for lag in range(1, n):
             live = live[(live - lag >= low[live]) | (live + lag < high[live])]
-            if self.keep is not None:
-                live = live[have[live] < ENOUGH]
+            live = live[have[live] < self.enough]
             if not len(live):
                 break
             left, right = live[live - lag >= low[live]], live[live + lag < high[live]]
@@ -325,8 +379,8 @@ class _Group:
         x, y = (np.concatenate(c) for c in zip(*found, strict=True))
         order = np.lexsort((line[x], i[x], y))
         x, y = x[order], y[order]
-        if self.keep is None or not len(y):
-            return x, y, np.zeros(len(x), bool)
+        if not len(y):
+            return x, y, np.zeros(0, bool)
         new = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
         count = np.diff(np.append(new, len(y)))
         first = np.arange(len(y)) - np.repeat(new, count) < self.keep
@@ -367,16 +421,17 @@ def _wanted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
-def _pairs(batches, share: int, keep: int | None):
+def _pairs(batches, share: int, keep: int):
     """Candidates from rows that come sorted by word and size; a word may span batches.
 
-    Where rows are wider, candidates of the lines that rows of size ``WANTED`` name; without ``keep`` all of them.
+    Where rows are wider, candidates of the lines that rows of size ``WANTED`` name. A line gets ``keep`` candidates
+    at a word, and ``more`` is set if it has others there.
     """
     names = []
     held: list[dict[str, np.ndarray]] = []
 
     def done(rows: dict[str, np.ndarray]):
-        rows = _wanted(rows) if WIDE[0] in rows else rows
+        rows = _wanted(rows) if WIDE in rows else rows
         whole = rows["size"] == BY_KEY
         if whole.any():
             copies = _copies({k: v[whole] for k, v in rows.items()})
@@ -389,8 +444,7 @@ def _pairs(batches, share: int, keep: int | None):
                 rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure]
             )
         rest = {k: v[~sure] for k, v in rows.items()}
-        for name in {"tally", *WIDE} & set(rest):
-            rest[name] = rest[name].view(np.uint64)
+        rest["tally"] = rest["tally"].view(np.uint64)
         x, y, more = _Group(rest, share, keep).pairs()
         if len(x):
             yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y], rest["size"][y])
@@ -462,7 +516,7 @@ def _asked():
 def _alike(batches, share: int):
     """Later lines that are similar to the earlier one of their comparison, which comes before them."""
     key, early = None, []
-    for batch in (b for b in batches if b.num_rows):
+    for batch in (block for b in batches if b.num_rows for block in blocks(b, "words")):
         found = []
         lines = Lines(batch.column("words").cast(pa.large_string()))
         columns = [batch.column(n).to_pylist() for n in ("g_id", "g_line", "deal", "late", "id", "line", "version")]
@@ -499,8 +553,17 @@ def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     """The pairs whose sets are similar enough, with the version of the later line's document.
 
     Every line's set goes to the comparisons that it takes part in: the earlier line first, then all later
-    ones; an earlier line with very many later ones has several comparisons.
+    ones; an earlier line with very many later ones has several comparisons. Texts without such a line stay.
     """
+    marks = Marks.of(pairs.select(F.explode(F.array("id", "of_id")).alias("word")))
+
+    def named(batches):
+        for batch in batches:
+            there = marks.has(batch.column("id").to_numpy().view(np.uint64))
+            if there.any():
+                yield batch.filter(pa.array(there))
+
+    texts = texts.mapInArrow(named, texts.schema)
     per = pairs.groupBy("of_id", "of_line").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("deals"))
     dealt = pairs.join(per, ["of_id", "of_line"]).withColumn("deal", F.pmod(F.xxhash64("id", "line"), F.col("deals")))
     group = [F.col("of_id").alias("g_id"), F.col("of_line").alias("g_line")]
@@ -535,23 +598,27 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     # lines with the very set of an earlier one need no comparison
     known = sure.select("id", "line").distinct()
     open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
-    found = cut(sure.union(_verified(texts, open_, share)))
-    # lines whose candidates all failed, but which had more
-    failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
-    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
-    failed.select("id", "line", "word", "size").distinct().write.parquet(folder)
-    failed = spark.read.parquet(folder)
-    if failed.first() is not None:
+    found = cut(sure.union(_verified(texts, cut(open_), share)))
+    keep = KEPT
+    while True:
+        # lines whose candidates all failed, but which had more
+        failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
+        folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
+        failed.select("id", "line", "word", "size").distinct().write.parquet(folder)
+        failed = spark.read.parquet(folder)
+        if failed.first() is None:
+            break
         # only rows of their words and sizes are sent again, told apart before anything is sent; at its other
         # words such a line has been compared with all that it has there
         words = failed.select("word", "size").distinct().mapInArrow(partial(reached, share=share), "word long")
         again = map_arrow(texts, partial(_rows, share, steps, Marks.of(words)), _AGAIN)
         none = F.lit(0)
-        longs = [none.cast("long").alias(name) for name in ("tally", "version", *WIDE)]
-        asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *longs)
-        near = _sorted(again.union(asked)).mapInArrow(partial(_pairs, share=share, keep=None), _PAIRS)
-        near = near.select("id", "line", "of_id", "of_line").distinct()
-        found = cut(found.union(_verified(texts, cut(near), share)))
+        rest = [none.cast("long").alias(name) for name in ("tally", "version")] + [F.lit(b"").alias(WIDE)]
+        asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *rest)
+        pairs = cut(_sorted(again.unionByName(asked)).mapInArrow(partial(_pairs, share=share, keep=keep), _PAIRS))
+        near = pairs.select("id", "line", "of_id", "of_line").distinct()
+        found = cut(found.union(_verified(texts, near, share)))
+        keep *= MORE
     early = F.min(F.struct("of_id", "of_line"))
     removed = found.groupBy("id", "line", "version").agg(early.alias("of"))
     return removed.select("id", "line", "version", F.col("of.of_id").alias("of_id"), F.col("of.of_line").alias("of_line")), light

@@ -120,6 +120,53 @@ def test_wide_rows_never_tell_similar_sets_apart():
     assert gap.max() > 10
 
 
+def test_parities_of_sets_of_any_size():
+    """Parities never say more than the sets differ by, and tell large strangers apart too."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for size in (3, 90, 130, 260, 900, 3000):
+        base = rng.choice(100_000, size, replace=False)
+        near = np.concatenate([base[size // 8 :], rng.choice(100_000, size // 10, replace=False)])
+        sets += [set(base.tolist()), set(near.tolist()), set(rng.choice(100_000, size, replace=False).tolist())]
+    lines = line_dedup.Lines(pa.array([" ".join(f"w{k}" for k in s) for s in sets], pa.large_string()))
+    found = line_dedup.Parities(np.array(lines.parities(np.arange(len(sets))).to_pylist(), dtype=object))
+    x, y = (g.reshape(-1) for g in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    gap = found.gap(x, y)
+    assert (gap <= [len(sets[i] ^ sets[j]) for i, j in zip(x, y, strict=True)]).all()
+    for k in range(0, len(sets), 3):
+        a, c = sets[k], sets[k + 2]
+        assert 180 * (len(a) + len(c) - found.gap(np.array([k]), np.array([k + 2]))[0]) < 160 * (len(a) + len(c))
+
+
+def test_rows_of_a_later_turn_grow_with_the_lines():
+    """1,000 wanted lines whose sets all pass every filter: as many candidates as asked for, and not one for every two."""
+    n = 1000
+    rows = {"word": np.full(2 * n, 5), "id": np.tile(np.arange(n), 2), "line": np.zeros(2 * n, np.int32)}
+    rows |= {"size": np.repeat([line_dedup.WANTED, 300], n).astype(np.int32), "place": np.zeros(2 * n, np.int32)}
+    rows |= {"tally": np.zeros(2 * n, np.int64), "version": np.zeros(2 * n, np.int64)}
+    wide = pa.array([b""] * n + [bytes(64)] * n, pa.binary())
+    batch = pa.RecordBatch.from_arrays([*[pa.array(v) for v in rows.values()], wide], names=[*rows, line_dedup.WIDE])
+    found = pa.Table.from_batches(line_dedup._pairs([batch.slice(0, 700), batch.slice(700)], 80, 8))
+    assert found.num_rows <= 8 * n and np.asarray(found.column("more"))[8 * 20 :].all()
+    assert found.num_rows > 7 * n
+
+
+def test_lines_of_long_near_copies(spark):
+    """Long lines near the threshold, equal to brute force, through every turn."""
+    pick = random.Random(9)
+    base = [f"b{k}" for k in range(300)]
+    docs = []
+    for doc in range(120):
+        line = list(base)
+        for k in pick.sample(range(300), pick.randint(10, 25)):
+            line[k] = f"d{doc}w{k}"
+        docs.append((doc, " ".join(line)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = {row.doc_id: row.removed for row in line_dedup.report(frame).collect()}
+    assert found == brute(docs)
+    assert 0 < sum(map(len, found.values())) < 119
+
+
 def test_lines_of_one_template_end_in_seconds(spark):
     """100,000 lines that differ in one word: all but the first repeat an earlier one."""
     rows = spark.range(100).selectExpr(
