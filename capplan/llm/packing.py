@@ -107,10 +107,10 @@ class Encoder:
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         known, split = self.known, [_parts(t) for t in texts]
-        heads = self._encode([p[0] for p in split])
-        words = set().union(*[p[1:] for p in split])
+        heads = self._encode([p.pop(0) for p in split])
+        words = set().union(*split)
         self._learn(words - known.keys())
-        out = [h + b"".join(map(known.__getitem__, p[1:])) for h, p in zip(heads, split, strict=True)]
+        out = [h + b"".join(map(known.__getitem__, p)) for h, p in zip(heads, split, strict=True)]
         if len(known) > REMEMBERED:  # words not met again before the next turn are forgotten
             self.known, self.old = {}, known
         if len(self.cores) > REMEMBERED:
@@ -122,10 +122,19 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: The white space of ASCII, as ``str.isspace`` has it, and where some stands before a space.
+_BLANK = "".join(c for c in map(chr, range(128)) if c.isspace())
+_GAPS = [c + " " for c in _BLANK]
+
+
 def _parts(text: str) -> list[str]:
     """The text cut before single spaces, without those spaces."""
     parts = text.split(" ")
-    if "" not in parts and not any(map(_open, parts)):
+    if text.isascii():
+        plain = not (text[:1] in _BLANK or text[-1:] in _BLANK or any(gap in text for gap in _GAPS))
+    else:
+        plain = "" not in parts and not any(map(_open, parts))
+    if plain:
         return parts
     out, held = [], None
     for part in parts:
