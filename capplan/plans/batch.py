@@ -71,7 +71,9 @@ def _baselines(spark: SparkSession, roots: Roots, keys: DataFrame, kind: str) ->
     folders = {row[DATASET]: baseline_folder(row["data_version"], kind, row["fyear"], row["provider"]) for row in named}
     rows = as_baseline(read_files(spark, [f"{root}/{f}" for f in sorted(folders.values())]))
     # data version, kind, year and provider: the last four folders above the file
-    place = F.regexp_extract(decoded(F.col("_location")), "([^/]+/[^/]+/fyear=[^/]+/dataset=[^/]+)/[^/]*$", 1)
+    # (cut off before they are decoded: this runs for every row)
+    folder = F.left("_location", F.length("_location") - F.length(F.substring_index("_location", "/", -1)) - 1)
+    place = decoded(F.substring_index(folder, "/", -4))
     numbers = spark.createDataFrame(list(folders.items()), f"{DATASET} int, _folder string")
     numbered = _matched(rows.withColumn("_folder", place), numbers, "_folder", DATASET)
     return schemas.require(numbered.drop("_folder", "_location"), schemas.BASELINES[kind], kind)

@@ -1,9 +1,13 @@
 """A whole scenario from folders to written tables and the manifest."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import capplan as cp
+from capplan import schemas
+from capplan.plans import batch
 from capplan.sinks.tables import append_manifest, area_path, positions, read_manifest
+from capplan.sources.activity import baseline_folder
 from capplan.sources.scenarios import aggregated_path
 from tests.builders import bag
 from workloads.queries import Inputs
@@ -178,3 +182,18 @@ def test_positions_follow_the_order_of_runs(spark):
     assert sorted(r.position for r in table.collect()) == list(range(1, len(rows) + 1))
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Exchange SinglePartition" not in plan.split("Window")[1].split("Sort")[0]
+
+
+def test_a_batch_finds_its_datasets_by_cutting_locations(spark, tmp_path):
+    """A pattern over the whole location was searched for every row; odd names of providers are found without one."""
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.BASELINES["aae"].fields if f.name not in ("rn", "model_run")}
+    named = [(0, 0, "v4.0.2", 2023, "R0 1+%x"), (1, 1, "v4.0.2", 2024, "R0/2")]
+    for dataset, _, version, year, provider in named:
+        folder = tmp_path / "data" / baseline_folder(version, "aae", year, provider)
+        columns = [F.lit("S" if c == "sitetret" else None).cast(t).alias(c) for c, t in kinds.items()]
+        spark.range(3 + dataset).select(F.col("id").alias("index"), *columns).write.parquet(str(folder))
+    keys = spark.createDataFrame(named, "scenario int, dataset int, data_version string, fyear int, provider string")
+    roots = cp.Roots(str(tmp_path / "data"), str(tmp_path), str(tmp_path))
+    found = batch._baselines(spark, roots, keys, "aae")
+    assert {r["dataset"]: r["count"] for r in found.groupBy("dataset").count().collect()} == {0: 3, 1: 4}
+    assert "regexp" not in found._jdf.queryExecution().toString()
