@@ -1,4 +1,4 @@
-"""Runs of letters in many texts at once: their bytes, hashes, and which of them are equal."""
+"""Runs of letters in many texts at once: their bytes, hashes, and which of them are equal (by their bytes)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.
 
 
 class Runs(Words):
-    """Words by another rule for their bytes (``member``); equal runs are told by their bytes, not by hashes alone."""
+    """Words by another rule for their bytes (``member``); equal runs are told by their bytes, not by hashes."""
 
     def __init__(self, texts: pa.Array):
         super().__init__(texts)
@@ -22,28 +22,30 @@ class Runs(Words):
         """The number of the text that holds run k (or each of some)."""
         return np.searchsorted(self.bounds, k, side="right") - 1
 
+    def owners(self) -> np.ndarray:
+        """The number of the text of every run."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+
     def raw(self, k: int) -> bytes:
         return self.bytes[self.starts[k] : self.ends[k]].tobytes()
 
+    def pick(self, some: np.ndarray) -> pa.Array:
+        """The bytes of some runs."""
+        return self.all().take(pa.array(some)).cast(pa.binary())
+
+    def all(self) -> pa.Array:
+        """The bytes of all runs."""
+        # nothing but runs consists of member bytes, so these are all runs one after the other
+        data = self.bytes[self.member(self.data)]
+        offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+        return pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """The first run of each different one, and for each run the number of it among those."""
-        _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
-        if len(number):
-            lead = first[number]
-            sizes = self.ends - self.starts
-            ok = bool((sizes == sizes[lead]).all())
-            step = 1 << 21
-            edges = np.searchsorted(np.cumsum(sizes), np.arange(0, int(sizes.sum()) + step, step))
-            for s, e in zip(edges[:-1].tolist(), [*edges[1:-1].tolist(), len(sizes)], strict=True):
-                if ok and e > s:
-                    n = sizes[s:e]
-                    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    ok = bool((self.bytes[np.repeat(self.starts[s:e], n) + inner] == self.bytes[np.repeat(self.starts[lead[s:e]], n) + inner]).all())
-            if not ok:  # two runs share a 64-bit hash: by their bytes then
-                seen: dict[bytes, int] = {}
-                number = np.array([seen.setdefault(self.raw(k), len(seen)) for k in range(len(sizes))], dtype=np.int64)
-                first = np.unique(number, return_index=True)[1]
-        return first, number
+        number = self.all().dictionary_encode().indices.to_numpy().astype(np.int64)
+        new = np.ones(len(number), dtype=bool)
+        new[1:] = number[1:] > np.maximum.accumulate(number)[:-1]
+        return np.flatnonzero(new), number
 
 
 class Terms(Runs):

@@ -179,11 +179,10 @@ def _in_documents(batches):
             if not len(first):
                 continue
             codes = block.column("lang").dictionary_encode()
-            lang = codes.indices.to_numpy().astype(np.int64)[terms.text(np.arange(len(number)))]
-            held = np.unique(terms.text(np.arange(len(number))) * len(first) + number)
+            held = np.unique(terms.owners() * len(first) + number)
             lang = codes.indices.to_numpy().astype(np.int64)[held // len(first)]
             pairs, counts = np.unique(lang * len(first) + held % len(first), return_counts=True)
-            raw = pa.array([terms.raw(k).decode() for k in first.tolist()], pa.string())
+            raw = terms.pick(first).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [codes.dictionary.take(pa.array(pairs // len(first))), raw.take(pa.array(pairs % len(first))),
                  pa.array(terms.hashes[first[pairs % len(first)]].view(np.int64)), pa.array(counts)],
@@ -222,7 +221,7 @@ def _counted(batches, lookup):
         for block in blocks(batch, limit=8 << 20):
             terms = Terms(block.column("text"))
             first, number = terms.distinct()
-            owner = terms.text(np.arange(len(number)))
+            owner = terms.owners()
             groups: dict[tuple[str, str], int] = {}
             of = np.array([groups.setdefault(g, len(groups)) for g in zip(block.column("lang").to_pylist(), block.column("source").to_pylist(), strict=True)])
             slots = {lang: found.find(lang, terms, first) for lang in sorted({lang for lang, _ in groups}) if lang in edges}

@@ -126,3 +126,13 @@ def test_odd_input(spark, odd, none):
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in odd.select("doc_id", "text", "lang", "source").collect()]
     assert sorted(tuple(r) for r in source_audit.divergence(odd, min_docs=2).collect()) == brute(rows, min_docs=2)
     assert source_audit.divergence(none).count() == 0
+
+
+def test_equal_runs_are_told_by_bytes():
+    """Whatever the hashes: the first of each different run, its bytes, and the text of every run."""
+    texts = ["One two, one", "", "TWO \u00e9t\u00e9 one-three", None, "x"]
+    terms = runs.Terms(pa.array(texts, pa.large_string()))
+    terms.hashes[:] = np.arange(len(terms.hashes))
+    first, number = terms.distinct()
+    assert terms.pick(first).to_pylist() == [w.encode() for w in ("one", "two", "\u00e9t\u00e9", "three", "x")]
+    assert number.tolist() == [0, 1, 0, 1, 2, 0, 3, 4] and terms.owners().tolist() == [0, 0, 0, 2, 2, 2, 2, 4]
