@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -84,3 +85,15 @@ def test_odd_input(spark, odd, none, tokenizer):
     assert sorted((str(r.doc_id), (r.piece, r.start, r.length, r.ids_crc32)) for r in rows) == texts
     assert all(len(r.ids) == 4 * r.length for r in rows)
     assert packing.pack(packing.token_pieces(none, tokenizer_file())).count() == 0
+
+
+def test_parts_of_plain_texts_are_those_of_the_rule():
+    """Cut before each space that follows a character that isn't white space; white space at the end stays."""
+    pick = random.Random(3)
+    for _ in range(4000):
+        text = "".join(pick.choices(" \t\n\x0b\x1c\x1fab.,\u00e9\u2003", k=pick.randint(0, 10)))
+        found = packing._parts(text)
+        assert " ".join(found) == text
+        assert all(part and not part[-1].isspace() for part in found[:-1]) or not text.strip(), (text, found)
+        if not re.search(r"\s( |$)|^ ", text) and not text[-1:].isspace() and text:
+            assert found == text.split(" ")
