@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from capplan.llm import rarity
-from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, scramble, ship, squeezed
+from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, released, scramble, ship, squeezed
 from capplan.llm.graph import components
 from capplan.llm.sigtree import Tree, signatures
 
@@ -208,7 +208,7 @@ def _linked(documents: DataFrame, n: int, share: int, block: int = BLOCK) -> Dat
     ship(spark)
     text = F.col("text").cast("string")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    survey = cut(texts.mapInArrow(partial(_survey, n=n), _SURVEY))
+    survey = cut(texts.mapInArrow(released(partial(_survey, n=n)), _SURVEY))
     counted = survey.where("slice is not null").select("slice", "counts")
     steps = rarity.levels(rarity.summed(counted))
     light = survey.where("slice is null").select("doc_id", "key", "size", "k1", "k2")

@@ -2,8 +2,10 @@
 
 import re
 
+import pyarrow as pa
+
 import corpus_pipeline
-from capplan.llm import decontaminate
+from capplan.llm import common, decontaminate
 from tests.llm.test_line_dedup import WORDS, brute as repeated
 from tests.llm.test_ngram_join import brute as linked
 from tests.test_oracle import SF
@@ -64,3 +66,20 @@ def test_run_reads_documents_and_gives_the_last_stage(spark, tmp_path):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(30).write.parquet(f"{tmp_path}/{name}.parquet")
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert packed and max(r.offset + r.length for r in packed) <= 2048
+
+
+def test_a_task_gives_its_memory_back_when_it_ends(spark, monkeypatch):
+    """Workers wait beside their executor for the next stage, so they must not keep what a task has freed."""
+    batch, events = pa.RecordBatch.from_pydict({"x": [1, 2, 3]}), []
+    monkeypatch.setattr(common, "release", lambda: events.append("released"))
+
+    class Frame:
+        sparkSession = spark
+
+        @staticmethod
+        def mapInArrow(task, schema):
+            for b in task(iter([batch, batch])):
+                events.append(b.num_rows)
+
+    common.map_arrow(Frame(), lambda: lambda b: iter([b.slice(0, 1), b.slice(1)]), "x long")
+    assert events == [1, 2, 1, 2, "released"]
