@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capplan.llm import rarity
-from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, scramble, shared_folder, ship, squeezed
+from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, released, scramble, shared_folder, ship, squeezed
 
 #: Hundredths of similarity from which a line repeats an earlier one.
 SHARE = 80
@@ -218,13 +218,13 @@ class Marks:
         return out
 
     @classmethod
-    def of(cls, words: DataFrame) -> Marks:
-        """The filter of a column ``word``: tasks mark their own words, executors bring slices together."""
+    def of(cls, words: DataFrame, rows=iter) -> Marks:
+        """The filter of a column ``word`` of what ``rows`` makes of the batches: tasks mark their own words, executors bring slices together."""
         names, size = ["slice", "bits"], 1 << (cls.BITS - 3)
 
         def task(batches):
             own = cls()
-            for batch in batches:
+            for batch in rows(batches):
                 own.add(batch.column("word").to_numpy().view(np.uint64))
             for number, part in enumerate(np.split(own.bits, cls.SLICES)):
                 if part.any():
@@ -236,7 +236,7 @@ class Marks:
                 whole |= np.frombuffer(zlib.decompress(raw.as_py()), np.uint8)
             return pa.table({"slice": rows.column("slice").slice(0, 1), "bits": pa.array([zlib.compress(whole.tobytes(), 1)])})
 
-        marked = words.mapInArrow(task, "slice int, bits binary").groupBy("slice").applyInArrow(joined, "slice int, bits binary")
+        marked = words.mapInArrow(released(task), "slice int, bits binary").groupBy("slice").applyInArrow(joined, "slice int, bits binary")
         out = np.zeros((cls.SLICES, size // cls.SLICES), np.uint8)
         for number, raw in marked.collect():
             out[number] = np.frombuffer(zlib.decompress(raw), np.uint8)
@@ -246,9 +246,9 @@ class Marks:
 def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
     """Rows of shared words; with ``marks`` only those of marked words, wider and without certain repeats."""
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out, wide = [], []
+    def step(batch: pa.RecordBatch):
         for block in blocks(batch):
+            out = []
             lines = Lines(block.column("text"))
             ids, versions = block.column("id").to_numpy(), block.column("version").to_numpy()
             full = np.flatnonzero(lines.sizes > 0)
@@ -308,11 +308,12 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
                     versions[lines.text[owner]] * 0,
                 )
             )
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
             if marks is not None:
-                wide.append(lines.parities(some).take(pa.array(row)).cast(pa.binary()))
-        columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
-        names = [c.split()[0] for c in (_ROWS if marks is None else _AGAIN).split(", ")]
-        return pa.RecordBatch.from_arrays([*columns, *([] if marks is None else [pa.concat_arrays(wide)])], names=names)
+                columns.append(lines.parities(some).take(pa.array(row)).cast(pa.binary()))
+            del lines, out
+            names = [c.split()[0] for c in (_ROWS if marks is None else _AGAIN).split(", ")]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return step
 
@@ -557,13 +558,9 @@ def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     """
     marks = Marks.of(pairs.select(F.explode(F.array("id", "of_id")).alias("word")))
 
-    def named(batches):
-        for batch in batches:
-            there = marks.has(batch.column("id").to_numpy().view(np.uint64))
-            if there.any():
-                yield batch.filter(pa.array(there))
+    def named(batch: pa.RecordBatch) -> np.ndarray:
+        return marks.has(batch.column("id").to_numpy().view(np.uint64))
 
-    texts = texts.mapInArrow(named, texts.schema)
     per = pairs.groupBy("of_id", "of_line").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("deals"))
     dealt = pairs.join(per, ["of_id", "of_line"]).withColumn("deal", F.pmod(F.xxhash64("id", "line"), F.col("deals")))
     group = [F.col("of_id").alias("g_id"), F.col("of_line").alias("g_line")]
@@ -573,10 +570,10 @@ def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
         F.struct(F.col("of_line").alias("line"), *group, "deal", F.lit(False).alias("late")).alias("one"),
     )
     asked = late.union(early).groupBy(F.col("id").alias("a_id")).agg(F.collect_list("one").alias("asked"))
-    whole = squeezed(texts, "id", "version").join(asked, F.col("id") == F.col("a_id"))
+    whole = squeezed(texts, "id", "version", some=named).join(asked, F.col("id") == F.col("a_id"))
     sets = map_arrow(whole.select("id", "version", "text", "asked"), _asked, _SETS)
     ordered = sets.repartition("g_id", "g_line", "deal").sortWithinPartitions("g_id", "g_line", "deal", "late")
-    return ordered.mapInArrow(partial(_alike, share=share), "id long, line int, version long, of_id long, of_line int")
+    return ordered.mapInArrow(released(partial(_alike, share=share)), "id long, line int, version long, of_id long, of_line int")
 
 
 def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
@@ -589,11 +586,11 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     spark = documents.sparkSession
     ship(spark)
     texts = _texts(documents)
-    survey = cut(texts.mapInArrow(_survey, _SURVEY))
+    survey = cut(texts.mapInArrow(released(_survey), _SURVEY))
     steps = rarity.levels(rarity.summed(survey.where("slice is not null").select("slice", "counts")))
     light = survey.where("slice is null").select("id", "version", "n_lines")
     rows = map_arrow(texts, partial(_rows, share, steps), _ROWS)
-    pairs = cut(_sorted(rows).mapInArrow(partial(_pairs, share=share, keep=EARLIEST), _PAIRS))
+    pairs = cut(_sorted(rows).mapInArrow(released(partial(_pairs, share=share, keep=EARLIEST)), _PAIRS))
     sure = pairs.where("version is not null").select("id", "line", "version", "of_id", "of_line")
     # lines with the very set of an earlier one need no comparison
     known = sure.select("id", "line").distinct()
@@ -610,12 +607,12 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
             break
         # only rows of their words and sizes are sent again, told apart before anything is sent; at its other
         # words such a line has been compared with all that it has there
-        words = failed.select("word", "size").distinct().mapInArrow(partial(reached, share=share), "word long")
-        again = map_arrow(texts, partial(_rows, share, steps, Marks.of(words)), _AGAIN)
+        words = Marks.of(failed.select("word", "size").distinct(), partial(reached, share=share))
+        again = map_arrow(texts, partial(_rows, share, steps, words), _AGAIN)
         none = F.lit(0)
         rest = [none.cast("long").alias(name) for name in ("tally", "version")] + [F.lit(b"").alias(WIDE)]
         asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *rest)
-        pairs = cut(_sorted(again.unionByName(asked)).mapInArrow(partial(_pairs, share=share, keep=keep), _PAIRS))
+        pairs = cut(_sorted(again.unionByName(asked)).mapInArrow(released(partial(_pairs, share=share, keep=keep)), _PAIRS))
         near = pairs.select("id", "line", "of_id", "of_line").distinct()
         found = cut(found.union(_verified(texts, near, share)))
         keep *= MORE

@@ -177,3 +177,26 @@ def test_lines_of_one_template_end_in_seconds(spark):
     found = line_dedup.report(rows)
     assert sum(r.n_removed for r in found.collect()) == 99_999
     assert time.time() - start < 90
+
+
+def test_rows_come_block_by_block():
+    """A batch of several blocks of text gives a batch for each, so what a task holds does not grow with its batches."""
+    pick = random.Random(2)
+    texts = [" ".join(f"w{pick.randrange(10**6)}" for _ in range(150_000)) for _ in range(6)]
+    columns = [pa.array(range(6), pa.int64()), pa.array(range(6), pa.int64()), pa.array(texts, pa.large_string())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "version", "text"])
+    steps = np.zeros(1 << 20, np.uint8)
+    found = list(line_dedup._rows(80, steps)(batch))
+    assert len(found) > 1 and all(isinstance(f, pa.RecordBatch) for f in found)
+    one_by_one = [f for k in range(6) for f in line_dedup._rows(80, steps)(batch.slice(k, 1))]
+    keys = ["word", "id", "line", "size", "place"]
+    assert pa.Table.from_batches(found).sort_by([(k, "ascending") for k in keys]) == pa.Table.from_batches(one_by_one).sort_by([(k, "ascending") for k in keys])
+
+
+def test_texts_pass_one_worker_on_their_way_to_comparisons(spark):
+    """Texts are told apart and compressed by one Python step; then lines are cut out, and compared."""
+    texts = line_dedup._texts(spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "x y z")], "doc_id long, text string"))
+    pairs = spark.createDataFrame([(2, 0, 1, 0)], "id long, line int, of_id long, of_line int")
+    found = line_dedup._verified(texts, pairs, 80)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 3
+    assert [(r.id, r.line, r.of_id, r.of_line) for r in found.collect()] == [(2, 0, 1, 0)]
