@@ -3,13 +3,14 @@
 A line is the set of its words. Words are ordered from rare to frequent; two sets of Jaccard similarity of
 at least the threshold have one of their rarest words in common, so each line is sent to as many of its
 rarest words as that takes. There, lines are compared in document order under the length filter, the
-positional filter (what can still be common after the shared word's places) and a bound from 64-bit
+positional filter (what can still be common after the shared word's places) and a bound from 128-bit
 tallies of words; what passes is verified on whole sets. A line is removed if any earlier line is similar to it.
 
 Each line is sent on with its earliest candidates only, so copies of a line by the thousand cost a row
 each and not a pair each. A line whose candidates all fail, and which had more of them, is compared with more of
 them in a second turn, and so on with ever more until none is left that could have missed one, so nothing is lost.
-There, rows have parities of the set's words besides, at least one for each word, which tell sets of any size apart.
+There, rows have parities of the set's words besides, at least one for each word and many more for each of a few,
+which tell sets of any size apart.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ ENOUGH = 64
 HOT = 1 << 16
 #: Candidates of a failing line at one shared word in the second turn, and how many times more in each later one.
 KEPT, MORE = 8, 8
+#: Parities of each word of a set in rows that are sent again, and words of a set up to which it has so many.
+APART, FINE = 32, 64
+#: Candidates that are held at a time while the first few of each line are taken.
+HELD = 1 << 20
 #: Column of further parities in rows that are sent again.
 WIDE = "wide"
 
@@ -77,20 +82,22 @@ class Lines:
         return out
 
     def tallies(self) -> np.ndarray:
-        """How many words fall into each of sixteen buckets, modulo 16, in 64 bits."""
-        bucket = (self.tokens >> np.uint64(60)).astype(np.int64)
-        counts = np.bincount(self.owner * 16 + bucket, minlength=len(self.sizes) * 16).reshape(-1, 16) % 16
-        return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+        """How many words fall into each of 32 buckets, modulo 16, in two columns of 64 bits."""
+        bucket = (self.tokens >> np.uint64(59)).astype(np.int64)
+        counts = np.bincount(self.owner * 32 + bucket, minlength=len(self.sizes) * 32).reshape(-1, 2, 16) % 16
+        return (counts.astype(np.uint64) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
 
     def parities(self, some: np.ndarray, longs: int | None = None) -> pa.Array:
         """Whether an odd number of a set's words falls into each of its buckets, for some lines (ascending).
 
-        The buckets are a power of two, 128 at least and no fewer than the set has words. Half as many come
-        from the first half by exclusive or with the second, so sets with unlike numbers of buckets compare.
+        The buckets are a power of two, 128 at least and no fewer than the set has words; sets of up to ``FINE``
+        words have ``APART`` for each, where hardly two words fall together. Half as many come from the first
+        half by exclusive or with the second, so sets with unlike numbers of buckets compare.
         """
         size = self.sizes[some]
         if longs is None:
-            longs = 1 << np.maximum(np.ceil(np.log2(np.maximum(size, 1) / 64)).astype(np.int64), 1)
+            buckets = np.maximum(np.maximum(size, APART * np.minimum(size, FINE)), 1)
+            longs = 1 << np.maximum(np.ceil(np.log2(buckets / 64)).astype(np.int64), 1)
         longs = np.broadcast_to(longs, len(some))
         offsets = np.concatenate([[0], np.cumsum(longs)])
         owner = np.repeat(np.arange(len(some)), size)
@@ -143,11 +150,13 @@ class Parities:
 
 def tally_gap(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """By how many words sets with these tallies differ at least."""
-    out = np.zeros(len(x), dtype=np.int64)
-    for k in range(0, 64, 4):
-        gap = ((x >> np.uint64(k)) - (y >> np.uint64(k))).astype(np.int64) & 15
-        out += np.minimum(gap, 16 - gap)
-    return out
+    # sixteen counts at a time: differences modulo 16, then the shorter way round, then their sum
+    top, pairs = np.uint64(0x8888888888888888), np.uint64(0x0F0F0F0F0F0F0F0F)
+    gap = ((x | top) - (y & ~top)) ^ ((x ^ ~y) & top)
+    back = (gap & top) >> np.uint64(3)
+    gap = (gap ^ (back * np.uint64(15))) + back
+    gap = (gap & pairs) + ((gap >> np.uint64(4)) & pairs)
+    return ((gap * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
 
 
 _SURVEY = f"id long, version long, n_lines int, {rarity.COUNTS}"
@@ -173,7 +182,8 @@ def _survey(batches):
     yield pa.RecordBatch.from_arrays([*none, pa.array(numbers, pa.int32()), pa.array(raw, pa.binary())], names=names)
 
 
-#: word: rank of a shared word; size and place: of the line's set, of the word in it. Size 0: a line that
+#: word: rank of a shared word; size and place: of the line's set, of the word in it; tally and version: both
+#: tallies of the set. Other rows have the version of the line's document there. Size 0: a line that
 #: repeats an earlier one of its batch, which stands in ``tally`` (document) and ``place`` (line). Size -2: a
 #: line by the 128-bit key of its set, in ``word`` and ``tally``.
 _ROWS = "word long, id long, line int, size int, place int, tally long, version long"
@@ -296,6 +306,7 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
             if marks is not None:
                 kept[kept] = marks.has(banded(rank[by_rank][kept], size[lines.owner[kept]]))
             owner = lines.owner[kept]
+            tallies = lines.tallies().view(np.int64)
             some, row = np.unique(owner, return_inverse=True)
             out.append(
                 (
@@ -304,8 +315,8 @@ def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
                     lines.number[owner].astype(np.int32),
                     size[owner].astype(np.int32),
                     place[kept].astype(np.int32),
-                    lines.tallies()[owner].view(np.int64),
-                    versions[lines.text[owner]] * 0,
+                    tallies[owner, 0],
+                    tallies[owner, 1],
                 )
             )
             columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
@@ -333,12 +344,15 @@ class _Group:
 
     def passes(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of rows x and y of one word, close in size, that the positional and tally filters let through."""
-        size, place, tally = self.rows["size"], self.rows["place"], self.rows["tally"]
+        size, place, tally, second = (self.rows[n] for n in ("size", "place", "tally", "version"))
         a, b, i, j = size[x], size[y], place[x], place[y]
         room = np.minimum(i, j) + np.minimum(a - i, b - j)
         ok = (100 + self.share) * room >= self.share * (a + b)
         x, y, both = x[ok], y[ok], (a + b)[ok]
-        ok = (100 + self.share) * (both - tally_gap(tally[x], tally[y])) >= 2 * self.share * both
+        gap = tally_gap(tally[x], tally[y])
+        ok = (100 + self.share) * (both - gap) >= 2 * self.share * both
+        x, y, both, gap = x[ok], y[ok], both[ok], gap[ok]
+        ok = (100 + self.share) * (both - gap - tally_gap(second[x], second[y])) >= 2 * self.share * both
         x, y, both = x[ok], y[ok], both[ok]
         if self.wide is not None:
             ok = (100 + self.share) * (both - self.wide.gap(x, y)) >= 2 * self.share * both
@@ -360,28 +374,50 @@ class _Group:
         key = group * base + size
         low = np.searchsorted(key, group * base + (self.share * size + 99) // 100)
         high = np.searchsorted(key, group * base + np.minimum(100 * size // self.share, base - 1), side="right")
-        found, have = [], np.zeros(n, dtype=np.int64)
+        # rows by document and line; rows of one line have one turn
+        order = np.lexsort((line, i))
+        new = np.ones(n, dtype=bool)
+        new[1:] = (i[order][1:] != i[order][:-1]) | (line[order][1:] != line[order][:-1])
+        turn = np.empty(n, dtype=np.int64)
+        turn[order] = np.cumsum(new) - 1
+        row_of = order[new]
         live = np.arange(n) if self.wanted is None else np.flatnonzero(self.wanted)
-        for lag in range(1, n):
+        step = max(1, HELD // (self.enough if self.keep > 1 else 1))
+        out = [self._earliest(live[k : k + step], low, high, turn) for k in range(0, len(live), step)]
+        if not out:
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0, bool)
+        first, y, more = (np.concatenate(c) for c in zip(*out, strict=True))
+        return row_of[first], y, more
+
+    def _earliest(self, asking: np.ndarray, low: np.ndarray, high: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The turns of the first ``keep`` candidates of some rows, these rows, and whether they have more candidates."""
+        found, have, live = [], np.zeros(len(turn), dtype=np.int64), asking
+        best = np.full(len(turn), len(turn))
+        for lag in range(1, len(turn)):
             live = live[(live - lag >= low[live]) | (live + lag < high[live])]
             live = live[have[live] < self.enough]
             if not len(live):
                 break
             left, right = live[live - lag >= low[live]], live[live + lag < high[live]]
             x, y = np.concatenate([left - lag, right + lag]), np.concatenate([left, right])
-            earlier = (i[x] < i[y]) | ((i[x] == i[y]) & (line[x] < line[y]))
+            earlier = turn[x] < turn[y]
             x, y = self.passes(x[earlier], y[earlier])
+            if not len(x):
+                continue
             np.add.at(have, y, 1)
-            if len(x):
-                found.append((x, y))
+            if self.keep > 1:
+                found.append((turn[x], y))
+            else:  # nothing is held but the earliest
+                np.minimum.at(best, y, turn[x])
+        if self.keep == 1:
+            y = asking[have[asking] > 0]
+            return best[y], y, have[y] > 1
         if not found:
-            none = np.zeros(0, np.int64)
-            return none, none, np.zeros(0, bool)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-        order = np.lexsort((line[x], i[x], y))
+        order = np.lexsort((x, y))
         x, y = x[order], y[order]
-        if not len(y):
-            return x, y, np.zeros(0, bool)
         new = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
         count = np.diff(np.append(new, len(y)))
         first = np.arange(len(y)) - np.repeat(new, count) < self.keep
@@ -445,7 +481,7 @@ def _pairs(batches, share: int, keep: int):
                 rows["id"][sure], rows["line"][sure], rows["tally"][sure], rows["place"][sure], rows["version"][sure]
             )
         rest = {k: v[~sure] for k, v in rows.items()}
-        rest["tally"] = rest["tally"].view(np.uint64)
+        rest |= {n: rest[n].view(np.uint64) for n in ("tally", "version")}
         x, y, more = _Group(rest, share, keep).pairs()
         if len(x):
             yield _pair_batch(rest["id"][y], rest["line"][y], rest["id"][x], rest["line"][x], None, more, rest["word"][y], rest["size"][y])
@@ -596,7 +632,7 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     known = sure.select("id", "line").distinct()
     open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
     found = cut(sure.union(_verified(texts, cut(open_), share)))
-    keep = KEPT
+    keep, sent = KEPT, None
     while True:
         # lines whose candidates all failed, but which had more
         failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
@@ -607,8 +643,12 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
             break
         # only rows of their words and sizes are sent again, told apart before anything is sent; at its other
         # words such a line has been compared with all that it has there
-        words = Marks.of(failed.select("word", "size").distinct(), partial(reached, share=share))
-        again = map_arrow(texts, partial(_rows, share, steps, words), _AGAIN)
+        if sent is None:
+            words = Marks.of(failed.select("word", "size").distinct(), partial(reached, share=share))
+            sent = f"{shared_folder(spark)}/rows-{uuid.uuid4()}"
+            map_arrow(texts, partial(_rows, share, steps, words), _AGAIN).write.parquet(sent)
+        # lines that fail once more have done so at the same words: the texts are read no further time
+        again = spark.read.schema(_AGAIN).parquet(sent).join(failed.select("word").distinct(), "word", "left_semi")
         none = F.lit(0)
         rest = [none.cast("long").alias(name) for name in ("tally", "version")] + [F.lit(b"").alias(WIDE)]
         asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *rest)

@@ -1,6 +1,7 @@
 import random
 import re
 import time
+import tracemalloc
 from functools import partial
 
 
@@ -200,3 +201,37 @@ def test_texts_pass_one_worker_on_their_way_to_comparisons(spark):
     found = line_dedup._verified(texts, pairs, 80)
     assert found._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 3
     assert [(r.id, r.line, r.of_id, r.of_line) for r in found.collect()] == [(2, 0, 1, 0)]
+
+
+def test_strangers_of_a_hundred_words_are_told_apart_in_the_first_turn():
+    """Sets of one language with a sixth in common: a bound of 64 bits let a twelfth of their pairs through."""
+    rng = np.random.default_rng(8)
+    sets = [set(rng.choice(400, 130, replace=False).tolist()) for _ in range(300)]
+    lines = line_dedup.Lines(pa.array([" ".join(f"w{k}" for k in s) for s in sets], pa.large_string()))
+    n, tallies = len(sets), lines.tallies()
+    rows = {"word": np.zeros(n, np.int64), "id": np.arange(n), "line": np.zeros(n, np.int32), "size": lines.sizes.astype(np.int32)}
+    rows |= {"place": np.zeros(n, np.int32), "tally": tallies[:, 0].view(np.int64), "version": tallies[:, 1].view(np.int64)}
+    batch = pa.RecordBatch.from_pydict(rows)
+    assert sum(found.num_rows for found in line_dedup._pairs([batch], 80, 1)) <= 3
+
+
+def test_candidates_that_are_counted_are_not_held():
+    """4,000 equal rows of one word: the earliest of each is found without 64 pairs a row in memory."""
+    n = 4000
+    rows = {"word": np.zeros(n, np.int64), "id": np.arange(n)[::-1].copy(), "line": np.zeros(n, np.int32), "size": np.full(n, 10, np.int32)}
+    rows |= {name: np.zeros(n, np.int32) for name in ("place",)} | {name: np.zeros(n, np.uint64) for name in ("tally", "version")}
+    tracemalloc.start()
+    x, y, more = line_dedup._Group(rows, 80, 1).pairs()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(y) == n - 1 and (rows["id"][x] < rows["id"][y]).all() and more.sum() == n - 2
+    assert peak < 2 << 20
+
+
+def test_near_misses_do_not_pass_the_later_turns():
+    """Lines of 30 words with 26 in common (similarity 76): none is sent to a comparison."""
+    base = [f"x{k}" for k in range(26)]
+    lines = line_dedup.Lines(pa.array([" ".join(base + [f"y{i}a{k}" for k in range(4)]) for i in range(200)], pa.large_string()))
+    found = line_dedup.Parities(np.array(lines.parities(np.arange(200)).to_pylist(), dtype=object))
+    x, y = np.triu_indices(200, 1)
+    assert (180 * (60 - found.gap(x, y)) >= 160 * 60).mean() < 0.1
