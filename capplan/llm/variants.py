@@ -33,6 +33,8 @@ ONE_OF = 31
 #: Words of a cell, and states of a search that are worked on at a time.
 CELL = 1 << 16
 STATES = 1 << 16
+#: Places of a trie's level in which children are looked up without a search.
+CHILDREN = 1 << 20
 #: Coarse groups at most, and groups of the trie within a cell.
 COARSE = 6
 FINE = 24
@@ -153,13 +155,20 @@ class Trie:
         ordered = counts[self.order]
         self.base = int(counts.max(initial=0)) + 2
         node = np.zeros(len(ordered), dtype=np.int64)
-        self.edges = []
+        self.edges: list[np.ndarray] = []
+        self.children: list[np.ndarray | None] = []
         for level in range(counts.shape[1]):
             # children in order of (parent, count); a child's number is its place among them
             key = node * self.base + ordered[:, level]
             new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
             self.edges.append(key[new])
+            room = (int(node[-1]) + 1) * self.base if len(node) else 0
             node = np.cumsum(new) - 1
+            # a child by its parent and count, at once where there is room for all counts, else by a search
+            child = np.full(room, -1, dtype=np.int32) if room <= CHILDREN else None
+            if child is not None:
+                child[key[new]] = np.arange(len(self.edges[-1]))
+            self.children.append(child)
         self.leaf_starts = np.searchsorted(node, np.arange(int(node[-1]) + 2 if len(node) else 1))
 
     def search(self, counts: np.ndarray, states: int = STATES):
@@ -175,7 +184,7 @@ class Trie:
                 inner = np.arange(leaves.sum()) - np.repeat(np.cumsum(leaves) - leaves, leaves)
                 yield asking, self.order[np.repeat(self.leaf_starts[node], leaves) + inner]
                 continue
-            edges, want = self.edges[level], counts[word, level]
+            edges, child, want = self.edges[level], self.children[level], counts[word, level]
             words, nodes, spents = [], [], []
             # spent: 1 for the surplus, 2 for the deficit
             for change, cost in ((0, 0), (1, 1), (-1, 2)):
@@ -183,8 +192,12 @@ class Trie:
                 count = want[may] + change
                 may, count = may[(count >= 0) & (count < self.base)], count[(count >= 0) & (count < self.base)]
                 key = node[may] * self.base + count
-                at = np.searchsorted(edges, key)
-                hit = edges[np.minimum(at, len(edges) - 1)] == key
+                if child is None:
+                    at = np.searchsorted(edges, key)
+                    hit = edges[np.minimum(at, len(edges) - 1)] == key
+                else:
+                    at = child[key]
+                    hit = at >= 0
                 words.append(word[may[hit]]), nodes.append(at[hit]), spents.append(spent[may[hit]] | cost)
             word, node, spent = (np.concatenate(c) for c in (words, nodes, spents))
             for k in range(0, len(word), states):

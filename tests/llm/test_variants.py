@@ -115,3 +115,23 @@ def test_odd_input(spark, odd, none):
     found = variants.group_variants(odd, min_length=1)
     assert sorted(tuple(r) for r in found.select("word", "n", "n_near", "form", "form_n", "root").collect()) == brute(rows, min_length=1)
     assert variants.group_variants(none).count() == 0
+
+
+def test_children_are_looked_up_without_a_search(monkeypatch):
+    """The same pairs with tables of children and by searches, which tables do without."""
+    rng = np.random.default_rng(5)
+    words = sorted({"".join(rng.choice(list("abcdefgh"), rng.integers(7, 10))) for _ in range(3000)})
+    letters = variants.Letters(words)
+    counts = letters.counts(variants._FINE, variants.FINE)
+
+    def found(trie):
+        return {(int(i), int(j)) for x, y in trie.search(counts, 500) for i, j in zip(x, y, strict=True)}
+
+    tables = variants.Trie(counts)
+    with monkeypatch.context() as patch:
+        patch.setattr(variants, "CHILDREN", 0)
+        searched = variants.Trie(counts)
+    wanted = found(searched)
+    assert all(c is None for c in searched.children) and len(wanted) > len(words)
+    monkeypatch.setattr(variants.np, "searchsorted", None)
+    assert found(tables) == wanted
