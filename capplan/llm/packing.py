@@ -12,12 +12,15 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
 from collections import defaultdict
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +31,25 @@ CAPACITY = 2048
 SHARD = 8192
 #: Populations per shard, packings in each, exchanges of the best, and crossovers between two exchanges.
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 2, 4, 2, 24
-#: Words whose ids a task remembers.
-REMEMBERED = 300_000
+#: Runs of letters whose ids a task remembers, and as many words of another kind.
+REMEMBERED = 500_000
 
 
 #: Signs after a word that make one token run of their own (an apostrophe may join the word instead).
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
+class _Known(dict):
+    """Ids of runs or words; one that is looked up for the first time is encoded."""
+
+    def __init__(self, missing: Callable[[str], bytes]):
+        self.missing = missing
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self[run] = self.missing(run)
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE tokenizer file, each distinct word encoded once while remembered.
 
@@ -50,91 +64,122 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.bytes_of = [_packed([i]) for i in range(self.tokenizer.get_vocab_size())]
+        # runs after a space and without one, and words of another kind
+        self.spaced, self.bare, self.words = _Known(self._spaced), _Known(self._run), _Known(self._word)
         # the printable characters that stand for bytes in the vocabulary
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: 256 + hidden.index(b) if b in hidden else b for b in range(256)}
         self.space = chr(self.letters[32])
         self.newline = _packed([self.tokenizer.token_to_id(chr(self.letters[10]))])
+        # a word's second run by the byte of its sign, none at 0
+        self.signs = [self._run(chr(b)) if chr(b) in _SIGNS else b"" for b in range(128)]
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [_packed(e.ids) for e in found]
 
-    def _run(self, run: str, space: bool) -> bytes:
+    def _run(self, run: str, space: str = "") -> bytes:
         """The ids of one run of letters or of signs, with a space before it or not."""
         shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
-        return _packed([t.id for t in self.model.tokenize(self.space + shown if space else shown)])
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(space + shown)])
+
+    def _spaced(self, run: str) -> bytes:
+        return self._run(run, self.space)
 
-    def _simple(self, word: str, space: bool) -> bytes | None:
+    def _simple(self, word: str, runs: _Known) -> bytes | None:
         """The ids of letters and signs after them; None for anything else."""
         core = word.rstrip(_SIGNS)
         if not core.isalpha():
             return None
-        cores, key = self.cores, core if space else "\n" + core
-        ids = cores.get(key)
-        if ids is None:
-            ids = cores[key] = self._run(core, space)
-        signs = word[len(core) :]
-        if not signs:
-            return ids
-        tail = cores.get(signs)
-        if tail is None:
-            tail = cores[signs] = self._run(signs, False)
-        return ids + tail
-
-    def _learn(self, words: set[str]) -> None:
-        """Remembers the ids of words that follow a space."""
-        rest, known, old = [], self.known, self.old
-        for word in words:
-            ids = old.get(word)
-            if ids is None:
-                first, *lines = word.split("\n")
-                found = [self._simple(first, True), *[self._simple(line, False) for line in lines]]
-                if None in found:
-                    rest.append(word)
-                    continue
-                ids = self.newline.join(found)
-            known[word] = ids
-        for at in range(0, len(rest), 4096):
-            part = rest[at : at + 4096]
-            known.update(zip(part, self._encode([" " + w for w in part]), strict=True))
+        return runs[core] + self.bare[word[len(core) :]] if len(core) < len(word) else runs[core]
+
+    def _word(self, word: str) -> bytes:
+        """The ids of any word that follows a space."""
+        first, *lines = word.split("\n")
+        found = [self._simple(first, self.spaced), *[self._simple(line, self.bare) for line in lines]]
+        return self._encode([" " + word])[0] if None in found else self.newline.join(found)
+
+    def _runs(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of runs, and for each word that follows a space its two runs; the second of 0 is none.
+
+        Letters of ASCII with at most one sign after them share their runs, other words are a run of their own.
+        """
+        core = pc.utf8_rtrim(words, _SIGNS)
+        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset + 1 : words.offset + len(words) + 1]
+        sign = np.asarray(pc.binary_length(words)) - np.asarray(pc.binary_length(core))
+        simple = np.asarray(pc.ascii_is_alpha(core)) & (sign <= 1)
+        cores = core.filter(pa.array(simple)).dictionary_encode()
+        odd = words.filter(pa.array(~simple))
+        ids = [*self.signs, *map(self.spaced.__getitem__, _strings(cores.dictionary)), *map(self.words.__getitem__, _strings(odd))]
+        first, second = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        first[simple] = len(self.signs) + cores.indices.to_numpy()
+        first[~simple] = len(ids) - len(odd) + np.arange(len(odd))
+        signed = np.flatnonzero(simple & (sign == 1))
+        if len(signed):
+            second[signed] = np.frombuffer(words.buffers()[2], np.uint8)[ends[signed] - 1]
+        return ids, first, second
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        known, split = self.known, [_parts(t) for t in texts]
-        heads = self._encode([p.pop(0) for p in split])
-        words = set().union(*split)
-        self._learn(words - known.keys())
-        out = [h + b"".join(map(known.__getitem__, p)) for h, p in zip(heads, split, strict=True)]
-        if len(known) > REMEMBERED:  # words not met again before the next turn are forgotten
-            self.known, self.old = {}, known
-        if len(self.cores) > REMEMBERED:
-            self.cores = {}
+        if not texts:
+            return []
+        order, parts = _split(texts)
+        bounds = parts.offsets.to_numpy()
+        coded = parts.values.dictionary_encode()
+        code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        head = np.zeros(len(code), dtype=bool)
+        head[bounds[:-1]] = True
+        heads = self._encode(parts.values.filter(pa.array(head)).to_pylist())
+        # the first part of a text follows no space
+        used, number = np.unique(code[~head], return_inverse=True)
+        ids, first, second = self._runs(words.take(pa.array(used)))
+        runs = np.zeros((len(code), 2), dtype=np.int64)
+        runs[~head, 0], runs[~head, 1] = first[number], second[number]
+        runs[head, 0] = len(ids) + np.arange(len(heads))
+        ids += heads
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = length[runs].reshape(-1)
+        ends = np.cumsum(n)
+        start = (np.cumsum(length) - length)[runs].reshape(-1) - (ends - n)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")[np.repeat(start, n) + np.arange(ends[-1])]
+        out, edges = [b""] * len(texts), [0, *ends[2 * bounds[1:].astype(np.int64) - 1].tolist()]
+        for k, s, e in zip(order, edges[:-1], edges[1:], strict=True):
+            out[k] = flat[s:e].tobytes()
+        for known in (self.spaced, self.bare, self.words):
+            if len(known) > REMEMBERED:
+                known.clear()
         return out
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-#: The white space of ASCII, as ``str.isspace`` has it, and where some stands before a space.
+#: The white space of ASCII and all other, as ``str.isspace`` has it, and where some of ASCII stands before a space.
 _BLANK = "".join(c for c in map(chr, range(128)) if c.isspace())
+_WIDE = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isspace())
 _GAPS = [c + " " for c in _BLANK]
 
 
+def _plain(text: str) -> bool:
+    """Whether every space of the text stands between characters that aren't white space, and none at its ends."""
+    if text[:1] in _BLANK or text[-1:] in _BLANK or any(gap in text for gap in _GAPS):
+        return False
+    return text.isascii() or not (text[-1] in _WIDE or any(c in text and c + " " in text for c in _WIDE))
+
+
 def _parts(text: str) -> list[str]:
     """The text cut before single spaces, without those spaces."""
     parts = text.split(" ")
-    if text.isascii():
-        plain = not (text[:1] in _BLANK or text[-1:] in _BLANK or any(gap in text for gap in _GAPS))
-    else:
-        plain = "" not in parts and not any(map(_open, parts))
-    if plain:
+    if _plain(text):
         return parts
     out, held = [], None
     for part in parts:
@@ -147,8 +192,12 @@ def _parts(text: str) -> list[str]:
     return out
 
 
-def _open(part: str) -> bool:
-    return part[-1:].isspace()
+def _split(texts: list[str]) -> tuple[list[int], pa.ListArray]:
+    """The parts of all texts, plain texts first, and the number of the text for each list of parts."""
+    odd = [k for k, t in enumerate(texts) if not _plain(t)]
+    rest = sorted({*range(len(texts))}.difference(odd))
+    plain = pc.split_pattern(pa.array([texts[k] for k in rest], pa.large_string()), " ")
+    return rest + odd, pa.concat_arrays([plain, pa.array([_parts(texts[k]) for k in odd], plain.type)])
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -97,3 +97,20 @@ def test_parts_of_plain_texts_are_those_of_the_rule():
         assert all(part and not part[-1].isspace() for part in found[:-1]) or not text.strip(), (text, found)
         if not re.search(r"\s( |$)|^ ", text) and not text[-1:].isspace() and text:
             assert found == text.split(" ")
+
+
+def test_a_run_of_letters_is_encoded_once_whatever_follows_it(tokenizer, monkeypatch):
+    pick = random.Random(4)
+    cores, tails = ["was", "Erewhon", "theand", "café", "it's", "x1"], ["", ".", ",", "?!", "\nthe", " ", ")"]
+    texts = [" ".join(pick.choice(cores) + pick.choice(tails) for _ in range(pick.randint(0, 12))) for _ in range(600)]
+    monkeypatch.setattr(packing, "REMEMBERED", 2)  # forgotten again and again
+    encoder = packing.Encoder(tokenizer_file())
+    for at in range(0, len(texts), 50):
+        part = texts[at : at + 50]
+        for text, ids in zip(part, encoder.texts(part), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    monkeypatch.undo()
+    encoder, met = packing.Encoder(tokenizer_file()), []
+    encoder.tokenize = lambda run, f=encoder.tokenize: met.append(run) or f(run)
+    encoder.texts(["a theand theand. theand, theand) theand", "b theand: was"])
+    assert sorted(met) == ["Ġtheand", "Ġwas"]
