@@ -213,6 +213,10 @@ class Marks:
     def __init__(self, bits: np.ndarray | None = None):
         self.bits = np.zeros(1 << (self.BITS - 3), np.uint8) if bits is None else bits
 
+    def __reduce__(self):
+        """Travels to tasks compressed: with few words in it, it takes a few KB there and not 4 MB a stage."""
+        return _unpacked, (zlib.compress(self.bits.tobytes(), 1),)
+
     def _places(self, words: np.ndarray):
         for salt in (0xA4093822299F31D0, 0x082EFA98EC4E6C89):
             yield (scramble(words ^ np.uint64(salt)) >> np.uint64(64 - self.BITS)).astype(np.int64)
@@ -253,6 +257,10 @@ class Marks:
         return cls(out.reshape(-1))
 
 
+def _unpacked(raw: bytes) -> Marks:
+    return Marks(np.frombuffer(zlib.decompress(raw), np.uint8))
+
+
 def _rows(share: int, steps: np.ndarray, marks: Marks | None = None):
     """Rows of shared words; with ``marks`` only those of marked words, wider and without certain repeats."""
 
@@ -586,6 +594,13 @@ def _sorted(rows: DataFrame) -> DataFrame:
     return rows.repartition("word").sortWithinPartitions("word", "size", "id", "line")
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """Computes rows once into the shared folder; small files are read together, so few rows make few tasks."""
+    folder = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4()}"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     """The pairs whose sets are similar enough, with the version of the later line's document.
 
@@ -605,7 +620,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
         F.col("of_id").alias("id"),
         F.struct(F.col("of_line").alias("line"), *group, "deal", F.lit(False).alias("late")).alias("one"),
     )
-    asked = late.union(early).groupBy(F.col("id").alias("a_id")).agg(F.collect_list("one").alias("asked"))
+    asked = late.union(early).groupBy(F.col("id").alias("a_id")).agg(F.collect_set("one").alias("asked"))
     whole = squeezed(texts, "id", "version", some=named).join(asked, F.col("id") == F.col("a_id"))
     sets = map_arrow(whole.select("id", "version", "text", "asked"), _asked, _SETS)
     ordered = sets.repartition("g_id", "g_line", "deal").sortWithinPartitions("g_id", "g_line", "deal", "late")
@@ -626,35 +641,32 @@ def repeated_lines(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame,
     steps = rarity.levels(rarity.summed(survey.where("slice is not null").select("slice", "counts")))
     light = survey.where("slice is null").select("id", "version", "n_lines")
     rows = map_arrow(texts, partial(_rows, share, steps), _ROWS)
-    pairs = cut(_sorted(rows).mapInArrow(released(partial(_pairs, share=share, keep=EARLIEST)), _PAIRS))
+    pairs = _stored(_sorted(rows).mapInArrow(released(partial(_pairs, share=share, keep=EARLIEST)), _PAIRS), "pairs")
     sure = pairs.where("version is not null").select("id", "line", "version", "of_id", "of_line")
     # lines with the very set of an earlier one need no comparison
     known = sure.select("id", "line").distinct()
     open_ = pairs.where("version is null").select("id", "line", "of_id", "of_line").distinct().join(known, ["id", "line"], "left_anti")
-    found = cut(sure.union(_verified(texts, cut(open_), share)))
+    found = sure.union(_stored(_verified(texts, _stored(open_, "open"), share), "found"))
     keep, sent = KEPT, None
     while True:
         # lines whose candidates all failed, but which had more
-        failed = pairs.where("more").join(found.select("id", "line").distinct(), ["id", "line"], "left_anti")
-        folder = f"{shared_folder(spark)}/lines-{uuid.uuid4()}"
-        failed.select("id", "line", "word", "size").distinct().write.parquet(folder)
-        failed = spark.read.parquet(folder)
+        failed = pairs.where("more").join(found.select("id", "line"), ["id", "line"], "left_anti")
+        failed = _stored(failed.select("id", "line", "word", "size").distinct(), "lines")
         if failed.first() is None:
             break
         # only rows of their words and sizes are sent again, told apart before anything is sent; at its other
         # words such a line has been compared with all that it has there
         if sent is None:
             words = Marks.of(failed.select("word", "size").distinct(), partial(reached, share=share))
-            sent = f"{shared_folder(spark)}/rows-{uuid.uuid4()}"
-            map_arrow(texts, partial(_rows, share, steps, words), _AGAIN).write.parquet(sent)
+            sent = _stored(map_arrow(texts, partial(_rows, share, steps, words), _AGAIN), "rows")
         # lines that fail once more have done so at the same words: the texts are read no further time
-        again = spark.read.schema(_AGAIN).parquet(sent).join(failed.select("word").distinct(), "word", "left_semi")
+        again = sent.join(failed.select("word").distinct(), "word", "left_semi")
         none = F.lit(0)
         rest = [none.cast("long").alias(name) for name in ("tally", "version")] + [F.lit(b"").alias(WIDE)]
         asked = failed.select("word", "id", "line", F.lit(WANTED).alias("size"), none.alias("place"), *rest)
-        pairs = cut(_sorted(again.unionByName(asked)).mapInArrow(released(partial(_pairs, share=share, keep=keep)), _PAIRS))
-        near = pairs.select("id", "line", "of_id", "of_line").distinct()
-        found = cut(found.union(_verified(texts, near, share)))
+        pairs = _stored(_sorted(again.unionByName(asked)).mapInArrow(released(partial(_pairs, share=share, keep=keep)), _PAIRS), "pairs")
+        near = _verified(texts, pairs.select("id", "line", "of_id", "of_line"), share)
+        found = found.union(_stored(near, "found"))
         keep *= MORE
     early = F.min(F.struct("of_id", "of_line"))
     removed = found.groupBy("id", "line", "version").agg(early.alias("of"))

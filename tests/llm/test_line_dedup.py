@@ -1,3 +1,4 @@
+import pickle
 import random
 import re
 import time
@@ -235,3 +236,13 @@ def test_near_misses_do_not_pass_the_later_turns():
     found = line_dedup.Parities(np.array(lines.parities(np.arange(200)).to_pylist(), dtype=object))
     x, y = np.triu_indices(200, 1)
     assert (180 * (60 - found.gap(x, y)) >= 160 * 60).mean() < 0.1
+
+
+def test_marks_travel_small():
+    """A filter of few words must not cost each stage that uses it 4 MB on every executor's disk."""
+    words = line_dedup.scramble(np.arange(1000, dtype=np.uint64))
+    marks = line_dedup.Marks()
+    marks.add(words)
+    raw = pickle.dumps(marks)
+    assert len(raw) < 100_000
+    assert (pickle.loads(raw).bits == marks.bits).all() and pickle.loads(raw).has(words).all()
