@@ -1,9 +1,9 @@
 """N-gram Jaccard join: which documents are linked, directly or through others, by similar sets of word shingles.
 
 Exact, in four steps. (1) Every document becomes its set of distinct three-word shingles; documents with
-equal sets are one node from there on. (2) Two sets that are similar enough share one of their rarest
-shingles, so nodes are brought together by those, in order of size; where sizes allow a link, they go into
-one candidate family. (3) Every node's signature goes to its family, where the dual traversal of a
+equal sets are one node from there on. (2) Two sets that are similar enough differ in few tokens; dealt into
+more parts than that, they are equal in one, so nodes are brought together by keys of their parts and go into
+one candidate family. Unlike a rare shingle, a part is hardly ever shared by sets that are far from similar. (3) Every node's signature goes to its family, where the dual traversal of a
 signature tree leaves the nodes that may be linked; then whole sets of those go the same way, and the
 traversal verifies. A family too large for one task is dealt into blocks, and pairs of blocks are traversed.
 (4) Components of the links found give the smallest reachable id.
@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from capplan.llm import rarity
 from capplan.llm.common import OWN, Words, blocks, cut, expanded, map_arrow, mix, released, scramble, ship, squeezed
@@ -30,7 +29,7 @@ SHINGLE, SHARE = 3, 90
 BLOCK = 8192
 #: Parts into which the nodes of a component are dealt to be told its smallest id.
 DEALS = 16
-#: Rows of one rare shingle beyond which it is dealt over several tasks.
+#: Rows of one key beyond which it is dealt over several tasks.
 HOT = 1 << 16
 
 
@@ -76,57 +75,125 @@ def set_keys(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
-_SURVEY = f"doc_id long, key long, size long, k1 long, k2 long, signature binary, {rarity.COUNTS}"
+def _classes(share: int, largest: int) -> np.ndarray:
+    """Least sizes of the classes of sets: all sizes up to the largest, each class a quarter wider than it begins, or as wide as links reach."""
+    edges = [1]
+    while edges[-1] <= largest:
+        edges.append(max(edges[-1] + 1, edges[-1] * max(125, 10000 // share) // 100))
+    return np.array(edges)
 
 
-def _survey(batches, n: int):
-    """Per document its set's size, key and signature; at the end of the task, the counts of its shingles."""
+def part_keys(tokens: np.ndarray, starts: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which similar sets have one in common, and where each set's begin and the last end.
+
+    Sets of a and b tokens that are similar enough differ in at most ``(a + b) * (100 - share) / (100 + share)``
+    tokens. Where tokens are dealt by value into one part more than that, such sets are equal in some part: a
+    part's key stands for its tokens. The number of parts goes by the class of the larger set, so a set also has
+    the keys of classes above its own that sets similar to it may be in.
+    """
+    size = np.diff(starts)
+    edges = _classes(share, 100 * int(size.max(initial=0)) // share)
+    parts = np.append(2 * (edges[1:] - 1) * (100 - share) // (100 + share) + 1, 0)
+    own = np.searchsorted(edges, size, side="right") - 1
+    top = np.searchsorted(edges, 100 * size // share, side="right") - 1
+    spread = scramble(tokens ^ np.uint64(0x452821E638D01377))
+    owner = np.repeat(np.arange(len(size)), size)
+    keys, sets = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for up in range(int((top - own).max(initial=0)) + 1):
+        some = (size > 0) & (own + up <= top)
+        of = np.where(some, own + up, 0)
+        many = np.where(some, parts[of], 0)
+        first = np.concatenate([[0], np.cumsum(many)])
+        mine = np.flatnonzero(some[owner])
+        # tokens of a set ascend, and so do their parts
+        part = ((tokens[mine] >> np.uint64(32)) * many[owner[mine]].astype(np.uint64)) >> np.uint64(32)
+        flat = first[owner[mine]] + part.astype(np.int64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread[mine])])
+        ends = np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=int(first[-1])))])
+        belongs = np.repeat(np.arange(len(size)), many)
+        number = np.arange(len(belongs)) - first[belongs]
+        name = scramble((of[belongs].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64) + np.uint64(1))
+        keys.append(scramble(sums[ends[1:]] - sums[ends[:-1]] + name))
+        sets.append(belongs)
+    keys, sets = np.concatenate(keys), np.concatenate(sets)
+    order = np.argsort(sets, kind="stable")
+    return keys[order], np.searchsorted(sets[order], np.arange(len(size) + 1))
+
+
+_SURVEY = f"doc_id long, key long, size long, k1 long, k2 long, signature binary, parts binary, {rarity.COUNTS}"
+
+
+def _survey(batches, n: int, share: int):
+    """Per document its set's size, key, signature and keys of parts; at the end of the task, how many have these."""
     counter = rarity.Counter()
     names = [c.split()[0] for c in _SURVEY.split(", ")]
+    seen: set[int] = set()  # sets of this task, whose parts are given once
     for batch in batches:
         for block in blocks(batch):
             tokens, starts = shingle_sets(block.column("text"), n)
-            counter.add(tokens)
             k1, k2 = set_keys(tokens, starts)
+            keys, bounds = part_keys(tokens, starts, share)
+            parts: list[bytes | None] = [None] * len(k1)
+            for i, key in enumerate(k1.tolist()):
+                if bounds[i] < bounds[i + 1] and key not in seen:
+                    seen.add(key)
+                    parts[i] = keys[bounds[i] : bounds[i + 1]].tobytes()
+            counter.add(np.frombuffer(b"".join(p for p in parts if p is not None), dtype=np.uint64))
             none = pa.nulls(len(k1), pa.int32()), pa.nulls(len(k1), pa.binary())
             signed = pa.array([s.tobytes() for s in signatures(tokens, starts)], pa.binary())
-            columns = [block.column("doc_id"), block.column("key"), *map(pa.array, (np.diff(starts), k1, k2)), signed, *none]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [block.column("doc_id"), block.column("key"), *map(pa.array, (np.diff(starts), k1, k2))]
+            yield pa.RecordBatch.from_arrays([*columns, signed, pa.array(parts, pa.binary()), *none], names=names)
     rows = counter.rows()
-    none = [pa.nulls(len(rows), pa.int64())] * 5 + [pa.nulls(len(rows), pa.binary())]
+    none = [pa.nulls(len(rows), pa.int64())] * 5 + [pa.nulls(len(rows), pa.binary())] * 2
     numbers, raw = zip(*rows, strict=True)
     yield pa.RecordBatch.from_arrays([*none, pa.array(numbers, pa.int32()), pa.array(raw, pa.binary())], names=names)
 
 
-def _prefixes(n: int, share: int, steps: np.ndarray):
-    """The rarest shingles of each set, as many as make sure that similar sets have one in common."""
-    seen: set[int] = set()  # sets of this task, each given once
+_PARTS = "s long, deal int, id long"
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        out = []
-        for block in blocks(batch):
-            tokens, starts = shingle_sets(block.column("text"), n)
-            k1, k2 = set_keys(tokens, starts)
-            size = np.diff(starts)
-            new = np.zeros(len(size), dtype=bool)
-            for i, key in enumerate(k1.tolist()):
-                if size[i] and key not in seen:
-                    seen.add(key)
-                    new[i] = True
-            owner = np.repeat(np.arange(len(size)), size)
-            rank = rarity.ranked(tokens, steps)
-            order = np.lexsort((rank, owner))
-            place = np.arange(len(order)) - starts[:-1][owner]
-            length = size - (share * size + 99) // 100 + 1
-            kept = (place < length[owner]) & new[owner]
-            owner, rank = owner[kept], rank[order][kept]
-            out.append((rank.view(np.int64), k1[owner], k2[owner], size[owner].astype(np.int32)))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["s", "k1", "k2", "size"])
+
+def _parts(steps: np.ndarray, hot: int):
+    """A row for each key of a set; those of a key that very many may have are dealt, from 1 on."""
+
+    def step(batch: pa.RecordBatch):
+        for block in blocks(batch, "parts"):
+            raw = block.column("parts").to_pylist()
+            keys = np.frombuffer(b"".join(raw), dtype=np.uint64)
+            ids = np.repeat(block.column("id").to_numpy(), [len(r) // 8 for r in raw])
+            level = steps[(keys >> np.uint64(64 - rarity.BITS)).astype(np.int64)]
+            deals = (np.exp2(level / 8.0) / hot).astype(np.int64) + 1
+            deal = np.where(deals > 1, 1 + (scramble(ids.view(np.uint64)) >> np.uint64(1)).astype(np.int64) % deals, 0)
+            columns = keys.view(np.int64), deal.astype(np.int32), ids
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["s", "deal", "id"])
 
     return step
 
 
+_EDGES = "a long, b long, hot long"
+
+
+def _stars(batches):
+    """Edges of each node to the first of its key and deal; input sorted by those. Of dealt keys, that node with the key."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        s, deal, ids = (batch.column(c).to_numpy() for c in ("s", "deal", "id"))
+        new = np.ones(len(s), dtype=bool)
+        new[1:] = (s[1:] != s[:-1]) | (deal[1:] != deal[:-1])
+        new[0] = last is None or last[:2] != (s[0], deal[0])
+        at = np.flatnonzero(new)
+        group = np.cumsum(new)
+        first = np.concatenate([[0 if last is None else last[2]], ids[at]])[group]
+        last = s[-1], deal[-1], first[-1]
+        far = np.flatnonzero(ids != first)
+        top = at[deal[at] > 0]
+        a, b = np.concatenate([ids[far], ids[top]]), np.concatenate([first[far], ids[top]])
+        hot = pa.concat_arrays([pa.nulls(len(far), pa.int64()), pa.array(s[top])])
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), hot], names=["a", "b", "hot"])
+
+
 def _sets(n: int):
     """Sets of the texts whose set is the one asked for."""
 
@@ -208,20 +275,19 @@ def _linked(documents: DataFrame, n: int, share: int, block: int = BLOCK) -> Dat
     ship(spark)
     text = F.col("text").cast("string")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    survey = cut(texts.mapInArrow(released(partial(_survey, n=n)), _SURVEY))
+    survey = cut(texts.mapInArrow(released(partial(_survey, n=n, share=share)), _SURVEY))
     counted = survey.where("slice is not null").select("slice", "counts")
     steps = rarity.levels(rarity.summed(counted))
     light = survey.where("slice is null").select("doc_id", "key", "size", "k1", "k2")
     firsts = [F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("signature").alias("signature")]
     nodes = cut(survey.where("size > 0").groupBy("k1", "k2").agg(*firsts).withColumn("id", F.col("k1")))
 
-    rows = map_arrow(texts, partial(_prefixes, n, share, steps), "s long, k1 long, k2 long, size int")
-    families = components(_candidates(rows, share)).select(
-        F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), F.col("component").alias("family")
-    )
+    held = survey.where("parts is not null").select(F.col("k1").alias("id"), "parts")
+    rows = map_arrow(held, partial(_parts, steps, HOT), _PARTS)
+    families = components(_candidates(rows)).select(F.col("node").alias("id"), F.col("component").alias("family"))
     pairs = "a long, b long"
     # possible links within families, from signatures: what they do not bring together needs no whole sets
-    members = families.join(nodes.where("doc is not null"), ["k1", "k2"])
+    members = families.join(nodes.where("doc is not null"), "id")
     coarse = _asked(members, share, block).select("family", "id", "size", "signature", F.inline("tasks"))
     near = components(coarse.groupBy("task").applyInArrow(lambda rows: _link(rows, share, False), pairs))
     fine = near.select(F.col("node").alias("id"), F.col("component").alias("family")).join(
@@ -247,34 +313,16 @@ def _linked(documents: DataFrame, n: int, share: int, block: int = BLOCK) -> Dat
     return out.select("doc_id", "key", "size", "component", "component_id")
 
 
-def _candidates(rows: DataFrame, share: int) -> DataFrame:
-    """Edges between nodes that share a rare shingle and whose sizes allow a link, directly or through others.
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Edges between nodes that have a key in common, directly or through others: a star around one node of each key.
 
-    Nodes with a shingle are put in order of size; a run without a gap in sizes that a link cannot bridge is
-    a star around its first node. A shingle with very many nodes is dealt over tasks first (its level tells
-    about how many there can be), and the runs' first nodes are brought together after that.
+    A key that very many nodes have is dealt over tasks, and the middles of its stars are brought together after that.
     """
-    node = F.struct("k1", "k2")
-    deals = F.greatest(F.lit(1), F.expr(f"cast(pow(2, (shiftrightunsigned(s, 56)) / 8.0) / {HOT} as int) + 1"))
-    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("k1", "k2"), deals))
-
-    def stars(table: DataFrame, *keys: str) -> DataFrame:
-        order = Window.partitionBy(*keys).orderBy("size", "k1", "k2")
-        gap = F.coalesce(100 * F.lag("size").over(order) < share * F.col("size"), F.lit(False)).cast("int")
-        runs = table.withColumn("gap", gap).withColumn("run", F.sum("gap").over(order))
-        within = Window.partitionBy(*keys, "run")
-        first = F.min(F.struct("size", "k1", "k2")).over(within)
-        return runs.withColumn("first", first).withColumn("b", F.struct("first.k1", "first.k2")).withColumn("a", node)
-
-    within = stars(dealt, "s", "deal").where((deals > 1) | (F.col("a") != F.col("b")))
-    edges = cut(within.select("a", "b", "s", "size", "k1", "k2", "deal", (deals > 1).alias("hot")))
-    # only for dealt shingles: the first node of each size, over all deals
-    hot = edges.where("hot")
-    firsts = hot.groupBy("s", "size").agg(F.min("a").alias("m"))
-    second = stars(firsts.select("s", "size", "m.k1", "m.k2"), "s").select("a", "b")
-    per_deal = hot.groupBy("s", "size", "deal").agg(F.min("a").alias("a"))
-    across = per_deal.join(firsts, ["s", "size"]).select("a", F.col("m").alias("b"))
-    return edges.select("a", "b").union(second).union(across).where("a != b")
+    near = rows.repartition("s", "deal").sortWithinPartitions("s", "deal")
+    edges = cut(near.mapInArrow(released(_stars), _EDGES))
+    hot = edges.where("hot is not null")
+    across = hot.join(hot.groupBy("hot").agg(F.min("a").alias("m")), "hot").select("a", F.col("m").alias("b"))
+    return edges.select("a", "b").union(across).where("a != b")
 
 
 def _asked(members: DataFrame, share: int, block: int) -> DataFrame:

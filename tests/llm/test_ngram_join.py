@@ -99,6 +99,45 @@ def test_trees_find_what_all_pairs_find():
         assert roots.tolist() == [find(i) for i in range(len(sets))]
 
 
+def test_similar_sets_have_a_key_in_common():
+    random_ = np.random.default_rng(1)
+    for share in (90, 60, 100):
+        for size in [*range(1, 45), 97, 124, 125, 300, 999]:
+            a = np.unique(random_.integers(0, 2**64, size, dtype=np.uint64))
+            for gone in range(size):
+                for new in (0, gone, size * (100 - share) // share):
+                    b = np.unique(np.concatenate([a[gone:], random_.integers(0, 2**64, new, dtype=np.uint64)]))
+                    both = len(a) - gone
+                    if 100 * both < share * (len(a) + len(b) - both):
+                        continue
+                    starts = np.array([0, len(a), len(a) + len(b)])
+                    keys, bounds = ngram_join.part_keys(np.concatenate([a, b]), starts, share)
+                    assert set(keys[: bounds[1]].tolist()) & set(keys[bounds[1] :].tolist()), (share, size, gone, new)
+                if 100 * (size - gone) < share * size:
+                    break
+
+
+def test_strangers_with_a_rare_shingle_are_no_family(spark, monkeypatch):
+    """Each text has its rarest shingles in common with its neighbours; only true near copies are compared at all."""
+    pick = random.Random(7)
+    texts = [pick.choices("abcdefghij", k=80) for _ in range(200)]
+    for i in range(199):
+        texts[i][50:55] = texts[i + 1][10:15] = ["a", "b", f"s{i}", "c", "d"]
+    texts += [[*texts[i][:79], "end"] for i in range(0, 200, 20)]
+    docs = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    asked, plain = [], ngram_join._asked
+
+    def counted(members, share, block):
+        asked.append(members.count())
+        return plain(members, share, block)
+
+    monkeypatch.setattr(ngram_join, "_asked", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = result(frame)
+    assert {i: c for i, (_, c) in found.items() if i != c} == {200 + k: 20 * k for k in range(10)}
+    assert asked == [20, 20]
+
+
 def test_odd_input(spark, odd, none):
     found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_documents(odd).collect()), key=str)
     assert found == sorted(
