@@ -88,23 +88,27 @@ def part_keys(tokens: np.ndarray, starts: np.ndarray, share: int) -> tuple[np.nd
 
     Sets of a and b tokens that are similar enough differ in at most ``(a + b) * (100 - share) / (100 + share)``
     tokens. Where tokens are dealt by value into one part more than that, such sets are equal in some part: a
-    part's key stands for its tokens. The number of parts goes by the class of the larger set, so a set also has
-    the keys of classes above its own that sets similar to it may be in.
+    part's key stands for its tokens. There are some more parts, of which each set leaves out so many, those with
+    fewest tokens: sets far from similar may be equal in these, and of the parts in which similar sets are
+    equal the one with most tokens stays in both. The number of parts goes by the class of the larger set, so a
+    set also has the keys of classes above its own that sets similar to it may be in. Where none may differ
+    there are no keys, as only equal sets are similar.
     """
     size = np.diff(starts)
     edges = _classes(share, 100 * int(size.max(initial=0)) // share)
-    parts = np.append(2 * (edges[1:] - 1) * (100 - share) // (100 + share) + 1, 0)
+    differ = np.append(2 * (edges[1:] - 1) * (100 - share) // (100 + share), 0)
+    spare = 1 + differ // 5
+    parts = np.where(differ > 0, differ + 1 + spare, 0)  # none in the last class, which is beyond all sets
     own = np.searchsorted(edges, size, side="right") - 1
     top = np.searchsorted(edges, 100 * size // share, side="right") - 1
     spread = scramble(tokens ^ np.uint64(0x452821E638D01377))
     owner = np.repeat(np.arange(len(size)), size)
     keys, sets = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for up in range(int((top - own).max(initial=0)) + 1):
-        some = (size > 0) & (own + up <= top)
-        of = np.where(some, own + up, 0)
-        many = np.where(some, parts[of], 0)
+        of = np.where((size > 0) & (own + up <= top), own + up, len(parts) - 1)
+        many = parts[of]
         first = np.concatenate([[0], np.cumsum(many)])
-        mine = np.flatnonzero(some[owner])
+        mine = np.flatnonzero(many[owner])
         # tokens of a set ascend, and so do their parts
         part = ((tokens[mine] >> np.uint64(32)) * many[owner[mine]].astype(np.uint64)) >> np.uint64(32)
         flat = first[owner[mine]] + part.astype(np.int64)
@@ -113,8 +117,12 @@ def part_keys(tokens: np.ndarray, starts: np.ndarray, share: int) -> tuple[np.nd
         belongs = np.repeat(np.arange(len(size)), many)
         number = np.arange(len(belongs)) - first[belongs]
         name = scramble((of[belongs].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64) + np.uint64(1))
-        keys.append(scramble(sums[ends[1:]] - sums[ends[:-1]] + name))
-        sets.append(belongs)
+        key = scramble(sums[ends[1:]] - sums[ends[:-1]] + name)
+        # most tokens last
+        order = np.lexsort((key, np.diff(ends), belongs))
+        kept = number >= spare[of[belongs]]
+        keys.append(key[order][kept])
+        sets.append(belongs[kept])
     keys, sets = np.concatenate(keys), np.concatenate(sets)
     order = np.argsort(sets, kind="stable")
     return keys[order], np.searchsorted(sets[order], np.arange(len(size) + 1))
